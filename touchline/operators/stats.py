@@ -147,13 +147,13 @@ def headline(df: DataFrame, best: str, middle: str) -> DataFrame:
     return totals.join(F.broadcast(exact_quantiles(df, [], middle, {"median": 0.5})), how="left")
 
 
-def usage_share(members: DataFrame, facts: DataFrame, key: str, group: str, amount: str,
-                floor: int = 90) -> DataFrame:
+def usage_share(members: DataFrame, facts: DataFrame, fact_key: str, key: str, group: str,
+                amount: str, floor: int = 90) -> DataFrame:
     """Per group: members, those never used, those under the floor and their share.
 
     Facts are summed to one row per member before the join; no facts at all means never.
     """
-    used = facts.groupBy(F.col(key).alias("_key")).agg(F.sum(amount).alias("_used"))
+    used = facts.groupBy(F.col(fact_key).alias("_key")).agg(F.sum(amount).alias("_used"))
     total = F.col("_used")
     return (members.join(used, F.col(key) == F.col("_key"), "left").groupBy(group)
             .agg(F.count(F.lit(1)).alias("members"),

@@ -98,9 +98,14 @@ def points_race(team_match: DataFrame, order: list[str], chunk: Column,
                    number="played", hot_rows=hot_rows)
 
 
-def title_race(team_match: DataFrame, dates: DataFrame, teams: DataFrame, seasons: DataFrame) -> DataFrame:
-    df = require(live_rows(team_match, seasons), dates, {"date_id": "date_id"}, {"full_date": "full_date"})
-    race = points_race(df, ["full_date", "match_id"], F.col("full_date"))
+def dated(team_match: DataFrame, dates: DataFrame) -> DataFrame:
+    return require(team_match, dates, {"date_id": "date_id"}, {"full_date": "full_date"})
+
+
+def title_race(dated_rows: DataFrame, teams: DataFrame, seasons: DataFrame,
+               hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Running points of the live season by team, in date order."""
+    race = points_race(live_rows(dated_rows, seasons), ["full_date", "match_id"], F.col("full_date"), hot_rows)
     return require(race, teams, {"team_id": "team_id"}, {"team_name": "team_name"}).select(
         "team_name", "played", "cumulative_points").orderBy("team_name", "played")
 
@@ -111,14 +116,15 @@ def unbeaten_runs(team_match: DataFrame, order: list[str], chunk: Column, at: st
     return islands(team_match, ["team_id", "season_id"], order, chunk, F.col("points") > 0, at, hot_rows)
 
 
-def longest_unbeaten(team_match: DataFrame, dates: DataFrame, teams: DataFrame, seasons: DataFrame,
-                     n: int = 15) -> DataFrame:
-    df = require(team_match, dates, {"date_id": "date_id"}, {"full_date": "full_date"})
-    runs = unbeaten_runs(df, ["full_date", "match_id"], F.col("full_date"), "full_date")
-    runs = require(runs, teams, {"team_id": "team_id"}, {"team_name": "team_name"})
-    runs = require(runs, seasons, {"season_id": "season_id"}, {"season_label": "season_label"})
-    return top(runs, n, F.desc("streak_length"), F.asc("started"), F.asc("team_name")).select(
-        "team_name", "season_label", "streak_length", "started", "ended")
+def longest_unbeaten(dated_rows: DataFrame, teams: DataFrame, seasons: DataFrame, n: int = 15,
+                     hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The longest runs; names are looked up for the few rows that remain."""
+    runs = unbeaten_runs(dated_rows, ["full_date", "match_id"], F.col("full_date"), "full_date", hot_rows)
+    order = F.desc("streak_length"), F.asc("started"), F.asc("team_id")
+    best = top(runs, n, *order)
+    best = require(best, teams, {"team_id": "team_id"}, {"team_name": "team_name"})
+    best = require(best, seasons, {"season_id": "season_id"}, {"season_label": "season_label"})
+    return best.orderBy(*order).select("team_name", "season_label", "streak_length", "started", "ended")
 
 
 def position_returns(player_season: DataFrame, positions: DataFrame, params: Params = Params()) -> DataFrame:

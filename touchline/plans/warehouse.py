@@ -157,7 +157,7 @@ def build_marts(spark: SparkSession, raw: dict[str, DataFrame], warehouse: str,
     return build
 
 
-def test_build(build: Build, tests: list[Test] = ALL_TESTS) -> DataFrame:
+def verify_build(build: Build, tests: list[Test] = ALL_TESTS) -> DataFrame:
     """Run the declared tests; raise when one returns rows."""
     results = run_tests(tests, build.models)
     failed = results.filter("failures > 0").collect()
@@ -167,9 +167,6 @@ def test_build(build: Build, tests: list[Test] = ALL_TESTS) -> DataFrame:
     return results
 
 
-test_build.__test__ = False
-
-
 def reject_report(spark: SparkSession, interim: str) -> DataFrame:
     rejects = sinks.read_export(spark, f"{interim}/rejects")
     return rejects.groupBy(REASON).agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc("rows"), REASON)
@@ -184,7 +181,7 @@ def refresh(spark: SparkSession, match_folder: str, game_folder: str, work: str,
     tables = {n: spark.read.parquet(f"{interim}/{n}") for n in ("matches_clean", "players", "positions", "history")}
     stop_on_failure(contract_results(*tables.values(), as_of=refreshed_at, params=params))
     build = build_marts(spark, load(spark, interim, warehouse, refreshed_at), warehouse, params)
-    test_build(build)
+    verify_build(build)
     log = spark.read.parquet(f"{warehouse}/refresh_log")
     sinks.export_csv({n: log if n == "refresh_log" else build.marts[n] for n in EXPORTED}, f"{work}/export")
     return build
