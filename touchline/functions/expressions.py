@@ -24,9 +24,13 @@ def day_first_date(c: Column | str) -> Column:
     Two-digit years from 69 on belong to the last century.
     """
     text = F.trim(as_column(c))
+    # The shape picks the pattern: a failed parse attempt costs far more than a match.
+    year = F.substring_index(text, "/", -1)
     short = F.try_to_date(text, "d/M/yy")
-    short = F.when(F.year(short) >= 2069, F.add_months(short, -1200)).otherwise(short)
-    return F.coalesce(F.try_to_date(text, "d/M/yyyy"), short, F.try_to_date(text, "yyyy-MM-dd"))
+    return (F.when(F.length(year) == 4, F.try_to_date(text, "d/M/yyyy"))
+            .when((F.length(year) == 2) & (year >= "69"), F.add_months(short, -1200))
+            .when(F.length(year) == 2, short)
+            .when(F.substring(text, 5, 1) == "-", F.try_to_date(text, "yyyy-MM-dd")))
 
 
 def to_number(c: Column | str) -> Column:
@@ -36,8 +40,8 @@ def to_number(c: Column | str) -> Column:
 
 def to_whole(c: Column | str, kind: str = "int") -> Column:
     """Numeric text to a nullable whole number; ``2.0`` is 2, fractions are NULL."""
-    number = to_number(c)
-    return F.when(number == F.floor(number), number.try_cast(kind))
+    text = F.trim(as_column(c).cast("string"))
+    return F.when(text.rlike(r"^[+-]?[0-9]+(\.0*)?$"), F.substring_index(text, ".", 1).try_cast(kind))
 
 
 def code(c: Column | str) -> Column:

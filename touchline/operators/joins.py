@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from touchline.functions.expressions import as_column
 from touchline.operators.keys import SMALL_ROWS, fits
-from touchline.session import materialize
+from touchline.session import known_rows, materialize
 
 SPARE_KEYS = 64
 _STAND_IN = {"string": "", "int": 0, "bigint": 0}
@@ -18,8 +18,9 @@ class UnmappedName(KeyError):
 
 
 def small_side(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Compute a join side once; hint a broadcast only if it proves small enough."""
-    side = materialize(df)
+    """Hint a broadcast for a join side only if it proves small enough. A side whose rows are
+    not known yet is computed once, which counts them."""
+    side = df if known_rows(df) is not None else materialize(df)
     return F.broadcast(side) if fits(side, max_rows) else side
 
 

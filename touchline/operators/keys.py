@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from touchline.session import materialize
+from touchline.session import known_rows, materialize, with_known_rows
 
 SMALL_ROWS = 100_000
 _POSITION_BITS = 33  # monotonically_increasing_id keeps the partition above these bits
 
 
 def fits(df: DataFrame, max_rows: int = SMALL_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows. Give it materialized input."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df``, which must be materialized, has at most ``max_rows`` rows."""
+    rows = known_rows(df)
+    return rows is not None and rows <= max_rows
 
 
 def number_rows(df: DataFrame, order: list[Column | str], name: str) -> DataFrame:
@@ -45,10 +46,11 @@ def number_members(df: DataFrame, order: list[Column | str], name: str,
                    small_rows: int = SMALL_ROWS) -> DataFrame:
     """Number the members of a dimension 1..n; one sort when they are few, else as above."""
     members = materialize(df)
+    rows = known_rows(members)
     if not fits(members, small_rows):
-        return number_rows(members, order, name)
+        return with_known_rows(number_rows(members, order, name), rows)
     key = F.row_number().over(Window.orderBy(*order)).cast("long")
-    return members.select(key.alias(name), *df.columns)
+    return with_known_rows(members.select(key.alias(name), *df.columns), rows)
 
 
 def competition_rank(df: DataFrame, by: list[str], name: str,

@@ -51,7 +51,11 @@ def flag_rejects(df: DataFrame, rules: list[tuple[str, Column]], key: list[str]
     if key is None:
         return flagged
     columns = key + [c for c in order if c not in key]
-    firsts = first_members(flagged.filter(F.col(REASON).isNull()), key, order)
+    # Survivors are picked inside the aggregate. A filter on the reason would be pushed below
+    # the parsing, repeating every rule and parse expression there.
+    survivor = F.when(F.col(REASON).isNull(), F.struct(*order))
+    firsts = (flagged.groupBy(*key).agg(F.min(survivor).alias("_first")).filter(F.col("_first").isNotNull())
+              .select(*key, *[F.col(f"_first.{c}").alias(c) for c in order if c not in key]))
     side = firsts.select(*[F.col(c).alias(f"_f_{c}") for c in columns], F.lit(True).alias("_first"))
     same = [F.col(c).eqNullSafe(F.col(f"_f_{c}")) for c in columns]
     duplicate = F.col(REASON).isNull() & F.col("_first").isNull()

@@ -10,6 +10,7 @@ from touchline.operators.joins import look_up, with_one_row
 from touchline.operators.keys import number_members
 from touchline.operators.reshape import distinct_union, spine, with_unknown_member
 from touchline.params import Params
+from touchline.session import known_rows, with_known_rows
 
 
 def dim_team(*name_columns: DataFrame) -> DataFrame:
@@ -21,12 +22,13 @@ def dim_season(matches: DataFrame, params: Params = Params()) -> DataFrame:
     seasons = number_members(matches.select("season_code", "season_label").distinct(),
                              ["season_code", "season_label"], "season_id")
     live = F.col("season_code") == params.current_season
-    return seasons.select(
+    rows = known_rows(seasons)
+    return with_known_rows(seasons.select(
         "season_id", "season_code", "season_label",
         season_year("season_code", 1, params.century).alias("start_year"),
         season_year("season_code", 3, params.century).alias("end_year"),
         label_for("season_code", params.season_notes, "normal").alias("crowd_status"),
-        F.when(live, "in_progress").otherwise("completed").alias("status"))
+        F.when(live, "in_progress").otherwise("completed").alias("status")), rows)
 
 
 def dim_date(matches: DataFrame, gameweeks: DataFrame, params: Params = Params()) -> DataFrame:
@@ -54,7 +56,8 @@ def dim_referee(matches: DataFrame, column: str = "referee") -> DataFrame:
     """Referees by name, after the Unknown member with key 0."""
     names = matches.filter(has_text(column)).select(F.col(column).alias("referee_name")).distinct()
     known = number_members(names, ["referee_name"], "referee_id")
-    return with_unknown_member(known, {"referee_id": 0, "referee_name": "Unknown"})
+    return with_known_rows(with_unknown_member(known, {"referee_id": 0, "referee_name": "Unknown"}),
+                           known_rows(known) + 1)
 
 
 def dim_gameweek(gameweeks: DataFrame) -> DataFrame:

@@ -46,9 +46,10 @@ def fact_player_fixture(history: DataFrame, players: DataFrame, teams: DataFrame
 def fact_team_fixture(fixtures: DataFrame, teams: DataFrame,
                       order: tuple[str, ...] = ("team_name", "fpl_fixture_id")) -> DataFrame:
     """One row per team and fixture with a known team, numbered by ``order``."""
-    known = require(fixtures, teams, {"team_name": "team_name"}, {"team_id": "team_id"})
+    known = require(fixtures.drop("team_id"), teams, {"team_name": "team_name"}, {"team_id": "team_id"})
     df = number_rows(known, list(order), "team_fixture_id")
-    df = look_up(df, teams, {"opponent_name": "team_name"}, {"team_id": "opponent_team_id"})
+    df = look_up(df.drop("opponent_team_id"), teams, {"opponent_name": "team_name"},
+                 {"team_id": "opponent_team_id"})
     return df.select("team_fixture_id", "team_id", "opponent_team_id", "gameweek_id",
                      "fpl_fixture_id", "is_home", "difficulty", "finished")
 

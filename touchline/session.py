@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -49,8 +51,24 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+_ROWS: WeakKeyDictionary[DataFrame, int] = WeakKeyDictionary()
+
+
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the shared folder; later steps read it and a lost
-    executor costs a re-read, not a re-run."""
+    """Compute ``df`` once into the shared folder, counting its rows on the way; later steps
+    read it and a lost executor costs a re-read, not a re-run."""
     shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    seen = Observation()
+    out = df.observe(seen, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
+    return with_known_rows(out, seen.get["rows"])
+
+
+def with_known_rows(df: DataFrame, rows: int | None) -> DataFrame:
+    """Note the row count of a frame that was just counted, or derived row by row from one."""
+    if rows is not None:
+        _ROWS[df] = rows
+    return df
+
+
+def known_rows(df: DataFrame) -> int | None:
+    return _ROWS.get(df)

@@ -54,6 +54,21 @@ def read_match_file(spark: SparkSession, path: str, encoding: str = "UTF-8") ->
             .option("inferSchema", False).option("enforceSchema", True).csv(path))
 
 
+def read_by_header(spark: SparkSession, paths: str | list[str], headers: dict[str, str],
+                   pattern: str = "*.csv") -> DataFrame:
+    """Known columns of many files, read in one scan per distinct header.
+
+    Files that share a header line may be read together; files that do not may not, as a
+    scan binds columns by position. Only header lines and paths come to the driver.
+    """
+    lines = header_lines(spark, paths, pattern).groupBy("header").agg(F.collect_list("path").alias("paths"))
+    parts = []
+    for row in lines.orderBy("header").collect():
+        df = spark.read.option("header", True).option("inferSchema", False).csv(row["paths"])
+        parts.append(df.select(*[F.col(f"`{c}`").alias(new) for c, new in headers.items() if c in df.columns]))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def load_matches(spark: SparkSession, folder: str, params: Params = Params(),
                  headers: dict[str, str] = HEADERS, only: list[str] | None = None) -> DataFrame:
     """Known columns of every season file, tagged with season and file order.
@@ -79,12 +94,20 @@ def load_matches(spark: SparkSession, folder: str, params: Params = Params(),
     return materialize(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts))
 
 
-def file_headers(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
+def header_lines(spark: SparkSession, paths: str | list[str], pattern: str = "*.csv") -> DataFrame:
+    """First line of every file. Files are read as lines, and only those at offset zero kept."""
+    lines = (spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").text(paths)
+             .select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"),
+                     F.monotonically_increasing_id().alias("line")))
+    first = lines.filter(F.col("at") == 0).groupBy("path").agg(F.min_by("value", "line").alias("header"))
+    return first.withColumn("header", F.regexp_replace("header", "[\r\ufeff\"]", ""))
+
+
+def file_headers(spark: SparkSession, paths: str | list[str], pattern: str = "*.csv") -> DataFrame:
     """One row per file and column, from the header lines."""
-    text = F.col("content").cast("string")
-    line = F.regexp_replace(F.substring_index(text, "\n", 1), "[\r﻿\"]", "")
-    return file_contents(spark, folder, pattern).select(
-        "file", F.explode(F.split(line, ",")).alias("column")).filter(F.trim("column") != "")
+    return header_lines(spark, paths, pattern).select(
+        "path", F.element_at(F.split("path", "/"), -1).alias("file"),
+        F.explode(F.split("header", ",")).alias("column")).filter(F.trim("column") != "")
 
 
 def manifest(spark: SparkSession, folder: str, fetched_at: Column,
@@ -92,7 +115,7 @@ def manifest(spark: SparkSession, folder: str, fetched_at: Column,
     """Size, digest and line count (without the header) per file, and whether it changed."""
     lines = F.length(F.regexp_replace(F.decode("content", "ISO-8859-1"), "[^\n]", ""))
     now = file_contents(spark, folder).select(
-        season_of(F.col("file")).alias("season"), "file", F.col("length").alias("bytes"),
+        season_of(F.col("file")).alias("season"), "path", "file", F.col("length").alias("bytes"),
         F.sha2("content", 256).alias("sha256"), (lines - 1).cast("bigint").alias("rows"),
         F.date_format(fetched_at, "yyyy-MM-dd'T'HH:mm:ssxxx").alias("fetched_at"))
     if previous is None:
