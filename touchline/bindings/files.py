@@ -66,13 +66,12 @@ def file_manifest(spark, sf):
 
 
 def write_histories(spark, sf):
-    """One JSON line per part with its lines as a nested history, and the parts as elements."""
+    """JSON lines: a document nests a part's lines of one order, so that none can grow large."""
     folder = new_folder(spark, "documents")
     lines = b.table(spark, sf, "lineitem")
     entry = F.struct(F.col("l_orderkey").cast("int").alias("fixture"), F.col("l_linenumber").alias("total_points"),
                      F.col("l_quantity").cast("int").alias("minutes"), F.col("l_tax").cast("string").alias("influence"))
-    # A document holds one part and month, so a part with very many lines is many documents.
-    lines.groupBy("l_partkey", F.date_format("l_shipdate", "yyyyMM").alias("month")).agg(
+    lines.groupBy("l_partkey", "l_orderkey").agg(
         F.collect_list(entry).alias("history")).write.json(f"{folder}/histories")
     return folder
 

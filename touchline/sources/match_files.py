@@ -94,13 +94,30 @@ def load_matches(spark: SparkSession, folder: str, params: Params = Params(),
     return materialize(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts))
 
 
+def first_lines(batches):
+    """Path batches -> (path, first line), reading no more of a file than that line."""
+    import pandas as pd
+    from pyarrow import fs
+
+    for batch in batches:
+        lines = []
+        for path in batch["path"]:
+            uri = path.replace("file:/", "file:///", 1) if path.startswith("file:/") and "://" not in path else path
+            system, name = fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+            with system.open_input_stream(name) as stream:
+                line = b""
+                while b"\n" not in line and (block := stream.read(65536)):
+                    line += block
+            lines.append(line.split(b"\n", 1)[0].decode("utf-8", "replace"))
+        yield pd.DataFrame({"path": batch["path"], "header": lines})
+
+
 def header_lines(spark: SparkSession, paths: str | list[str], pattern: str = "*.csv") -> DataFrame:
-    """First line of every file. Files are read as lines, and only those at offset zero kept."""
-    lines = (spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").text(paths)
-             .select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"),
-                     F.monotonically_increasing_id().alias("line")))
-    first = lines.filter(F.col("at") == 0).groupBy("path").agg(F.min_by("value", "line").alias("header"))
-    return first.withColumn("header", F.regexp_replace("header", "[\r\ufeff\"]", ""))
+    """First line of every file. The listing carries no content, so nothing else is read."""
+    listed = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
+              .option("recursiveFileLookup", "true").load(paths).select("path"))
+    lines = listed.mapInPandas(first_lines, "path string, header string")
+    return lines.withColumn("header", F.regexp_replace("header", "[\r\ufeff\"]", ""))
 
 
 def file_headers(spark: SparkSession, paths: str | list[str], pattern: str = "*.csv") -> DataFrame:
