@@ -22,7 +22,7 @@ def skewed(spark, n=3000, seed=3):
 @pytest.mark.parametrize("hot_rows", [0, 200, 10**9])
 def test_running_totals_match_for_hot_and_cold_groups(spark, hot_rows):
     df, pdf = skewed(spark)
-    got = windows.running(df, ["team"], ["day", "id"], F.col("day"), {"total": F.col("points")}, "n", hot_rows).toPandas()
+    got = windows.running(df, ["team"], ["day", "id"], {"total": F.col("points")}, "n", hot_rows).toPandas()
     pdf = pdf.sort_values(["team", "day", "id"])
     pdf["total"] = pdf.groupby("team")["points"].cumsum()
     pdf["n"] = pdf.groupby("team").cumcount() + 1
@@ -33,14 +33,14 @@ def test_running_totals_match_for_hot_and_cold_groups(spark, hot_rows):
 def test_running_keeps_a_null_group(spark):
     df = spark.createDataFrame([(None, 1, 5), (None, 2, 6), ("a", 1, 1)], "k string, t int, v int")
     for hot in (0, 10):
-        rows = windows.running(df, ["k"], ["t"], F.col("t"), {"s": F.col("v")}, hot_rows=hot).collect()
+        rows = windows.running(df, ["k"], ["t"], {"s": F.col("v")}, hot_rows=hot).collect()
         assert sorted((r.k or "", r.t, r.s) for r in rows) == [("", 1, 5), ("", 2, 11), ("a", 1, 1)]
 
 
 @pytest.mark.parametrize("hot_rows", [0, 150, 10**9])
 def test_islands_match_brute_force(spark, hot_rows):
     df, pdf = skewed(spark, seed=4)
-    got = windows.islands(df, ["team", "season"], ["day", "id"], F.col("day"), F.col("points") > 0, "id", hot_rows)
+    got = windows.islands(df, ["team", "season"], ["day", "id"], F.col("points") > 0, "id", hot_rows)
     want = []
     for (team, season), g in pdf.sort_values(["day", "id"]).groupby(["team", "season"]):
         run = []

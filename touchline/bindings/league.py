@@ -8,6 +8,7 @@ from touchline.bindings import inputs as b
 from touchline.bindings.registry import query
 from touchline.functions.expressions import round_half_away
 from touchline.operators.aggregates import mean_of_means, repeated, value_split
+from touchline.operators.joins import small_side
 from touchline.operators.reshape import both_differences, set_difference
 from touchline.operators.stats import describe, mean_interval
 from touchline.plans import analyses, reports, screens
@@ -15,6 +16,10 @@ from touchline.plans import analyses, reports, screens
 ctes = b.with_ctes
 
 
+def seasons(spark, sf):
+    return small_side(b.years_as_seasons(spark, sf))
+
+
 @query("league_table", ctes(b.MATCHES_SQL, b.TEAM_MATCH_SQL, b.SEASONS_SQL) + """
 SELECT CAST(rank() OVER (ORDER BY sum(points) DESC, sum(goals_for) - sum(goals_against) DESC,
     sum(goals_for) DESC) AS INTEGER) AS position,
@@ -28,7 +33,7 @@ FROM team_match JOIN nation ON n_nationkey = team_id JOIN seasons USING (season_
 WHERE status = 'in_progress' GROUP BY n_name""")
 def league_table(spark, sf):
     rows = reports.team_match(b.keyed_matches(spark, sf, b.LIVE_START))
-    return analyses.league_table(rows, b.nations_as_teams(spark, sf), b.years_as_seasons(spark, sf))
+    return analyses.league_table(rows, b.nations_as_teams(spark, sf), seasons(spark, sf))
 
 
 @query("season_vs_baseline", ctes(b.MATCHES_SQL, b.SEASONS_SQL, """
@@ -42,7 +47,7 @@ SELECT season_label, status, matches, round(100 * rate, 1) AS home_win_pct,
   round(gpg - gpg0, 2) AS goals_vs_baseline
 FROM by_season CROSS JOIN base""")
 def season_vs_baseline(spark, sf):
-    return analyses.season_vs_baseline(b.keyed_matches(spark, sf), b.years_as_seasons(spark, sf))
+    return analyses.season_vs_baseline(b.keyed_matches(spark, sf), seasons(spark, sf))
 
 
 @query("baseline_means", ctes(b.MATCHES_SQL, """
@@ -103,7 +108,7 @@ SELECT team_id, season_id, full_date, match_id, points,
 FROM games WINDOW w AS (PARTITION BY team_id ORDER BY full_date, match_id
                         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
 def points_race(spark, sf):
-    return analyses.points_race(b.customer_games(spark, sf), ["full_date", "match_id"], F.col("full_date"))
+    return analyses.points_race(b.customer_games(spark, sf), ["full_date", "match_id"])
 
 
 @query("title_race", ctes(b.GAMES_SQL) + """
@@ -111,7 +116,7 @@ SELECT c_name AS team_name, row_number() OVER w AS played, CAST(sum(points) OVER
 FROM games JOIN customer ON c_custkey = team_id WHERE season_id = 2001
 WINDOW w AS (PARTITION BY team_id ORDER BY full_date, match_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
 def title_race(spark, sf):
-    return analyses.title_race(b.customer_games(spark, sf), customers_as_teams(spark, sf), b.years_as_seasons(spark, sf))
+    return analyses.title_race(b.customer_games(spark, sf), customers_as_teams(spark, sf), seasons(spark, sf))
 
 
 def customers_as_teams(spark, sf):
@@ -132,8 +137,7 @@ runs AS (
 
 @query("unbeaten_runs", RUNS_SQL + "SELECT * FROM runs")
 def unbeaten_runs(spark, sf):
-    return analyses.unbeaten_runs(b.customer_games(spark, sf), ["full_date", "match_id"],
-                                  F.col("full_date"), "full_date")
+    return analyses.unbeaten_runs(b.customer_games(spark, sf), ["full_date", "match_id"], "full_date")
 
 
 @query("unbeaten_streaks", RUNS_SQL + """
@@ -141,7 +145,7 @@ SELECT c_name AS team_name, CAST(season_id AS VARCHAR) AS season_label, streak_l
 FROM runs JOIN customer ON c_custkey = team_id ORDER BY streak_length DESC, started, team_id LIMIT 15""")
 def unbeaten_streaks(spark, sf):
     return analyses.longest_unbeaten(b.customer_games(spark, sf), customers_as_teams(spark, sf),
-                                     b.years_as_seasons(spark, sf))
+                                     seasons(spark, sf))
 
 
 @query("two_sided", ctes(b.MATCHES_SQL, b.TEAM_MATCH_SQL) + "SELECT * FROM team_match")

@@ -150,7 +150,7 @@ def left_lookup_fact(spark, sf):
         F.col("p_partkey").alias("fpl_element_id"), F.col("p_partkey").alias("player_id"))
     calendar = small_side(dims.dim_date(b.order_seasons(spark, sf), b.months_as_gameweeks(spark, sf)))
     return facts.fact_player_fixture(b.lines_as_staged_history(spark, sf), known,
-                                     b.brands_as_teams(spark, sf), calendar)
+                                     small_side(b.brands_as_teams(spark, sf)), calendar)
 
 
 @query("dropped_keys", """

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from touchline.bindings import inputs as b
 from touchline.bindings.registry import query
 from touchline.functions.expressions import round_half_away
-from touchline.operators.joins import look_up
+from touchline.operators.joins import look_up, small_side
 from touchline.operators.stats import correlation_matrix as matrix
 from touchline.operators.stats import fit_line, usage_share
 from touchline.operators.windows import trailing_sum
@@ -21,13 +21,14 @@ FACTS = ctes(b.PLAYERS_SQL, b.FACTS_SQL)
 VIEW = "WHERE position_short IN ('ECO', 'LAR', 'PRO') AND price_m <= 9.9 AND minutes >= 900"
 
 
-def season_report(spark, sf, since=None):
-    return reports.player_season(b.parts_as_players(spark, sf), b.brands_as_teams(spark, sf),
-                                 b.types_as_positions(spark, sf), b.lines_as_facts(spark, sf, since))
+def dims(spark, sf):
+    """Players, and the two dimensions whose size is checked before they are broadcast."""
+    return (b.parts_as_players(spark, sf), small_side(b.brands_as_teams(spark, sf)),
+            small_side(b.types_as_positions(spark, sf)))
 
 
-def dims(spark, sf):
-    return b.parts_as_players(spark, sf), b.brands_as_teams(spark, sf), b.types_as_positions(spark, sf)
+def season_report(spark, sf, since=None):
+    return reports.player_season(*dims(spark, sf), b.lines_as_facts(spark, sf, since))
 
 
 def view(spark, sf):
@@ -199,7 +200,7 @@ SELECT gameweek_id, total_points, minutes, bonus, price_m, team_name AS opponent
 FROM facts LEFT JOIN teams ON team_name = opponent_name
 WHERE player_id = (SELECT player_id FROM player_season ORDER BY points DESC NULLS LAST, player_id LIMIT 1)""")
 def entity_detail(spark, sf):
-    teams = b.brands_as_teams(spark, sf)
+    teams = small_side(b.brands_as_teams(spark, sf))
     named = look_up(b.lines_as_facts(spark, sf), teams, {"opponent_name": "team_name"},
                              {"team_id": "opponent_team_id"})
     first_choice = screens.player_choices(season_report(spark, sf)).limit(1).select("player_id")

@@ -116,5 +116,6 @@ def without_match(df: DataFrame, other: DataFrame, on: dict[str, str]) -> DataFr
 
 
 def dropped_keys(df: DataFrame, dim: DataFrame, on: dict[str, str]) -> DataFrame:
-    """What an inner lookup loses: unknown keys and the rows behind each."""
-    return without_match(df, dim, on).groupBy(*on).agg(F.count(F.lit(1)).alias("rows"))
+    """What an inner lookup loses: unknown keys and the rows behind each. Rows are counted
+    per key before the join."""
+    return without_match(df.groupBy(*on).agg(F.count(F.lit(1)).alias("rows")), dim, on)

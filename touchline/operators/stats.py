@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from touchline.functions.expressions import percent, round_half_away
 from touchline.operators.joins import with_one_row
-
-BUCKETS = 1000
+from touchline.session import materialize
 
 
 def correlation(x: str, y: str) -> Column:
@@ -82,41 +81,36 @@ def exact_quantiles(df: DataFrame, group: list[str], value: str, quantiles: dict
     """Exact interpolated quantiles per group, without ever sorting a group in one task.
 
     1. Count every distinct value (combined before the shuffle).
-    2. Cut each group's value range into up to 1000 equal buckets and add up their counts:
-       at most 1000 rows per group, enough to tell which buckets hold the wanted ranks.
-    3. Number only the values in those buckets.
+    2. Range-partition the counts by group and value and add them up per partition: at most
+       one row per group and partition, enough to tell which partitions hold the wanted ranks.
+    3. Number only the values in those partitions.
     """
     counts = (df.filter(F.col(value).isNotNull())
               .groupBy(*group, F.col(value).cast("double").alias("_v"))
               .agg(F.count(F.lit(1)).alias("_n")))
-    span = counts.groupBy(*group).agg(
-        F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.sum("_n").alias("_total"))
-    side = span.select(*[F.col(g).alias(f"_g_{g}") for g in group], "_low", "_high", "_total")
-    same = [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in group]
-    width = F.nullif(F.col("_high") - F.col("_low"), F.lit(0.0))
-    place = F.coalesce(F.floor((F.col("_v") - F.col("_low")) / width * BUCKETS), F.lit(0))
-    spanned = counts.join(side, same) if group else with_one_row(counts, side)
-    placed = spanned.select(
-        *group, "_v", "_n", "_total", F.least(place, F.lit(BUCKETS - 1)).alias("_b"))
-
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = materialize(counts.repartitionByRange(partitions, *group, "_v")
+                         .withColumn("_b", F.spark_partition_id()))
     up_to = Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    filled = (placed.groupBy(*group, "_b").agg(F.sum("_n").alias("_in"), F.max("_total").alias("_total"))
-              .withColumn("_before", F.sum("_in").over(up_to) - F.col("_in")))
+    whole = Window.partitionBy(*group)
+    filled = (placed.groupBy(*group, "_b").agg(F.sum("_n").alias("_in"))
+              .withColumn("_before", F.sum("_in").over(up_to) - F.col("_in"))
+              .withColumn("_total", F.sum("_in").over(whole)))
     ranks = F.array(*[F.struct(F.lit(n).alias("name"),
                                (F.lit(float(q)) * (F.col("_total") - 1)).alias("at"))
                       for n, q in quantiles.items()])
     wanted = (filled.select("*", F.explode(ranks).alias("_r"))
               .select(*group, "_b", "_in", "_before", F.col("_r.name").alias("_name"), F.col("_r.at").alias("_at"))
               .withColumn("_lo", F.floor("_at")).withColumn("_hi", F.ceil("_at"))
-              # The bucket holds the lower or the upper neighbour of the wanted rank.
+              # The partition holds the lower or the upper neighbour of the wanted rank.
               .filter(((F.col("_lo") >= F.col("_before")) & (F.col("_lo") < F.col("_before") + F.col("_in")))
                       | ((F.col("_hi") >= F.col("_before")) & (F.col("_hi") < F.col("_before") + F.col("_in")))))
-    buckets = wanted.select(*[F.col(g).alias(f"_g_{g}") for g in group], F.col("_b").alias("_bb"),
+    parts = wanted.select(*[F.col(g).alias(f"_g_{g}") for g in group], F.col("_b").alias("_bb"),
                             "_before", "_name", "_at", "_lo", "_hi")
     on = [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in group] + [F.col("_b") == F.col("_bb")]
     inside = (Window.partitionBy(*group, "_name", "_b").orderBy("_v")
               .rowsBetween(Window.unboundedPreceding, 0))
-    numbered = (placed.join(buckets, on)
+    numbered = (placed.join(parts, on)
                 .withColumn("_end", F.col("_before") + F.sum("_n").over(inside))
                 .withColumn("_start", F.col("_end") - F.col("_n")))
     holds = lambda r: (F.col(r) >= F.col("_start")) & (F.col(r) < F.col("_end"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.operators.joins import with_one_row
@@ -36,13 +36,18 @@ def not_accepted(df: DataFrame, column: str, values: list) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_records")))
 
 
-def out_of_range(df: DataFrame, column: str, low=None, high=None) -> DataFrame:
+def outside(column: str, low=None, high=None) -> Column:
     bad = F.lit(False)
     if low is not None:
         bad = bad | (F.col(column) < low)
     if high is not None:
         bad = bad | (F.col(column) > high)
-    return df.filter(bad)
+    return bad
+
+
+def out_of_range(df: DataFrame, column: str, low=None, high=None) -> DataFrame:
+    """Rows outside the closed range; NULL passes."""
+    return df.filter(outside(column, low, high))
 
 
 def repeated_combination(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -102,9 +107,31 @@ def failing_rows(test: Test, models: dict[str, DataFrame]) -> DataFrame:
     raise ValueError(f"unknown test kind {test.kind}")
 
 
+def row_condition(test: Test) -> Column | None:
+    """The failing condition of a test that looks at single rows, else None."""
+    if test.kind == "not_null":
+        return F.col(test.column).isNull()
+    if test.kind == "accepted_range":
+        return outside(test.column, *test.values)
+    return None
+
+
 def run_tests(tests: list[Test], models: dict[str, DataFrame]) -> DataFrame:
-    """One row per declared test with the number of failing rows."""
-    rows = [failing_rows(t, models).agg(F.count(F.lit(1)).alias("failures")).select(
-        F.lit(t.model).alias("model"), F.lit(t.column).alias("column_name"),
-        F.lit(t.kind).alias("test"), "failures") for t in tests]
+    """One row per declared test with the number of failing rows. All tests of a model that
+    look at single rows share one pass over it."""
+    rows, single = [], {}
+    for test in tests:
+        if row_condition(test) is None:
+            counted = failing_rows(test, models).agg(F.count(F.lit(1)).alias("failures"))
+            rows.append(counted.select(*labels(test), "failures"))
+        else:
+            single.setdefault(test.model, []).append(test)
+    for model, group in single.items():
+        totals = models[model].agg(*[F.count_if(row_condition(t)).alias(f"t{i}") for i, t in enumerate(group)])
+        results = F.array(*[F.struct(*labels(t), F.col(f"t{i}").alias("failures")) for i, t in enumerate(group)])
+        rows.append(totals.select(F.explode(results).alias("r")).select("r.*"))
     return reduce(DataFrame.unionByName, rows)
+
+
+def labels(test: Test) -> list[Column]:
+    return [F.lit(test.model).alias("model"), F.lit(test.column).alias("column_name"), F.lit(test.kind).alias("test")]

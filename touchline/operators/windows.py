@@ -5,48 +5,61 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from touchline.operators.joins import small_side
+from touchline.session import known_rows, materialize
+
 HOT_ROWS = 5_000_000
 
 
-def running(df: DataFrame, partition: list[str], order: list[str], chunk: Column,
-            sums: dict[str, Column], number: str | None = None,
-            hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Running totals (ROWS UNBOUNDED PRECEDING) and the row number within a group.
+def running(df: DataFrame, partition: list[str], order: list[str], sums: dict[str, Column],
+            number: str | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Running totals (ROWS UNBOUNDED PRECEDING) and the row number within a group, along
+    ``order``, which must be unique within a group.
 
-    Groups of more than ``hot_rows`` rows are split: their rows are windowed per
-    (group, chunk), and the totals of the earlier chunks, pre-aggregated before their
-    shuffle, are added on top. ``chunk`` must not decrease along ``order`` and should take
-    few values per group (a calendar day, a month). Other groups use one plain window.
-    The list of hot groups has at most rows/hot_rows entries, which bounds its broadcast.
+    Groups of more than ``hot_rows`` rows are looked for first, with one narrow aggregate.
+    Without any, one window does it all. A hot group is cut into chunks, see ``_chunked``.
     """
     measures = dict(sums)
     if number:
         measures[number] = F.lit(1)
-    hot = (df.groupBy(*partition).agg(F.count(F.lit(1)).alias("_rows"))
-           .filter(F.col("_rows") > hot_rows).select(*[F.col(c).alias(f"_h_{c}") for c in partition],
-                                                     F.lit(True).alias("_hot")))
-    is_group = [F.col(c).eqNullSafe(F.col(f"_h_{c}")) for c in partition]
+    hot = materialize(df.groupBy(*partition).agg(F.count(F.lit(1)).alias("_rows"))
+                      .filter(F.col("_rows") > hot_rows)
+                      .select(*[F.col(c).alias(f"_h_{c}") for c in partition]))
+    if known_rows(hot) == 0:
+        return _windowed(df, partition, order, measures)
+    # At most rows / hot_rows groups are hot; the list is broadcast if that proves few.
+    is_hot = [F.col(c).eqNullSafe(F.col(f"_h_{c}")) for c in partition]
+    hot = small_side(hot)
+    cold_rows = _windowed(df.join(hot, is_hot, "left_anti"), partition, order, measures)
+    return cold_rows.unionByName(_chunked(df.join(hot, is_hot, "left_semi"), partition, order, measures))
+
+
+def _windowed(df, partition, order, measures):
+    up_to_here = (Window.partitionBy(*partition).orderBy(*order)
+                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return df.select(*df.columns, *[F.sum(c).over(up_to_here).alias(n) for n, c in measures.items()])
+
+
+def _chunked(df, partition, order, measures):
+    """Running totals of groups too large for a task.
+
+    The rows are range-partitioned by group and order, so partitions are even however the
+    rows are spread, and are written once to fix the cut. Each (group, chunk) is windowed on
+    its own; totals of earlier chunks, at most one row per chunk, are added on top.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     values = {f"_v_{n}": c for n, c in measures.items()}
-    valued = df.withColumns({**values, "_chunk": chunk})
-    marked = (valued.join(F.broadcast(hot), is_group, "left")
-              .withColumn("_chunk", F.when(F.col("_hot"), F.col("_chunk")))
-              .drop("_hot", *[f"_h_{c}" for c in partition]))
-
-    earlier = (Window.partitionBy(*partition).orderBy("_chunk")
-               .rowsBetween(Window.unboundedPreceding, -1))
-    carried = (
-        valued.join(F.broadcast(hot), is_group, "left_semi")
-        .groupBy(*partition, "_chunk").agg(*[F.sum(v).alias(v) for v in values])
-        .select(*[F.col(c).alias(f"_c_{c}") for c in partition], F.col("_chunk").alias("_c_chunk"),
-                *[F.sum(v).over(earlier).alias(f"_c{v}") for v in values]))
-
-    inside = (Window.partitionBy(*partition, "_chunk").orderBy(*order)
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = marked.select(*df.columns, "_chunk", *[F.sum(v).over(inside).alias(v) for v in values])
-    on = [F.col(c).eqNullSafe(F.col(f"_c_{c}")) for c in partition]
-    on.append(F.col("_chunk").eqNullSafe(F.col("_c_chunk")))
-    total = [(F.col(f"_v_{n}") + F.coalesce(F.col(f"_c_v_{n}"), F.lit(0))).alias(n) for n in measures]
-    return local.join(carried, on, "left").select(*df.columns, *total)
+    cut = materialize(df.withColumns(values).repartitionByRange(partitions, *partition, *order)
+                      .withColumn("_chunk", F.spark_partition_id()))
+    before = (Window.partitionBy(*partition).orderBy("_chunk")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    carried = (cut.groupBy(*partition, "_chunk").agg(*[F.sum(v).alias(v) for v in values])
+               .select(*[F.col(c).alias(f"_c_{c}") for c in [*partition, "_chunk"]],
+                       *[F.sum(v).over(before).alias(f"_before{v}") for v in values]))
+    local = _windowed(cut, [*partition, "_chunk"], order, {f"_in{v}": F.col(v) for v in values})
+    same = [F.col(c).eqNullSafe(F.col(f"_c_{c}")) for c in [*partition, "_chunk"]]
+    totals = [(F.col(f"_in_v_{n}") + F.coalesce(F.col(f"_before_v_{n}"), F.lit(0))).alias(n) for n in measures]
+    return local.join(carried, same, "left").select(*df.columns, *totals)
 
 
 def trailing_sum(df: DataFrame, partition: list[str], period: str, sums: dict[str, str],
@@ -61,16 +74,15 @@ def trailing_sum(df: DataFrame, partition: list[str], period: str, sums: dict[st
     return per_period.select(*partition, period, *[F.sum(c).over(window).alias(n) for n, c in sums.items()])
 
 
-def islands(df: DataFrame, partition: list[str], order: list[str], chunk: Column, holds: Column,
-            at: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def islands(df: DataFrame, partition: list[str], order: list[str], holds: Column, at: str,
+            hot_rows: int = HOT_ROWS) -> DataFrame:
     """Unbroken runs of rows for which ``holds``: length, first and last ``at``.
 
     A run is named by the number of breaks before it, which is a running total and so keeps
     the protection against hot groups; the runs themselves are a plain aggregate.
     """
-    broken = F.when(holds, 0).otherwise(1)
-    numbered = running(df.withColumn("_holds", holds), partition, order, chunk,
-                       {"_island": broken}, hot_rows=hot_rows)
+    broken = F.when(F.col("_holds"), 0).otherwise(1)
+    numbered = running(df.withColumn("_holds", holds), partition, order, {"_island": broken}, hot_rows=hot_rows)
     return (numbered.filter("_holds").groupBy(*partition, "_island")
             .agg(F.count(F.lit(1)).alias("streak_length"), F.min(at).alias("started"),
                  F.max(at).alias("ended"))

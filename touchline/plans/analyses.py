@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions.expressions import percent, round_half_away
@@ -91,10 +91,9 @@ def fixture_outlook(fixtures: DataFrame, teams: DataFrame, gameweeks: DataFrame,
         ordered_list("_opponent").alias("opponents")).orderBy("avg_difficulty", "team_name")
 
 
-def points_race(team_match: DataFrame, order: list[str], chunk: Column,
-                hot_rows: int = HOT_ROWS) -> DataFrame:
+def points_race(team_match: DataFrame, order: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Game number and running points per team, in ``order`` (unique within a team)."""
-    return running(team_match, ["team_id"], order, chunk, {"cumulative_points": F.col("points")},
+    return running(team_match, ["team_id"], order, {"cumulative_points": F.col("points")},
                    number="played", hot_rows=hot_rows)
 
 
@@ -105,21 +104,20 @@ def dated(team_match: DataFrame, dates: DataFrame) -> DataFrame:
 def title_race(dated_rows: DataFrame, teams: DataFrame, seasons: DataFrame,
                hot_rows: int = HOT_ROWS) -> DataFrame:
     """Running points of the live season by team, in date order."""
-    race = points_race(live_rows(dated_rows, seasons), ["full_date", "match_id"], F.col("full_date"), hot_rows)
+    race = points_race(live_rows(dated_rows, seasons), ["full_date", "match_id"], hot_rows)
     return require(race, teams, {"team_id": "team_id"}, {"team_name": "team_name"}).select(
         "team_name", "played", "cumulative_points").orderBy("team_name", "played")
 
 
-def unbeaten_runs(team_match: DataFrame, order: list[str], chunk: Column, at: str,
-                  hot_rows: int = HOT_ROWS) -> DataFrame:
+def unbeaten_runs(team_match: DataFrame, order: list[str], at: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Runs without a loss per team and season; a run does not cross seasons."""
-    return islands(team_match, ["team_id", "season_id"], order, chunk, F.col("points") > 0, at, hot_rows)
+    return islands(team_match, ["team_id", "season_id"], order, F.col("points") > 0, at, hot_rows)
 
 
 def longest_unbeaten(dated_rows: DataFrame, teams: DataFrame, seasons: DataFrame, n: int = 15,
                      hot_rows: int = HOT_ROWS) -> DataFrame:
     """The longest runs; names are looked up for the few rows that remain."""
-    runs = unbeaten_runs(dated_rows, ["full_date", "match_id"], F.col("full_date"), "full_date", hot_rows)
+    runs = unbeaten_runs(dated_rows, ["full_date", "match_id"], "full_date", hot_rows)
     order = F.desc("streak_length"), F.asc("started"), F.asc("team_id")
     best = top(runs, n, *order)
     best = require(best, teams, {"team_id": "team_id"}, {"team_name": "team_name"})
