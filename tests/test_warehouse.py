@@ -245,3 +245,13 @@ def test_documents(spark, world):
     twice = cp.history(entries.unionByName(entries), cp.clubs(boot["teams"]))
     assert twice.count() == len(world.facts())
     assert docs.member_files(spark, str(world.game_dir)).count() == 300
+
+
+def test_sql_over_the_landed_tables(built, spark):
+    warehouse.open_views(spark, f"{built.work}/warehouse", ["fact_player_fixture", "dim_team"])
+    rows = warehouse.ask(spark, """
+        SELECT f.gameweek_id, f.total_points, o.team_name AS opponent FROM fact_player_fixture f
+        LEFT JOIN dim_team o ON o.team_id = f.opponent_team_id
+        WHERE f.player_id = :player ORDER BY f.gameweek_id""", player=7).collect()
+    want = screens.player_detail(built.marts["fact_player_fixture"], built.marts["dim_team"], 7).collect()
+    assert [(r.gameweek_id, r.total_points) for r in rows] == [(r.gameweek_id, r.total_points) for r in want] != []

@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.functions.expressions import points_for, score_result
+from touchline.functions.expressions import date_key, points_for, score_result
 from touchline.operators.reshape import two_sided
 from touchline.params import Params
 
@@ -39,7 +39,14 @@ def period_of(day):
 
 
 def season_code(day):
-    return F.concat(F.date_format(day, "yy"), F.date_format(F.add_months(day, 12), "yy"))
+    return F.concat(*[F.substring((F.year(day) + n).cast("string"), 3, 2) for n in (0, 1)])
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out when the scan has fewer tasks than there are cores, as with a table stored
+    as one row group. For work that is heavy per row; at scale the scan has plenty of tasks."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
 def keyed_matches(spark: SparkSession, sf: str, since: dt.date | None = None) -> DataFrame:
@@ -60,7 +67,7 @@ def keyed_matches(spark: SparkSession, sf: str, since: dt.date | None = None) ->
     played = rows.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("match_id"),
         F.year("match_date").alias("season_id"),
-        F.date_format("match_date", "yyyyMMdd").cast("int").alias("date_id"), "match_date",
+        date_key("match_date").alias("date_id"), "match_date",
         F.col("s_nationkey").alias("home_team_id"), F.col("c_nationkey").alias("away_team_id"),
         F.nullif("o_orderpriority", F.lit("4-NOT SPECIFIED")).alias("referee"),
         home.alias("ft_home_goals"), away.alias("ft_away_goals"), score_result(home, away).alias("ft_result"),
@@ -218,7 +225,7 @@ def lines_as_facts(spark: SparkSession, sf: str, since: dt.date | None = None) -
     if since:
         rows = rows.filter(F.col("match_date") >= F.lit(since))
     return rows.withColumnRenamed("fpl_element_id", "player_id").withColumn(
-        "date_id", F.date_format("match_date", "yyyyMMdd").cast("int"))
+        "date_id", date_key("match_date"))
 
 
 FACTS_SQL = """
@@ -312,7 +319,8 @@ def order_seasons(spark: SparkSession, sf: str) -> DataFrame:
     day = F.to_date("o_orderdate")
     return table(spark, sf, "orders").select(
         day.alias("match_date"), season_code(day).alias("season_code"),
-        F.concat(F.date_format(day, "yyyy"), F.lit("/"), F.date_format(F.add_months(day, 12), "yy")).alias("season_label"),
+        F.concat(F.year(day).cast("string"), F.lit("/"),
+                 F.substring((F.year(day) + 1).cast("string"), 3, 2)).alias("season_label"),
         F.nullif("o_orderpriority", F.lit("4-NOT SPECIFIED")).alias("referee"))
 
 

@@ -34,7 +34,7 @@ def raw_matches(spark, sf):
     result = (F.when((flag == "N") & (F.col("l_linestatus") == "O"), "  ")
               .when(F.col("l_quantity") == 50, "X")
               .when(home > discount, " h ").when(home < discount, "a").otherwise("D"))
-    return b.table(spark, sf, "lineitem").select(
+    return b.spread(b.table(spark, sf, "lineitem")).select(
         *ORDER,
         F.when(~empty, F.when(tax == 8, "to be arranged").otherwise(written)).alias("match_date"),
         F.when(~empty, F.concat(F.lit(" "), flag, F.col("l_linestatus"))).alias("home_team"),

@@ -95,10 +95,16 @@ def full_name(first: Column | str, second: Column | str) -> Column:
     return F.concat(as_column(first), F.lit(" "), as_column(second))
 
 
+def date_key(day: Column | str) -> Column:
+    """YYYYMMDD as a whole number, by arithmetic rather than by formatting."""
+    day = as_column(day)
+    return F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)
+
+
 def calendar_columns(day: Column | str) -> list[Column]:
     day = as_column(day)
     return [
-        F.date_format(day, "yyyyMMdd").cast("int").alias("date_id"),
+        date_key(day).alias("date_id"),
         day.alias("full_date"),
         F.year(day).alias("year"),
         F.month(day).alias("month"),

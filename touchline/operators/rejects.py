@@ -18,10 +18,10 @@ def first_failure(rules: list[tuple[str, Column]]) -> Column:
 
 
 def first_members(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
-    """Key and order columns of the first row of every key.
+    """Key and order columns of the first row of every key. NULL keys are equal.
 
     An aggregate, not a window: a key with a third of all rows is reduced before the
-    shuffle. ``order`` must be unique within a key. NULL keys are equal.
+    shuffle. ``order`` must be unique within a key.
     """
     if len(order) == 1:
         return df.groupBy(*key).agg(F.min(order[0]).alias(order[0]))
@@ -30,35 +30,37 @@ def first_members(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
 
 
 def keep_first(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
-    """Drop every row of a key but its first. The join is on the unique order columns, so
-    no task receives a whole group."""
-    return _mark(df, first_members(df, key, order), key + order, "left_semi")
+    """Drop every row of a key but its first: one scan, and copies fall away before the shuffle."""
+    rest = [c for c in df.columns if c not in key]
+    first = df.groupBy(*key).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_first"))
+    return first.select(*[F.col(c) if c in key else F.col(f"_first.{c}").alias(c) for c in df.columns])
 
 
 def later_copies(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
-    return _mark(df, first_members(df, key, order), key + order, "left_anti")
-
-
-def _mark(df, firsts, columns, how):
-    side = firsts.select(*[F.col(c).alias(f"_f_{c}") for c in columns])
-    return df.join(side, [F.col(c).eqNullSafe(F.col(f"_f_{c}")) for c in columns], how)
+    """Every row of a key but its first. The join includes the unique order columns, so no
+    task receives a whole group."""
+    columns = key + order
+    side = first_members(df, key, order).select(*[F.col(c).alias(f"_f_{c}") for c in columns])
+    return df.join(side, [F.col(c).eqNullSafe(F.col(f"_f_{c}")) for c in columns], "left_anti")
 
 
 def flag_rejects(df: DataFrame, rules: list[tuple[str, Column]], key: list[str] | None = None,
                  order: list[str] | None = None, duplicate_reason: str | None = None) -> DataFrame:
-    """Add the reject reason to every row. Duplicates are looked for among survivors only."""
+    """Add the reject reason to every row. Duplicates are looked for among survivors only.
+
+    ``order`` says which copy comes first and must be unique in the table: the first rows are
+    found again by it alone, so a hot key never meets in one task.
+    """
     flagged = df.withColumn(REASON, first_failure(rules))
     if key is None:
         return flagged
-    columns = key + [c for c in order if c not in key]
     # Survivors are picked inside the aggregate. A filter on the reason would be pushed below
     # the parsing, repeating every rule and parse expression there.
     survivor = F.when(F.col(REASON).isNull(), F.struct(*order))
-    firsts = (flagged.groupBy(*key).agg(F.min(survivor).alias("_first")).filter(F.col("_first").isNotNull())
-              .select(*key, *[F.col(f"_first.{c}").alias(c) for c in order if c not in key]))
-    side = firsts.select(*[F.col(c).alias(f"_f_{c}") for c in columns], F.lit(True).alias("_first"))
-    same = [F.col(c).eqNullSafe(F.col(f"_f_{c}")) for c in columns]
-    duplicate = F.col(REASON).isNull() & F.col("_first").isNull()
+    firsts = flagged.groupBy(*key).agg(F.min(survivor).alias("_first")).filter(F.col("_first").isNotNull())
+    side = firsts.select(*[F.col(f"_first.{c}").alias(f"_f_{c}") for c in order], F.lit(True).alias("_is_first"))
+    same = [F.col(c).eqNullSafe(F.col(f"_f_{c}")) for c in order]
+    duplicate = F.col(REASON).isNull() & F.col("_is_first").isNull()
     return flagged.join(side, same, "left").select(
         *df.columns,
         F.when(duplicate, F.lit(duplicate_reason)).otherwise(F.col(REASON)).alias(REASON))

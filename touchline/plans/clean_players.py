@@ -79,5 +79,4 @@ def history(entries: DataFrame, club_names: DataFrame) -> DataFrame:
     df = df.withColumn("match_date", F.to_date("kickoff_time"))
     key = ["fpl_element_id", "fpl_fixture_id"]
     order = [c for c in df.columns if c not in key]
-    once = keep_first(df, key, order).dropDuplicates(key)
-    return number_rows(once, ["gameweek_id", "fpl_element_id", "fpl_fixture_id"], "player_fixture_id")
+    return number_rows(keep_first(df, key, order), ["gameweek_id", "fpl_element_id", "fpl_fixture_id"], "player_fixture_id")

@@ -185,3 +185,14 @@ def refresh(spark: SparkSession, match_folder: str, game_folder: str, work: str,
     log = spark.read.parquet(f"{warehouse}/refresh_log")
     sinks.export_csv({n: log if n == "refresh_log" else build.marts[n] for n in EXPORTED}, f"{work}/export")
     return build
+
+
+def open_views(spark: SparkSession, warehouse: str, names: list[str]) -> None:
+    """Make landed tables available to SQL under their names."""
+    for name in names:
+        spark.read.parquet(f"{warehouse}/{name}").createOrReplaceTempView(name)
+
+
+def ask(spark: SparkSession, sql: str, **parameters) -> DataFrame:
+    """A SQL question with bound parameters (``:name``) over the opened views."""
+    return spark.sql(sql, args=parameters)
