@@ -255,3 +255,13 @@ def test_sql_over_the_landed_tables(built, spark):
         WHERE f.player_id = :player ORDER BY f.gameweek_id""", player=7).collect()
     want = screens.player_detail(built.marts["fact_player_fixture"], built.marts["dim_team"], 7).collect()
     assert [(r.gameweek_id, r.total_points) for r in rows] == [(r.gameweek_id, r.total_points) for r in want] != []
+
+
+def test_first_copy_in_the_file_is_kept(spark, world, tmp_path):
+    entry = world.history[2][0]
+    copies = [entry | {"minutes": 90, "total_points": 9}, entry | {"minutes": 1, "total_points": 0}]
+    (tmp_path / "bootstrap.json").write_text(json.dumps(world.bootstrap))
+    (tmp_path / "player_2.json").write_text(json.dumps({"history": copies}))
+    boot = docs.bootstrap_tables(spark, str(tmp_path))
+    rows = cp.history(docs.histories(spark, str(tmp_path), boot["elements"]), cp.clubs(boot["teams"])).collect()
+    assert [(r.player_fixture_id, r.minutes) for r in rows] == [(1, 90)] and "_place" not in rows[0].asDict()

@@ -21,13 +21,12 @@ def number_rows(df: DataFrame, order: list[Column | str], name: str) -> DataFram
     """Number a table of any size 1..n by ``order``, which must be unique.
 
     One range exchange sorts the rows across the cluster; a hot leading value is split
-    because the whole sort key sets the ranges. The sorted rows are written to the shared
+    because the whole sort key sets the ranges, and AQE may merge small neighbours. The sorted rows are written to the shared
     folder, so that both readers below see the same partitions, and each partition's
     offset (one row per partition, hence broadcast) turns local positions into the key.
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = materialize(
-        df.repartitionByRange(partitions, *order)
+        df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_place", F.monotonically_increasing_id()))
     chunk = F.shiftrightunsigned("_place", _POSITION_BITS)

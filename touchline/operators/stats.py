@@ -88,8 +88,7 @@ def exact_quantiles(df: DataFrame, group: list[str], value: str, quantiles: dict
     counts = (df.filter(F.col(value).isNotNull())
               .groupBy(*group, F.col(value).cast("double").alias("_v"))
               .agg(F.count(F.lit(1)).alias("_n")))
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = materialize(counts.repartitionByRange(partitions, *group, "_v")
+    placed = materialize(counts.repartitionByRange(*group, "_v")
                          .withColumn("_b", F.spark_partition_id()))
     up_to = Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(*group)

@@ -47,9 +47,8 @@ def _chunked(df, partition, order, measures):
     rows are spread, and are written once to fix the cut. Each (group, chunk) is windowed on
     its own; totals of earlier chunks, at most one row per chunk, are added on top.
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     values = {f"_v_{n}": c for n, c in measures.items()}
-    cut = materialize(df.withColumns(values).repartitionByRange(partitions, *partition, *order)
+    cut = materialize(df.withColumns(values).repartitionByRange(*partition, *order)
                       .withColumn("_chunk", F.spark_partition_id()))
     before = (Window.partitionBy(*partition).orderBy("_chunk")
               .rowsBetween(Window.unboundedPreceding, -1))

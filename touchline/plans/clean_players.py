@@ -65,18 +65,14 @@ def team_fixtures(fixtures: DataFrame, club_names: DataFrame) -> DataFrame:
 
 
 def history(entries: DataFrame, club_names: DataFrame) -> DataFrame:
-    """One row per player and fixture, numbered by gameweek, player and fixture.
-
-    A doubled player fixture keeps the copy with the smallest kickoff and counts; the copies
-    of one fixture are equal in the documents.
-    """
+    """One row per player and fixture, the first in its file, numbered by gameweek, player and
+    fixture."""
     named = strict_look_up(entries, club_names, {"opponent_team": "id"}, {"team_name": "opponent_name"}, "club id")
     df = named.select(
         "fpl_element_id", F.col("round").alias("gameweek_id"), F.col("fixture").alias("fpl_fixture_id"),
         "opponent_name", utc_timestamp("kickoff_time").alias("kickoff_time"), "was_home",
         *HISTORY_COUNTS, *[to_number(c).alias(c) for c in HISTORY_RATINGS],
-        from_tenths("value").alias("price_m"), "selected", "transfers_in", "transfers_out")
-    df = df.withColumn("match_date", F.to_date("kickoff_time"))
-    key = ["fpl_element_id", "fpl_fixture_id"]
-    order = [c for c in df.columns if c not in key]
-    return number_rows(keep_first(df, key, order), ["gameweek_id", "fpl_element_id", "fpl_fixture_id"], "player_fixture_id")
+        from_tenths("value").alias("price_m"), "selected", "transfers_in", "transfers_out",
+        F.to_date(utc_timestamp("kickoff_time")).alias("match_date"), "_place")
+    once = keep_first(df, ["fpl_element_id", "fpl_fixture_id"], ["_place"]).drop("_place")
+    return number_rows(once, ["gameweek_id", "fpl_element_id", "fpl_fixture_id"], "player_fixture_id")

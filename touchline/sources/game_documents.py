@@ -63,11 +63,12 @@ def file_id(path: Column, prefix: str) -> Column:
 
 def histories(spark: SparkSession, folder: str, members: DataFrame, prefix: str = "player_",
               entry: str = "history", schema: str = HISTORY) -> DataFrame:
-    """Entries of every stored history file of a known member, with the member's id."""
+    """Entries of every stored history file of a known member, with the member's id and the
+    entry's place in its file."""
     document = (spark.read.schema(f"{entry} {schema}").option("multiLine", True).option("mode", "FAILFAST")
                 .option("pathGlobFilter", f"{prefix}[0-9]*.json").json(folder))
     rows = document.select(file_id(F.col("_metadata.file_path"), prefix).alias("fpl_element_id"),
-                           F.explode(entry).alias("_e")).select("fpl_element_id", "_e.*")
+                           F.posexplode(entry).alias("_place", "_e")).select("fpl_element_id", "_place", "_e.*")
     known = members.select(F.col("id").alias("_id"))
     return rows.join(known, F.col("fpl_element_id") == F.col("_id"), "left_semi")
 

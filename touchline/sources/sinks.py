@@ -87,7 +87,7 @@ def export_csv(tables: dict[str, DataFrame], folder: str, mark: bool = True) ->
         if mark:
             out = out.withColumnRenamed(out.columns[0], BYTE_ORDER_MARK + out.columns[0])
         (out.write.mode("overwrite").option("header", True).option("encoding", "UTF-8")
-         .option("timestampFormat", "yyyy-MM-dd HH:mm:ssxxx").csv(f"{folder}/{name}"))
+         .option("timeZone", "UTC").option("timestampFormat", "yyyy-MM-dd HH:mm:ssxxx").csv(f"{folder}/{name}"))
 
 
 def read_export(spark: SparkSession, folder: str, schema: str | None = None) -> DataFrame:
