@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions.expressions import fingerprint
+from touchline.operators.joins import small_side
 
 
 def signatures(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
@@ -61,8 +62,12 @@ def latest_entry(log: DataFrame, at: str) -> DataFrame:
 
 
 def replace_by_key(stored: DataFrame, batch: DataFrame, key: str) -> DataFrame:
-    """The stored rows without the keys of the batch, plus the batch."""
-    keys = batch.select(F.col(key).alias("_key")).distinct()
+    """The stored rows without the keys of the batch, plus the batch.
+
+    Keys such as a year have few values, so shuffling the stored rows by them would pile up;
+    the batch's keys are counted and broadcast when few.
+    """
+    keys = small_side(batch.select(F.col(key).alias("_key")).distinct())
     return (stored.join(keys, F.col(key) == F.col("_key"), "left_anti")
             .unionByName(batch.select(*stored.columns)))
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from touchline.operators.joins import small_side
+
 TEAMS = "array<struct<id: int, name: string, short_name: string>>"
 ELEMENT_TYPES = ("array<struct<id: int, singular_name: string, singular_name_short: string, "
                  "squad_select: int, squad_min_play: int, squad_max_play: int>>")
@@ -69,7 +71,7 @@ def histories(spark: SparkSession, folder: str, members: DataFrame, prefix: str
                 .option("pathGlobFilter", f"{prefix}[0-9]*.json").json(folder))
     rows = document.select(file_id(F.col("_metadata.file_path"), prefix).alias("fpl_element_id"),
                            F.posexplode(entry).alias("_place", "_e")).select("fpl_element_id", "_place", "_e.*")
-    known = members.select(F.col("id").alias("_id"))
+    known = small_side(members.select(F.col("id").alias("_id")))
     return rows.join(known, F.col("fpl_element_id") == F.col("_id"), "left_semi")
 
 
