@@ -17,8 +17,6 @@ DEFAULTS = {
     # Split a skewed join even where the split costs an extra exchange above it.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # Written intermediates go when nothing refers to them any more.
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
 }
 
@@ -43,7 +41,6 @@ def shared_folder(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         folder = tempfile.mkdtemp(prefix="touchline-")
-    if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
 
@@ -57,12 +54,15 @@ _ROWS: WeakKeyDictionary[DataFrame, int] = WeakKeyDictionary()
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the shared folder, counting its rows on the way; later steps
-    read it and a lost executor costs a re-read, not a re-run."""
-    shared_folder(df.sparkSession)
-    seen = Observation()
-    out = df.observe(seen, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
-    return with_known_rows(out, seen.get["rows"])
+    """Compute ``df`` once into a table in the shared folder, counting its rows on the way.
+
+    Later steps read that table, so a lost executor costs a re-read, not a re-run; every
+    reader reads only its columns, and the planner sees the real size.
+    """
+    spark, seen = df.sparkSession, Observation()
+    folder = new_folder(spark, "step")
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(folder)
+    return with_known_rows(spark.read.schema(df.schema).parquet(folder), seen.get["rows"])
 
 
 def with_known_rows(df: DataFrame, rows: int | None) -> DataFrame:
