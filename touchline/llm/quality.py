@@ -25,7 +25,7 @@ from touchline.llm.arrays import (BASES, NOT_SPACE, U64, between, byte_codes, ch
 GRAM, BUCKETS = 4, 1 << 16
 TRUSTED_DOCS = 20_000
 CORPUS_SHARE = 0.1
-LIMIT = -0.35
+LIMIT = -0.4
 UNIT = 1 << 20
 SYMBOLS = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
 WINDOW = 5
