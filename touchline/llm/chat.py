@@ -111,8 +111,7 @@ def formatted(turns: DataFrame) -> DataFrame:
     """The written pieces (conv_id, part, piece, ...) of conversations (conv_id, turn, role, text), in order of
     part and piece within a conversation."""
     order = ["conv_id", "turn", "role", "text"]
-    rows = turns.select(*order).repartitionByRange("conv_id", "turn", "role", F.xxhash64("text")).sortWithinPartitions(
-        "conv_id", "turn", "role", F.xxhash64("text"), "text")
+    rows = turns.select(*order).repartitionByRange("conv_id", "turn").sortWithinPartitions(*order)
     pieces = rows.mapInArrow(format_turns, PIECES)
     return written(pieces.select("conv_id", F.spark_partition_id().alias("part"), "piece", "n_turns", "text", "loss"))
 

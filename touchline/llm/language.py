@@ -105,7 +105,7 @@ class Model:
     def __init__(self, langs: list[str], counts: np.ndarray) -> None:
         self.langs, grams = langs, counts[:, :len(ORDERS) * BUCKETS].reshape(len(langs), len(ORDERS), BUCKETS)
         share = (grams + 0.5) / (grams.sum(2, keepdims=True) + 0.5 * BUCKETS)
-        self.scores = np.round(np.log(share) * UNIT / len(ORDERS)).astype(np.int64).reshape(len(langs), -1)
+        self.scores = np.round(np.log(share) * UNIT / len(ORDERS)).astype(np.int64).reshape(len(langs), len(ORDERS) * BUCKETS)
         scripts = counts[:, len(ORDERS) * BUCKETS:]
         used = scripts >= SCRIPT_SHARE * np.maximum(scripts.sum(1, keepdims=True), 1)
         used &= scripts > 0

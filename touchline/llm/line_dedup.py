@@ -168,16 +168,16 @@ def similar_lines(docs: DataFrame) -> DataFrame:
 def cut_lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in chunks(batches):
         texts = []
-        for text, removed in zip(batch.column("text").to_pylist(), batch.column("_removed").to_pylist(), strict=True):
+        for text, removed in zip(batch.column("text").to_pylist(), batch.column("_lines_removed").to_pylist(), strict=True):
             if text and removed:
                 gone = set(map(int, removed.split(",")))
                 text = "\n".join(line for i, line in enumerate(text.split("\n")) if i not in gone)
             texts.append(text)
-        kept = batch.drop_columns(["_removed"])
+        kept = batch.drop_columns(["_lines_removed"])
         yield kept.set_column(kept.schema.get_field_index("text"), "text", pa.array(texts, pa.string()))
 
 
 def without_similar_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with the removed lines cut from their texts; other columns stay as they are."""
-    decided = similar_lines(docs).select("doc_id", F.col("removed").alias("_removed"))
-    return docs.join(decided, "doc_id", "left").select(*docs.columns, "_removed").mapInArrow(cut_lines, docs.schema)
+    decided = similar_lines(docs).select("doc_id", F.col("removed").alias("_lines_removed"))
+    return docs.join(decided, "doc_id", "left").select(*docs.columns, "_lines_removed").mapInArrow(cut_lines, docs.schema)

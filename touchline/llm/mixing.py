@@ -111,9 +111,9 @@ def mixed(docs: DataFrame, entropy: float = TARGET_ENTROPY, repeats: float = MAX
     sources = weights(rows, entropy, repeats, budget)
 
     def blocked(frame: DataFrame) -> DataFrame:
-        counts = small(sources.select("_mix_source", "n", F.col("weight").alias("_mix_weight")), 64)
-        block = F.pmod(F.xxhash64("_mix_row", F.lit(SEED)), F.ceil(F.sqrt("n")).cast("long"))
-        return frame.join(counts, "_mix_source").withColumn("_mix_block", block).drop("n")
+        counts = small(sources.select("_mix_source", F.col("n").alias("_mix_n"), F.col("weight").alias("_mix_weight")), 64)
+        block = F.pmod(F.xxhash64("_mix_row", F.lit(SEED)), F.ceil(F.sqrt("_mix_n")).cast("long"))
+        return frame.join(counts, "_mix_source").withColumn("_mix_block", block).drop("_mix_n")
 
     rows = blocked(rows)
     plan = written(block_plan(rows, sources))

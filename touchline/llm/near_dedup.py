@@ -21,11 +21,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from touchline.llm.arrays import (BASES, NOT_SPACE, U64, between, chunks, mix, row_of, running, span_hashes, spans,
                                   text_bytes)
 from touchline.llm.linking import crowded, linked_groups
 from touchline.llm.tables import small, written
+from touchline.session import known_rows
 
 SHINGLE = 5
 NUM, DEN = 85, 100
@@ -196,7 +198,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def without_near_duplicates(docs: DataFrame) -> DataFrame:
-    """The documents of ``docs``, one of each group of near duplicates; repeated rows of one stay once."""
-    kept = near_duplicates(docs).filter("kept").select("doc_id").filter("doc_id IS NOT NULL").distinct()
-    named = docs.filter("doc_id IS NOT NULL").join(written(kept), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(docs.columns).unionByName(docs.filter("doc_id IS NULL"))
+    """The documents of ``docs``, one of each group of near duplicates. A doc_id that repeats stays once, with the
+    text that sorts first; rows without a doc_id all stay."""
+    found = near_duplicates(docs).filter("doc_id IS NOT NULL")
+    ids = written(found.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")).filter("n > 1 OR NOT kept"))
+    dropped, again = (written(ids.filter(rows).select("doc_id")) for rows in ("NOT kept", "kept"))
+    stay = docs.join(small(dropped, 8), "doc_id", "left_anti").select(docs.columns)
+    if not known_rows(again):
+        return stay
+    order = Window.partitionBy("doc_id").orderBy("text")
+    once = stay.join(small(again, 8), "doc_id", "left_semi").withColumn("_place", F.row_number().over(order)).filter("_place = 1")
+    return stay.join(small(again, 8), "doc_id", "left_anti").select(docs.columns).unionByName(once.select(docs.columns))

@@ -98,7 +98,7 @@ def extend(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The distinct windows of a document that hold a shared anchor."""
     for batch in chunks(batches):
         words = Words(batch.column("text"))
-        at = extended(words, listed(batch.column("seeds"), words.first))
+        at = extended(words, listed(batch.column("_seeds"), words.first))
         one, two = words.windows(at)
         own = first_in_row(one, two, words.rows[at])
         at = at[own]
@@ -109,12 +109,12 @@ def extend(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repeated(words: Words, batch: pa.RecordBatch) -> np.ndarray:
     """Which words a window covers that starts earlier elsewhere or in the same document."""
-    at = extended(words, listed(batch.column("seeds"), words.first))
+    at = extended(words, listed(batch.column("_seeds"), words.first))
     one, two = words.windows(at)
     again = at[~first_in_row(one, two, words.rows[at])]
     # A later copy of a window in one document goes as well where another document has it: it starts later still.
     edge = np.zeros(len(words.starts) + 1, np.int64)
-    for places in (again, listed(batch.column("gone"), words.first)):
+    for places in (again, listed(batch.column("_gone"), words.first)):
         np.add.at(edge, places, 1)
         np.add.at(edge, places + WINDOW, -1)
     return np.cumsum(edge[:-1]) > 0
@@ -154,21 +154,21 @@ def rewrite(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         touched = total[words.first[1:]] > total[words.first[:-1]]
         texts = [data[places[i]:max(places[i + 1] - 1, places[i])].tobytes().decode() if touched[i] else text
                  for i, text in enumerate(batch.column("text").to_pylist())]
-        kept = batch.drop_columns(["seeds", "gone"])
+        kept = batch.drop_columns(["_seeds", "_gone"])
         yield kept.set_column(kept.schema.get_field_index("text"), "text", pa.array(texts, pa.string()))
 
 
 def marked(docs: DataFrame) -> DataFrame:
-    """``docs`` with the word numbers of shared anchors (``seeds``) and of windows that an earlier document holds
-    (``gone``)."""
+    """``docs`` with the word numbers of shared anchors (``_seeds``) and of windows that an earlier document holds
+    (``_gone``)."""
     named = docs.select("doc_id", "text").filter("doc_id IS NOT NULL")
     seeds = named.mapInArrow(seed_rows, "seed long, doc_id long, at int")
     shared = written(seeds.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("seed"))
-    met = seeds.join(small(shared, 8), "seed").groupBy("doc_id").agg(F.collect_set("at").alias("seeds"))
+    met = seeds.join(small(shared, 8), "seed").groupBy("doc_id").agg(F.collect_set("at").alias("_seeds"))
     windows = written(named.join(met, "doc_id").mapInArrow(extend, "one long, two long, doc_id long, at int"))
     earliest = windows.groupBy("one", "two").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high")
     later = windows.join(earliest.drop("high"), ["one", "two"]).filter("doc_id > low")
-    gone = later.groupBy("doc_id").agg(F.collect_set("at").alias("gone"))
+    gone = later.groupBy("doc_id").agg(F.collect_set("at").alias("_gone"))
     return docs.join(met, "doc_id", "left").join(gone, "doc_id", "left")
 
 
@@ -179,4 +179,4 @@ def repeated_words(docs: DataFrame) -> DataFrame:
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with repeated words cut; a text that loses words is its kept words, joined by one space."""
-    return marked(docs).select(*docs.columns, "seeds", "gone").mapInArrow(rewrite, docs.schema)
+    return marked(docs).select(*docs.columns, "_seeds", "_gone").mapInArrow(rewrite, docs.schema)
