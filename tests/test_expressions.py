@@ -29,7 +29,8 @@ def test_numbers(spark, text, whole, number):
 
 
 @pytest.mark.parametrize("value, digits, rounded", [
-    (1.005, 2, 1.0), (2.675, 2, 2.68), (2.5, 0, 3.0), (-2.5, 0, -3.0), (0.25, 1, 0.3), (0.0, 2, 0.0)])
+    (1.005, 2, 1.0), (2.675, 2, 2.68), (2.5, 0, 3.0), (-2.5, 0, -3.0), (0.25, 1, 0.3), (0.0, 2, 0.0),
+    (1.0e14, 6, 1.0e14), (2.5e15, 4, 2.5e15), (1.0e18, 2, 1.0e18), (-3.0e18, 0, -3.0e18), (123456789.125, 2, 123456789.13)])
 def test_rounding(spark, value, digits, rounded):
     assert one(spark, e.round_half_away(F.lit(value), digits)) == rounded
 

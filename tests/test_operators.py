@@ -37,6 +37,16 @@ def test_running_keeps_a_null_group(spark):
         assert sorted((r.k or "", r.t, r.s) for r in rows) == [("", 1, 5), ("", 2, 11), ("a", 1, 1)]
 
 
+@pytest.mark.parametrize("hot_rows", [0, 5, 10**9])
+def test_running_totals_of_null_measures(spark, hot_rows):
+    rows = [(k, i, None if i < 18 or i % 7 == 0 else i) for k in ("a", "b") for i in range(40)]
+    df = spark.createDataFrame(rows, "k string, t int, v int").repartition(5)
+    got = {(r.k, r.t): r.s for r in windows.running(df, ["k"], ["t"], {"s": F.col("v")}, hot_rows=hot_rows).collect()}
+    for k, t, _ in rows:
+        seen = [v for q, i, v in rows if q == k and i <= t and v is not None]
+        assert got[k, t] == (sum(seen) if seen else None)
+
+
 @pytest.mark.parametrize("hot_rows", [0, 150, 10**9])
 def test_islands_match_brute_force(spark, hot_rows):
     df, pdf = skewed(spark, seed=4)
@@ -80,6 +90,14 @@ def test_rank_shares_ties_and_skips(spark):
     for small in (0, 100):
         got = {r.n: r.place for r in keys.competition_rank(df, ["p", "g"], "place", small).collect()}
         assert got == {"a": 1, "b": 1, "c": 3, "e": 4, "d": 5}
+    tied = spark.range(9000).withColumn("p", F.lit(1)).repartition(6)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # it would merge such small ranges
+    try:
+        ranked = keys.competition_rank(tied, ["p"], "place", 0)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert ranked.agg(F.min("place"), F.max("place"), F.count("id")).first()[:] == (1, 1, 9000)
+    assert ranked.filter("place = 1").inputFiles().__len__() > 1
 
 
 def test_lookups(spark):
@@ -115,7 +133,7 @@ def test_names(spark):
     other = spark.createDataFrame([("Real Madrid",)], "n string")
     with pytest.raises(Exception, match="Unmapped match name: Real Madrid"):
         other.select(joins.canonical("n", MATCH_NAMES, "match")).collect()
-    with pytest.raises(joins.UnmappedName, match="Real Madrid"):
+    with pytest.raises(joins.UnmappedName, match="1 unmapped match names, the first: Real Madrid"):
         joins.require_mapped(other, "n", MATCH_NAMES, "match")
 
 

@@ -3,7 +3,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from touchline.operators.reshape import column_presence
+from touchline.operators.reshape import column_presence, missing_columns
+from touchline.params import Params
 from touchline.sources import match_files, sinks
 from touchline.streaming.arrivals import on_arrival, seasons_in
 
@@ -21,15 +22,29 @@ def test_encodings_and_header_drift(spark, world):
     from tests.football import MATCH_SPELLING
     in_order = df.filter("is_current_season").orderBy(*match_files.FILE_ORDER).collect()
     assert [r.home_team for r in in_order[:60]] == [MATCH_SPELLING[h] for h in homes]
-    with pytest.raises(FileNotFoundError):
-        match_files.load_matches(spark, str(world.matches_dir), only=["9999"])
+    for seasons in (["9999"], ["2526", "9999"]):
+        with pytest.raises(FileNotFoundError, match="9999"):
+            match_files.load_matches(spark, str(world.matches_dir), only=seasons)
+        with pytest.raises(FileNotFoundError, match="9999"):
+            match_files.load_matches(spark, str(world.matches_dir), Params(seasons=tuple(seasons)))
+
+
+def test_by_header_reader_takes_both_encodings(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes("Referee,\"Home, away\"\nJ Müller,1\n".encode("latin-1"))
+    (tmp_path / "b.csv").write_bytes("\ufeffReferee,\"Home, away\"\nJ Mül,2\n".encode())
+    rows = match_files.read_by_header(spark, str(tmp_path), {"Referee": "r", "Home, away": "h"}).collect()
+    assert {(r.r, r.h) for r in rows} == {("J Müller", "1"), ("J Mül", "2")}
+    columns = match_files.file_headers(spark, str(tmp_path)).select("column").distinct().collect()
+    assert {r.column for r in columns} == {"Referee", "Home, away"}
 
 
 def test_column_presence(spark, world):
     headers = match_files.file_headers(spark, str(world.matches_dir))
     rows = {r.column: r for r in column_presence(headers, "file", "column").collect()}
-    assert rows["Date"].stable and not rows["Time"].stable and rows["Time"].missing_from == ["E0_2526.csv"]
-    assert rows["Div"].present_in == ["E0_2526.csv", "E0_2627.csv"]
+    assert rows["Date"].stable and not rows["Time"].stable and (rows["Time"].present, rows["Time"].files) == (1, 2)
+    assert rows["Div"].present == 2
+    lacking = {(r.file, r.column) for r in missing_columns(headers, "file", "column").collect()}
+    assert ("E0_2526.csv", "Time") in lacking and not [f for f, c in lacking if c in ("Div", "Date")]
 
 
 def test_manifest_and_cache(spark, world):
@@ -45,9 +60,6 @@ def test_manifest_and_cache(spark, world):
     due = match_files.seasons_to_fetch(seasons, first, "2627")
     assert sorted(r.season for r in due.collect()) == ["2425", "2627"]
     assert match_files.seasons_to_fetch(seasons, first, "2627", force=True).count() == 3
-    stored = {}
-    match_files.store_changed(lambda s: s.encode(), due, stored.__setitem__)
-    assert stored == {"2425": b"2425", "2627": b"2627"}
 
 
 def test_run_log(spark, tmp_path):
@@ -78,6 +90,14 @@ def test_partition_replacement_keeps_the_others(spark, tmp_path):
     assert sorted((r.k, r.v) for r in spark.read.parquet(folder).collect()) == [("a", 1), ("b", 9)]
 
 
+def test_landing_replaces_every_partition(spark, tmp_path):
+    folder = str(tmp_path / "p")
+    sinks.land(spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int"), folder, ["k"])
+    sinks.land(spark.createDataFrame([("b", 9)], "k string, v int"), folder, ["k"])
+    assert [(r.k, r.v) for r in spark.read.parquet(folder).collect()] == [("b", 9)]
+    assert sinks.exists(spark, folder) and not sinks.exists(spark, str(tmp_path / "none"))
+
+
 def test_landing_counts_while_writing(spark, tmp_path):
     assert sinks.land_all({"t": spark.range(7), "u": spark.range(0)}, str(tmp_path)) == {"t": 7, "u": 0}
 

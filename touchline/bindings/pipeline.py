@@ -70,9 +70,9 @@ def summary_row(spark, sf):
                         stamped(F.lit("2001-08-02").cast("timestamp")))
 
 
-@query("latest_log_row", "SELECT event_id, user_id, event_type, ts FROM events ORDER BY ts DESC LIMIT 1")
+@query("latest_log_row", "SELECT event_id, user_id, event_type, ts FROM events ORDER BY ts DESC, event_id DESC LIMIT 1")
 def latest_log_row(spark, sf):
-    return latest_entry(b.table(spark, sf, "events"), "ts").select("event_id", "user_id", "event_type", "ts")
+    return latest_entry(b.table(spark, sf, "events"), "ts", "event_id").select("event_id", "user_id", "event_type", "ts")
 
 
 @query("replace_by_key", """

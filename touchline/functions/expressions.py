@@ -13,9 +13,13 @@ def as_column(c: Column | str) -> Column:
 
 
 def round_half_away(c: Column, digits: int) -> Column:
-    """Round halves away from zero on the binary value, so 1.005 stays 1.0."""
+    """Round halves away from zero on the binary value, so 1.005 stays 1.0.
+
+    From 2**52 units on a double has no fraction of a unit, so such a value is already round.
+    """
     scale = float(10 ** digits)
-    return F.signum(c) * F.floor(F.abs(c) * scale + 0.5) / F.lit(scale)
+    whole = F.abs(c) * scale >= float(2 ** 52)
+    return F.when(whole, c.cast("double")).otherwise(F.signum(c) * F.floor(F.abs(c) * scale + 0.5) / F.lit(scale))
 
 
 def day_first_date(c: Column | str) -> Column:

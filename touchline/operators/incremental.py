@@ -57,8 +57,9 @@ def load_summary(matches: DataFrame, live: Column, day: str, facts: DataFrame, p
         "latest_gameweek", "latest_match_date")
 
 
-def latest_entry(log: DataFrame, at: str) -> DataFrame:
-    return log.orderBy(F.desc_nulls_last(at)).limit(1)
+def latest_entry(log: DataFrame, at: str, *ties: str) -> DataFrame:
+    """The newest row; ``ties`` say which of several rows of one time is meant, the greatest first."""
+    return log.orderBy(F.desc_nulls_last(at), *[F.desc_nulls_last(c) for c in ties]).limit(1)
 
 
 def replace_by_key(stored: DataFrame, batch: DataFrame, key: str) -> DataFrame:

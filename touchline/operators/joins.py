@@ -98,11 +98,16 @@ def strict_look_up(df: DataFrame, dim: DataFrame, on: dict[str, str], take: dict
 
 
 def require_mapped(df: DataFrame, column: str, names: dict[str, str], source: str) -> None:
-    """Stop before any work is done when a name is not mapped, naming up to 20 of them."""
-    misses = (df.filter(~is_mapped(column, names))
-              .select(F.trim(F.col(column)).alias("name")).distinct().limit(20).collect())
-    if misses:
-        raise UnmappedName(f"Unmapped {source} names: {sorted(str(r['name']) for r in misses)}")
+    """Stop before any work is done when a name is not mapped, saying how many and the first of them."""
+    missed = unmapped(df, column, names).agg(F.count(F.lit(1)).alias("n"), F.min("name").alias("first")).first()
+    if missed["n"]:
+        raise UnmappedName(f"{missed['n']} unmapped {source} names, the first: {missed['first']}")
+
+
+def unmapped(df: DataFrame, column: str, names: dict[str, str]) -> DataFrame:
+    """Every distinct name without a canonical spelling, NULL shown as such."""
+    shown = F.coalesce(F.trim(F.col(column)), F.lit("NULL")).alias("name")
+    return df.filter(~is_mapped(column, names)).select(shown).distinct()
 
 
 def with_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:

@@ -63,9 +63,10 @@ def competition_rank(df: DataFrame, by: list[str], name: str,
     rows = materialize(df)
     order = [F.col(c).desc_nulls_last() for c in by]
     if fits(rows, small_rows):
-        return rows.withColumn(name, F.rank().over(Window.orderBy(*order)))
-    numbered = number_rows(rows, order, "_number")
+        return rows.withColumn(name, F.rank().over(Window.orderBy(*order)).cast("long"))
+    # The hash of the whole row splits the range of a tie that many rows share.
+    numbered = number_rows(rows, [*order, F.xxhash64(*df.columns)], "_number")
     ties = numbered.groupBy(*[F.col(c).alias(f"_tie_{c}") for c in by]).agg(
-        F.min("_number").cast("int").alias(name))
+        F.min("_number").alias(name))
     same = [F.col(c).eqNullSafe(F.col(f"_tie_{c}")) for c in by]
     return numbered.join(ties, same).select(*df.columns, name)

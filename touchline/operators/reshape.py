@@ -69,13 +69,22 @@ def pivot_mean(df: DataFrame, rows: str, columns: str, values: list, measure: st
 
 
 def column_presence(headers: DataFrame, file: str, column: str) -> DataFrame:
-    """For each column: the files that have it, those that miss it, and whether it is stable.
+    """For each column: how many files have it, of how many, and whether all do.
 
-    ``headers`` holds one row per file and column; the number of files is small.
+    ``headers`` holds one row per file and column. No list of files is built, however many there are.
     """
-    files = headers.agg(F.array_sort(F.collect_set(file)).alias("_files"))
-    per_column = headers.groupBy(column).agg(F.array_sort(F.collect_set(file)).alias("present_in"))
+    files = headers.agg(F.count_distinct(file).alias("files"))
+    per_column = headers.groupBy(column).agg(F.count_distinct(file).alias("present"))
     return per_column.join(F.broadcast(files)).select(
-        column, "present_in",
-        F.array_except("_files", "present_in").alias("missing_from"),
-        (F.size("present_in") == F.size("_files")).alias("stable"))
+        column, "present", "files", (F.col("present") == F.col("files")).alias("stable"))
+
+
+def missing_columns(headers: DataFrame, file: str, column: str) -> DataFrame:
+    """One row per file and column that the file lacks and another one has.
+
+    Files are compared by their set of columns, and there are few such sets.
+    """
+    sets = headers.groupBy(file).agg(F.array_sort(F.collect_set(column)).alias("_has"))
+    known = sets.select("_has").distinct().select(F.explode("_has").alias(column)).distinct()
+    every = known.agg(F.collect_list(column).alias("_all"))
+    return sets.join(F.broadcast(every)).select(file, F.explode(F.array_except("_all", "_has")).alias(column))

@@ -57,10 +57,15 @@ def _chunked(df, partition, order, measures):
                        *[F.sum(v).over(before).alias(f"_before{v}") for v in values]))
     local = _windowed(cut, [*partition, "_chunk"], order, {f"_in{v}": F.col(v) for v in values})
     same = [F.col(c).eqNullSafe(F.col(f"_c_{c}")) for c in [*partition, "_chunk"]]
-    totals = [(F.col(f"_in_v_{n}") + F.coalesce(F.col(f"_before_v_{n}"), F.lit(0))).alias(n) for n in measures]
+    totals = [_added(F.col(f"_in_v_{n}"), F.col(f"_before_v_{n}")).alias(n) for n in measures]
     return local.join(carried, same, "left").select(*df.columns, *totals)
 
 
+def _added(here: Column, before: Column) -> Column:
+    """The sum of two totals, either of which is NULL while all its values are."""
+    return F.when(here.isNull(), before).when(before.isNull(), here).otherwise(here + before)
+
+
 def trailing_sum(df: DataFrame, partition: list[str], period: str, sums: dict[str, str],
                  span: int = 4) -> DataFrame:
     """Sums over the current period and the ``span`` period numbers before it.

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 @dataclass(frozen=True)
 class Params:
     current_season: str = "2627"
+    seasons: tuple[str, ...] | None = None  # each must have its match file; None takes what is there
     century: str = "20"
     matches_per_completed_season: int = 380
     matches_per_team_per_season: int = 38

@@ -16,7 +16,6 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join even where the split costs an extra exchange above it.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
 }
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,12 +20,13 @@ HEADERS = {
     "HF": "home_fouls", "AF": "away_fouls", "HC": "home_corners", "AC": "away_corners",
     "HY": "home_yellows", "AY": "away_yellows", "HR": "home_reds", "AR": "away_reds",
 }
+NEXT_FIELD = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'  # a comma outside quotes
 FILE_ORDER = ["_file_no", "_block", "_line"]
 MANIFEST_SCHEMA = ("season string, file string, bytes bigint, sha256 string, rows bigint, "
                    "fetched_at string")
 
 
-def file_contents(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
+def file_contents(spark: SparkSession, folder: str | list[str], pattern: str = "*.csv") -> DataFrame:
     """One row per file: its name and bytes."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
              .option("recursiveFileLookup", "true").load(folder))
@@ -38,14 +38,15 @@ def season_of(file: Column) -> Column:
     return F.regexp_extract(file, r"_([0-9]{4})\.csv$", 1)
 
 
-def encodings(spark: SparkSession, folder: str, pattern: str = "*.csv") -> dict[str, str]:
-    """Path -> encoding, from one distributed pass: UTF-8 when the bytes are valid, else Latin-1.
-
-    Only one short row per file (one file per season) comes back.
-    """
+def file_encodings(spark: SparkSession, paths: str | list[str], pattern: str = "*.csv") -> DataFrame:
+    """The encoding of each file, from one distributed pass: UTF-8 when the bytes are valid, else Latin-1."""
     kind = F.when(F.is_valid_utf8(F.col("content").cast("string")), "UTF-8").otherwise("ISO-8859-1")
-    rows = file_contents(spark, folder, pattern).select("path", kind.alias("encoding")).collect()
-    return {r["path"]: r["encoding"] for r in rows}
+    return file_contents(spark, paths, pattern).select("path", kind.alias("encoding"))
+
+
+def encodings(spark: SparkSession, folder: str, pattern: str = "*.csv") -> dict[str, str]:
+    """Path -> encoding. Only one short row per file (one file per season) comes back."""
+    return {r["path"]: r["encoding"] for r in file_encodings(spark, folder, pattern).collect()}
 
 
 def read_match_file(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
@@ -56,15 +57,18 @@ def read_match_file(spark: SparkSession, path: str, encoding: str = "UTF-8") ->
 
 def read_by_header(spark: SparkSession, paths: str | list[str], headers: dict[str, str],
                    pattern: str = "*.csv") -> DataFrame:
-    """Known columns of many files, read in one scan per distinct header.
+    """Known columns of many files, read in one scan per distinct header and encoding.
 
-    Files that share a header line may be read together; files that do not may not, as a
-    scan binds columns by position. Only header lines and paths come to the driver.
+    Files that share both may be read together; files that do not may not, as a scan binds
+    columns by position. Only header lines and paths come to the driver.
     """
-    lines = header_lines(spark, paths, pattern).groupBy("header").agg(F.collect_list("path").alias("paths"))
+    kinds = file_encodings(spark, paths, pattern)
+    lines = header_lines(spark, paths, pattern).join(kinds, "path").groupBy("header", "encoding").agg(
+        F.collect_list("path").alias("paths"))
     parts = []
-    for row in lines.orderBy("header").collect():
-        df = spark.read.option("header", True).option("inferSchema", False).csv(row["paths"])
+    for row in lines.orderBy("header", "encoding").collect():
+        df = (spark.read.option("header", True).option("inferSchema", False).option("encoding", row["encoding"])
+              .csv(row["paths"]))
         parts.append(df.select(*[F.col(f"`{c}`").alias(new) for c, new in headers.items() if c in df.columns]))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
@@ -74,12 +78,16 @@ def load_matches(spark: SparkSession, folder: str, params: Params = Params(),
     """Known columns of every season file, tagged with season and file order.
 
     Files are read one by one, as a header names the columns of its own file only. The
-    result is written once, which fixes the line numbers for the readers that follow.
+    result is written once, which fixes the line numbers for the readers that follow. Each
+    season of ``only``, or else of the configured ones, must have its file.
     """
-    parts = []
-    for number, (path, encoding) in enumerate(sorted(encodings(spark, folder).items())):
-        season = path.rsplit("_", 1)[-1].removesuffix(".csv")
-        if only is not None and season not in only:
+    wanted, parts = only if only is not None else params.seasons, []
+    found = {path.rsplit("_", 1)[-1].removesuffix(".csv"): (path, encoding)
+             for path, encoding in sorted(encodings(spark, folder).items())}
+    if absent := sorted(set(wanted or ()) - set(found)):
+        raise FileNotFoundError(f"no file in {folder} for season {', '.join(absent)}")
+    for number, (season, (path, encoding)) in enumerate(found.items()):
+        if wanted is not None and season not in wanted:
             continue
         df = read_match_file(spark, path, encoding)
         parts.append(df.select(
@@ -117,14 +125,15 @@ def header_lines(spark: SparkSession, paths: str | list[str], pattern: str = "*.
     listed = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
               .option("recursiveFileLookup", "true").load(paths).select("path"))
     lines = listed.mapInPandas(first_lines, "path string, header string")
-    return lines.withColumn("header", F.regexp_replace("header", "[\r\ufeff\"]", ""))
+    return lines.withColumn("header", F.regexp_replace("header", "[\r\ufeff]", ""))
 
 
 def file_headers(spark: SparkSession, paths: str | list[str], pattern: str = "*.csv") -> DataFrame:
     """One row per file and column, from the header lines."""
     return header_lines(spark, paths, pattern).select(
         "path", F.element_at(F.split("path", "/"), -1).alias("file"),
-        F.explode(F.split("header", ",")).alias("column")).filter(F.trim("column") != "")
+        F.explode(F.split("header", NEXT_FIELD)).alias("column")).select(
+        "path", "file", F.regexp_replace("column", '^"|"$', "").alias("column")).filter(F.trim("column") != "")
 
 
 def manifest(spark: SparkSession, folder: str, fetched_at: Column,
@@ -150,9 +159,3 @@ def seasons_to_fetch(seasons: DataFrame, stored: DataFrame, current_season: str,
     have = stored.select(F.col("season").alias("_have")).distinct()
     missing = seasons.join(have, F.col("season") == F.col("_have"), "left_anti")
     return missing.union(seasons.filter(F.col("season") == current_season)).distinct()
-
-
-def store_changed(fetch: Callable[[str], bytes], seasons: DataFrame, write: Callable[[str, bytes], None]) -> None:
-    """Fetch the listed seasons one by one (a short list) through the caller's own client."""
-    for row in seasons.orderBy("season").collect():
-        write(row["season"], fetch(row["season"]))

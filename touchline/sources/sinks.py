@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,14 +15,21 @@ BYTE_ORDER_MARK = "﻿"
 
 
 def exists(spark: SparkSession, folder: str) -> bool:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    """Whether a folder is there, in whatever store its path names. Nothing is read."""
+    try:
+        spark.read.format("binaryFile").load(folder)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
 
 
 def land(df: DataFrame, folder: str, partition_by: list[str] | None = None) -> int:
-    """Replace a table; the row count is observed while it is written."""
+    """Replace a table, with all its partitions; the row count is observed while it is written."""
     seen = Observation()
-    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+    writer = (df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+              .option("partitionOverwriteMode", "static"))
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(folder)
     return seen.get["rows"]
 

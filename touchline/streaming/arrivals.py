@@ -29,10 +29,16 @@ def on_arrival(spark: SparkSession, folder: str, checkpoint: str,
     ``handle`` may see a batch again after a failure, so it should replace what it writes
     (by season), not append.
     """
-    query = (new_files(spark, folder, pattern).writeStream.foreachBatch(handle)
+    handled = []
+
+    def counted(batch: DataFrame, number: int) -> None:
+        handle(batch, number)
+        handled.append(number)
+
+    query = (new_files(spark, folder, pattern).writeStream.foreachBatch(counted)
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     query.awaitTermination()
-    return sum(1 for p in query.recentProgress if p["numInputRows"] > 0)
+    return len(handled)
 
 
 def seasons_in(batch: DataFrame) -> DataFrame:
