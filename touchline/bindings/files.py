@@ -9,7 +9,7 @@ from touchline.bindings import inputs as b
 from touchline.bindings.registry import query
 from touchline.functions.expressions import calendar_columns, day_first_date, to_number, to_whole
 from touchline.operators.incremental import load_summary
-from touchline.operators.reshape import column_presence
+from touchline.operators.reshape import column_presence, missing_columns
 from touchline.sources import game_documents as docs
 from touchline.sources import match_files, sinks
 from touchline.session import new_folder
@@ -18,17 +18,17 @@ from touchline.streaming.arrivals import on_arrival
 HEADERS = {"Date": "match_date", "Key": "match_id", "Price": "price", "Status": "status", "Time": "kickoff_time"}
 
 
-def write_seasons(spark, sf):
+def write_seasons(spark, sf, folder=None, where="true"):
     """Orders as season folders of CSV whose headers differ: later seasons carry a time and
-    list their columns in another order."""
-    folder = new_folder(spark, "seasons")
-    orders = b.table(spark, sf, "orders").select(
+    list their columns in another order. Orders can arrive in several goes."""
+    folder = folder or new_folder(spark, "seasons")
+    orders = b.table(spark, sf, "orders").filter(where).select(
         F.year("o_orderdate").alias("y"), F.date_format("o_orderdate", "dd/MM/yyyy").alias("Date"),
         F.col("o_orderkey").alias("Key"), F.col("o_totalprice").alias("Price"),
         F.col("o_orderstatus").alias("Status"), F.date_format("o_orderdate", "HH:mm").alias("Time"))
     early, late = ["Date", "Key", "Price", "Status"], ["Key", "Time", "Date", "Status", "Price"]
     for era, columns, rows in (("early", early, orders.filter("y < 1998")), ("late", late, orders.filter("y >= 1998"))):
-        rows.select("y", *columns).write.partitionBy("y").option("header", True).csv(f"{folder}/{era}")
+        rows.select("y", *columns).write.mode("append").partitionBy("y").option("header", True).csv(f"{folder}/{era}")
     return folder
 
 
@@ -45,14 +45,28 @@ def season_files(spark, sf):
         to_number("price").alias("price"), "status", "kickoff_time")
 
 
-@query("column_presence", """
-SELECT * FROM (VALUES ('Date', TRUE, 2), ('Key', TRUE, 2), ('Price', TRUE, 2), ('Status', TRUE, 2), ('Time', FALSE, 1))
-  v("column", stable, headers)""")
+PRESENCE_SQL = """
+WITH held AS (SELECT DISTINCT year(o_orderdate) AS y FROM orders),
+columns(name, since) AS (VALUES ('Date', 0), ('Key', 0), ('Price', 0), ('Status', 0), ('Time', 1998))"""
+
+
+def season_headers(spark, sf):
+    """One row per season and column of its files."""
+    headers = match_files.file_headers(spark, write_seasons(spark, sf))
+    return headers.select(F.regexp_extract("path", "/y=([0-9]+)/", 1).cast("int").alias("y"), "column").distinct()
+
+
+@query("column_presence", PRESENCE_SQL + """
+SELECT name AS "column", count(*) AS present, (SELECT count(*) FROM held) AS files,
+  count(*) = (SELECT count(*) FROM held) AS stable
+FROM columns JOIN held ON y >= since GROUP BY name""")
 def presence(spark, sf):
-    headers = match_files.file_headers(spark, write_seasons(spark, sf)).select(
-        F.regexp_extract("path", "/(early|late)/", 1).alias("file"), "column")
-    return column_presence(headers, "file", "column").select(
-        "column", "stable", F.size("present_in").alias("headers"))
+    return column_presence(season_headers(spark, sf), "y", "column")
+
+
+@query("missing_columns", PRESENCE_SQL + 'SELECT CAST(y AS INTEGER) AS y, name AS "column" FROM columns JOIN held ON y < since')
+def absence(spark, sf):
+    return missing_columns(season_headers(spark, sf), "y", "column")
 
 
 @query("file_manifest", """
@@ -125,29 +139,46 @@ def landed_partitions(spark, sf):
     return spark.read.parquet(folder)
 
 
+@query("landed_replaced", """
+SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS y FROM orders WHERE year(o_orderdate) <> 2001""")
+def landed_replaced(spark, sf):
+    """A table landed again without one of its partitions does not keep that partition."""
+    folder = new_folder(spark, "replaced")
+    orders = b.table(spark, sf, "orders").select("o_orderkey", F.year("o_orderdate").alias("y"))
+    sinks.land(orders, folder, ["y"])
+    sinks.land(orders.filter(F.col("y") != b.LIVE_YEAR), folder, ["y"])
+    return spark.read.parquet(folder)
+
+
 @query("landed_version", """
-SELECT user_id AS run_id, event_type AS stage, value AS duration_s FROM events
-UNION ALL SELECT o_custkey, 'order', o_totalprice FROM orders WHERE FALSE""")
+SELECT event_type AS run_id, user_id AS stage, CASE event_type WHEN 'purchase' THEN value + 1 ELSE value END AS duration_s
+FROM events""")
 def landed_version(spark, sf):
-    """Replace by key without partitions: loading every run again must not double one."""
-    runs = b.table(spark, sf, "events").select(F.col("user_id").alias("run_id"), F.col("event_type").alias("stage"),
+    """Replace by key without partitions: the runs of one kind are loaded again with other times; the rest stays."""
+    runs = b.table(spark, sf, "events").select(F.col("event_type").alias("run_id"), F.col("user_id").alias("stage"),
                                                F.col("value").alias("duration_s"))
+    batch = runs.filter("run_id = 'purchase'").withColumn("duration_s", F.col("duration_s") + 1)
     first = sinks.land_new_version(spark, runs, "run_id", None, new_folder(spark, "runs"))
-    again = sinks.land_new_version(spark, runs, "run_id", first, new_folder(spark, "runs"))
+    again = sinks.land_new_version(spark, batch, "run_id", first, new_folder(spark, "runs"))
     return spark.read.parquet(again)
 
 
 @query("load_log", """
-SELECT y AS refreshed_at, count(*) AS total_matches FROM (SELECT CAST(year(o_orderdate) AS VARCHAR) AS y FROM orders
-  WHERE year(o_orderdate) IN (2000, 2001)) GROUP BY 1""")
+SELECT CAST(year(o_orderdate) AS VARCHAR) AS refreshed_at, count(*) AS total_matches,
+  count(*) FILTER (WHERE o_orderstatus = 'F') AS live_matches, (SELECT count(*) FROM lineitem) AS player_fixture_rows,
+  (SELECT max((year(l_shipdate) - 1995) * 12 + month(l_shipdate))::INTEGER FROM lineitem) AS latest_gameweek,
+  strftime(max(o_orderdate) FILTER (WHERE o_orderstatus = 'F'), '%Y-%m-%d') AS latest_match_date
+FROM orders GROUP BY year(o_orderdate)""")
 def load_log(spark, sf):
-    """Two loads append one row each; nothing is replaced."""
+    """One load per year appends one row each; nothing is replaced."""
     folder, orders = new_folder(spark, "log"), b.table(spark, sf, "orders")
     facts = b.lines_as_staged_history(spark, sf)
-    for year in (2000, 2001):
-        matches = orders.filter(F.year("o_orderdate") == year).select(F.to_date("o_orderdate").alias("match_date"))
-        sinks.append_log(load_summary(matches, F.lit(True), "match_date", facts, "gameweek_id", F.lit(str(year))), folder)
-    return spark.read.parquet(folder).select("refreshed_at", "total_matches")
+    years = sorted(r["y"] for r in orders.select(F.year("o_orderdate").alias("y")).distinct().collect())
+    for year in years:
+        matches = orders.filter(F.year("o_orderdate") == year).select(F.to_date("o_orderdate").alias("match_date"), "o_orderstatus")
+        row = load_summary(matches, F.col("o_orderstatus") == "F", "match_date", facts, "gameweek_id", F.lit(str(year)))
+        sinks.append_log(row, folder)
+    return spark.read.parquet(folder)
 
 
 @query("run_log", """
@@ -215,15 +246,18 @@ def seasons_to_fetch(spark, sf):
 @query("arrived_files", """
 SELECT CAST(year(o_orderdate) AS INTEGER) AS y, count(*) AS orders FROM orders GROUP BY 1""")
 def arrived_files(spark, sf):
-    """New files drive a stream that lands their season; a second run finds nothing new."""
-    source, work = write_seasons(spark, sf), new_folder(spark, "arrivals")
+    """Each season's files arrive in two goes. New files drive a stream that rebuilds their season from all of its
+    files; a third run finds nothing new."""
+    source, work = new_folder(spark, "seasons"), new_folder(spark, "arrivals")
 
     def land(batch, number):
-        paths = [r["path"] for r in batch.select("path").collect()]  # one short row per new file
-        rows = match_files.read_by_header(spark, paths, HEADERS)
+        seasons = batch.select(F.regexp_extract("path", "/((?:early|late)/y=[0-9]+)/", 1).alias("s")).distinct().collect()
+        rows = match_files.read_by_header(spark, [f"{source}/{r['s']}" for r in seasons], HEADERS)
         sinks.land_partitions(rows.select("match_id", F.year(day_first_date("match_date")).alias("y")), f"{work}/landed", "y")
 
-    on_arrival(spark, f"{source}/*/*", f"{work}/state", land)
+    for half in ("month(o_orderdate) <= 6", "month(o_orderdate) > 6"):
+        write_seasons(spark, sf, source, half)
+        on_arrival(spark, f"{source}/*/*", f"{work}/state", land)
     if on_arrival(spark, f"{source}/*/*", f"{work}/state", land):
         raise AssertionError("a processed file arrived again")
     return spark.read.parquet(f"{work}/landed").groupBy("y").agg(F.count(F.lit(1)).alias("orders"))

@@ -22,7 +22,7 @@ def seasons(spark, sf):
 
 @query("league_table", ctes(b.MATCHES_SQL, b.TEAM_MATCH_SQL, b.SEASONS_SQL) + """
 SELECT CAST(rank() OVER (ORDER BY sum(points) DESC, sum(goals_for) - sum(goals_against) DESC,
-    sum(goals_for) DESC) AS INTEGER) AS position,
+    sum(goals_for) DESC) AS BIGINT) AS position,
   n_name AS team_name, count(*) AS played,
   CAST(sum(CASE WHEN points = 3 THEN 1 ELSE 0 END) AS BIGINT) AS won,
   CAST(sum(CASE WHEN points = 1 THEN 1 ELSE 0 END) AS BIGINT) AS drawn,
@@ -32,7 +32,7 @@ SELECT CAST(rank() OVER (ORDER BY sum(points) DESC, sum(goals_for) - sum(goals_a
 FROM team_match JOIN nation ON n_nationkey = team_id JOIN seasons USING (season_id)
 WHERE status = 'in_progress' GROUP BY n_name""")
 def league_table(spark, sf):
-    rows = reports.team_match(b.keyed_matches(spark, sf, b.LIVE_START))
+    rows = reports.team_match(b.keyed_matches(spark, sf))
     return analyses.league_table(rows, b.nations_as_teams(spark, sf), seasons(spark, sf))
 
 
@@ -70,7 +70,7 @@ outlook AS (
 
 
 def outlook(spark, sf):
-    return analyses.fixture_outlook(b.nation_fixtures(spark, sf, b.OPEN_START),
+    return analyses.fixture_outlook(b.nation_fixtures(spark, sf),
                                     b.nations_as_teams(spark, sf), b.months_as_gameweeks(spark, sf))
 
 
@@ -89,19 +89,29 @@ def outlook_panel(spark, sf):
 
 @query("pivot_outlook", ctes(b.MATCHES_SQL, b.FIXTURES_SQL, """
 means AS (SELECT n_name AS team_name, gameweek_id, avg(difficulty) AS m FROM fixtures
-  JOIN nation ON n_nationkey = team_id WHERE NOT finished AND gameweek_id BETWEEN 76 AND 80 GROUP BY ALL)""") + """
-SELECT team_name, max(CASE WHEN gameweek_id = 76 THEN round(m, 6) END) AS gw76,
-  max(CASE WHEN gameweek_id = 77 THEN round(m, 6) END) AS gw77,
-  max(CASE WHEN gameweek_id = 78 THEN round(m, 6) END) AS gw78,
-  max(CASE WHEN gameweek_id = 79 THEN round(m, 6) END) AS gw79,
-  max(CASE WHEN gameweek_id = 80 THEN round(m, 6) END) AS gw80, round(avg(m), 6) AS mean
+  JOIN nation ON n_nationkey = team_id WHERE NOT finished AND gameweek_id BETWEEN 66 AND 70 GROUP BY ALL)""") + """
+SELECT team_name, max(CASE WHEN gameweek_id = 66 THEN round(m, 6) END) AS gw66,
+  max(CASE WHEN gameweek_id = 67 THEN round(m, 6) END) AS gw67,
+  max(CASE WHEN gameweek_id = 68 THEN round(m, 6) END) AS gw68,
+  max(CASE WHEN gameweek_id = 69 THEN round(m, 6) END) AS gw69,
+  max(CASE WHEN gameweek_id = 70 THEN round(m, 6) END) AS gw70, round(avg(m), 6) AS mean
 FROM means GROUP BY team_name""")
 def pivot_outlook(spark, sf):
-    wide = screens.difficulty_matrix(b.nation_fixtures(spark, sf, b.OPEN_START),
-                                     b.nations_as_teams(spark, sf), [76, 77, 78, 79, 80])
+    wide = screens.difficulty_matrix(b.nation_fixtures(spark, sf),
+                                     b.nations_as_teams(spark, sf), [66, 67, 68, 69, 70])
     return wide.select("team_name", *[round_half_away(F.col(c), 6).alias(c) for c in wide.columns[1:]])
 
 
+RUNS_SQL = ctes(b.GAMES_SQL, """
+defeats AS (
+  SELECT team_id, season_id, list((full_date, match_id)) AS lost FROM games WHERE points = 0 GROUP BY ALL),
+runs AS (
+  SELECT team_id, season_id, count(*) AS streak_length, min(full_date) AS started, max(full_date) AS ended
+  FROM games LEFT JOIN defeats USING (team_id, season_id)
+  WHERE points <> 0
+  GROUP BY team_id, season_id, coalesce(len(list_filter(lost, lambda x: x < (full_date, match_id))), 0))""")
+
+
 @query("points_race", ctes(b.GAMES_SQL) + """
 SELECT team_id, season_id, full_date, match_id, points,
   row_number() OVER w AS played, CAST(sum(points) OVER w AS BIGINT) AS cumulative_points
@@ -111,6 +121,23 @@ def points_race(spark, sf):
     return analyses.points_race(b.customer_games(spark, sf), ["full_date", "match_id"])
 
 
+@query("points_race_chunked", ctes(b.GAMES_SQL) + """
+SELECT team_id, season_id, full_date, match_id, nullif(points, 0) AS points,
+  count(*) OVER w AS played, CAST(sum(nullif(points, 0)) OVER w AS BIGINT) AS cumulative_points
+FROM games WINDOW w AS (PARTITION BY team_id ORDER BY full_date, match_id
+                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+def points_race_chunked(spark, sf):
+    """Every team counts as hot, and defeats have NULL points: the cut groups carry totals and NULLs on."""
+    games = b.customer_games(spark, sf).withColumn("points", F.nullif("points", F.lit(0)))
+    return analyses.points_race(games, ["full_date", "match_id"], hot_rows=0)
+
+
+@query("unbeaten_runs_chunked", RUNS_SQL + "SELECT * FROM runs")
+def unbeaten_runs_chunked(spark, sf):
+    """The runs again, every group taken for a hot one."""
+    return analyses.unbeaten_runs(b.customer_games(spark, sf), ["full_date", "match_id"], "full_date", hot_rows=0)
+
+
 @query("title_race", ctes(b.GAMES_SQL) + """
 SELECT c_name AS team_name, row_number() OVER w AS played, CAST(sum(points) OVER w AS BIGINT) AS cumulative_points
 FROM games JOIN customer ON c_custkey = team_id WHERE season_id = 2001
@@ -124,17 +151,6 @@ def customers_as_teams(spark, sf):
         F.col("c_custkey").alias("team_id"), F.col("c_name").alias("team_name"))
 
 
-RUNS_SQL = ctes(b.GAMES_SQL, """
-marked AS (SELECT *, points > 0 AS unbeaten FROM games),
-grouped AS (
-  SELECT *, row_number() OVER (PARTITION BY team_id, season_id ORDER BY full_date, match_id)
-    - row_number() OVER (PARTITION BY team_id, season_id, unbeaten ORDER BY full_date, match_id) AS island
-  FROM marked),
-runs AS (
-  SELECT team_id, season_id, count(*) AS streak_length, min(full_date) AS started, max(full_date) AS ended
-  FROM grouped WHERE unbeaten GROUP BY team_id, season_id, island)""")
-
-
 @query("unbeaten_runs", RUNS_SQL + "SELECT * FROM runs")
 def unbeaten_runs(spark, sf):
     return analyses.unbeaten_runs(b.customer_games(spark, sf), ["full_date", "match_id"], "full_date")
@@ -209,11 +225,10 @@ def repeated_dates(spark, sf):
 
 
 @query("set_difference", """
-SELECT DISTINCT c_nationkey AS nation FROM customer
-EXCEPT SELECT s_nationkey FROM supplier""")
-def nations_without_supplier(spark, sf):
-    customers = b.table(spark, sf, "customer").select(F.col("c_nationkey").alias("nation"))
-    return set_difference(customers, b.table(spark, sf, "supplier").select("s_nationkey"))
+SELECT DISTINCT o_orderkey AS orderkey FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)""")
+def orders_without_lines(spark, sf):
+    orders = b.table(spark, sf, "orders").select(F.col("o_orderkey").alias("orderkey"))
+    return set_difference(orders, b.table(spark, sf, "lineitem").select("l_orderkey"))
 
 
 @query("two_way_difference", """

@@ -8,7 +8,7 @@ from touchline.bindings import inputs as b
 from touchline.bindings.registry import query
 from touchline.operators import warehouse_tests as wt
 from touchline.operators.joins import dropped_keys, look_up, require, small_side
-from touchline.operators.keys import competition_rank, number_rows
+from touchline.operators.keys import competition_rank, number_members, number_rows
 from touchline.plans import dims, facts
 from touchline.plans.staging import SCHEMAS, staged
 
@@ -26,34 +26,35 @@ def conformed_dim(spark, sf):
 
 SEASON_ROWS_SQL = """
 season_rows AS (
-  SELECT CAST(o_orderdate AS DATE) AS match_date,
-    strftime(o_orderdate, '%y') || strftime(o_orderdate + INTERVAL 12 MONTH, '%y') AS season_code,
-    strftime(o_orderdate, '%Y') || '/' || strftime(o_orderdate + INTERVAL 12 MONTH, '%y') AS season_label,
-    nullif(o_orderpriority, '4-NOT SPECIFIED') AS referee FROM orders)"""
+  SELECT o_orderdate::DATE AS match_date, year(o_orderdate) AS y,
+    printf('%02d%02d', year(o_orderdate) % 100, (year(o_orderdate) + 1) % 100) AS season_code,
+    printf('%d/%02d', year(o_orderdate), (year(o_orderdate) + 1) % 100) AS season_label,
+    CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN o_orderpriority END AS referee FROM orders)"""
 SEASON_DIM_SQL = SEASON_ROWS_SQL + """,
+years AS (SELECT y, any_value(season_code) AS code, any_value(season_label) AS label FROM season_rows GROUP BY y),
+notes(code, note) AS (VALUES ('9900', 'partial_behind_closed_doors'), ('0001', 'behind_closed_doors')),
 dim_season AS (
-  SELECT row_number() OVER (ORDER BY season_code) AS season_id, season_code, season_label,
-    CAST('20' || substr(season_code, 1, 2) AS INTEGER) AS start_year,
-    CAST('20' || substr(season_code, 3, 2) AS INTEGER) AS end_year,
-    CASE season_code WHEN '9900' THEN 'partial_behind_closed_doors' WHEN '0001' THEN 'behind_closed_doors'
-      ELSE 'normal' END AS crowd_status,
-    CASE WHEN season_code = '0102' THEN 'in_progress' ELSE 'completed' END AS status
-  FROM (SELECT DISTINCT season_code, season_label FROM season_rows))"""
+  SELECT (SELECT count(*) FROM years e WHERE e.code <= years.code) AS season_id, code AS season_code,
+    label AS season_label, (2000 + y % 100)::INTEGER AS start_year, (2000 + (y + 1) % 100)::INTEGER AS end_year,
+    ifnull(note, 'normal') AS crowd_status, if(code = '0102', 'in_progress', 'completed') AS status
+  FROM years LEFT JOIN notes USING (code))"""
 DATE_DIM_SQL = """
-bounds AS (
-  SELECT min(match_date) AS lo, greatest(max(match_date),
-    CAST((SELECT max(deadline_time) FROM gameweeks) AS DATE) + 7) AS hi FROM season_rows),
+span AS (
+  SELECT min(match_date) AS lo, max(match_date) AS last_match,
+    (SELECT max(deadline_time)::DATE + 7 FROM gameweeks) AS last_deadline FROM season_rows),
+days AS (
+  SELECT lo + i::INTEGER AS d FROM span, range(0, 20000) r(i)
+  WHERE lo + i::INTEGER <= CASE WHEN last_match > last_deadline THEN last_match ELSE last_deadline END),
 dim_date AS (
-  SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_id, CAST(d AS DATE) AS full_date,
-    CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month, strftime(d, '%B') AS month_name,
-    CAST(day(d) AS INTEGER) AS day_of_month, strftime(d, '%A') AS day_of_week,
-    CAST(week(d) AS INTEGER) AS iso_week, CAST(dayofweek(d) IN (0, 6) AS INTEGER) AS is_weekend
-  FROM (SELECT unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS d FROM bounds))"""
+  SELECT (10000 * date_part('year', d) + 100 * date_part('month', d) + date_part('day', d))::INTEGER AS date_id,
+    d AS full_date, date_part('year', d)::INTEGER AS year, date_part('month', d)::INTEGER AS month,
+    monthname(d) AS month_name, date_part('day', d)::INTEGER AS day_of_month, dayname(d) AS day_of_week,
+    date_part('week', d)::INTEGER AS iso_week, if(isodow(d) >= 6, 1, 0)::INTEGER AS is_weekend FROM days)"""
 REFEREE_DIM_SQL = """
+named AS (SELECT referee FROM season_rows WHERE length(trim(referee)) > 0 GROUP BY referee),
 dim_referee AS (
-  SELECT 0 AS referee_id, 'Unknown' AS referee_name UNION ALL
-  SELECT row_number() OVER (ORDER BY referee), referee
-  FROM (SELECT DISTINCT referee FROM season_rows WHERE referee IS NOT NULL AND trim(referee) <> ''))"""
+  SELECT n.referee AS referee_name, count(*) AS referee_id FROM named n JOIN named e ON e.referee <= n.referee GROUP BY 1
+  UNION ALL SELECT 'Unknown', 0)"""
 
 
 @query("season_dim", ctes(SEASON_DIM_SQL) + "SELECT * FROM dim_season")
@@ -114,7 +115,7 @@ SELECT match_id, h.team_id AS home_team_id, a.team_id AS away_team_id, s.season_
   coalesce(r.referee_id, 0) AS referee_id, ft_home_goals, ft_away_goals, ft_result, ht_home_goals, ht_away_goals,
   home_shots, away_shots, home_points, away_points, total_goals, goal_difference
 FROM matches m
-JOIN dim_season s ON s.season_label = strftime(m.match_date, '%Y') || '/' || strftime(m.match_date + INTERVAL 12 MONTH, '%y')
+JOIN dim_season s ON s.season_label = printf('%d/%02d', year(m.match_date), (year(m.match_date) + 1) % 100)
 JOIN dim_date d ON d.full_date = m.match_date
 JOIN names h ON h.n_nationkey = m.home_team_id JOIN names a ON a.n_nationkey = m.away_team_id
 LEFT JOIN dim_referee r ON r.referee_name = m.referee""")
@@ -184,10 +185,27 @@ def surrogate_key(spark, sf):
 
 
 @query("distributed_rank", """
-SELECT CAST(rank() OVER (ORDER BY o_totalprice DESC) AS INTEGER) AS place, o_orderkey, o_totalprice FROM orders""")
+SELECT rank() OVER (ORDER BY o_totalprice DESC) AS place, o_orderkey, o_totalprice FROM orders""")
 def distributed_rank(spark, sf):
+    """No row count is small enough here for the one-task window."""
     orders = b.table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
-    return competition_rank(orders, ["o_totalprice"], "place")
+    return competition_rank(orders, ["o_totalprice"], "place", small_rows=0)
+
+
+@query("distributed_rank_ties", """
+SELECT 1 + (SELECT count(*) FROM lineitem h WHERE h.l_quantity > q.l_quantity) AS place, l_orderkey, l_linenumber, l_quantity
+FROM lineitem JOIN (SELECT DISTINCT l_quantity FROM lineitem) q USING (l_quantity)""")
+def distributed_rank_ties(spark, sf):
+    """Fifty quantities rank all lines, so each tie is spread over range partitions."""
+    lines = b.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    return competition_rank(lines, ["l_quantity"], "place", small_rows=0)
+
+
+@query("numbered_large_dim", """
+SELECT row_number() OVER (ORDER BY c_name) AS customer_id, c_name FROM (SELECT DISTINCT c_name FROM customer)""")
+def numbered_large_dim(spark, sf):
+    """A dimension numbered the way a large one is."""
+    return number_members(b.table(spark, sf, "customer").select("c_name").distinct(), ["c_name"], "customer_id", small_rows=0)
 
 
 @query("gap_dates", """

@@ -195,3 +195,15 @@ def within_bounds(spark, sf):
     low = days.filter("minutes > 98").agg(F.min("gameweek_id").alias("lo"))
     return with_one_row(days, low).filter(F.col("gameweek_id").between(F.col("lo"), F.col("lo") + 4)).select(
         "fpl_fixture_id", "gameweek_id", "minutes")
+
+
+@query("rounded_large", """
+SELECT l_orderkey, l_linenumber, l_orderkey * 1e14::DOUBLE AS big, -l_orderkey * 1e16::DOUBLE AS negative,
+  round(l_extendedprice / 7, 3) AS small FROM lineitem""")
+def rounded_large(spark, sf):
+    """Totals past 1e14 have no digits left to round; they must come back as they are."""
+    rows = b.table(spark, sf, "lineitem")
+    key = F.col("l_orderkey").cast("double")
+    return rows.select("l_orderkey", "l_linenumber", e.round_half_away(key * 1e14, 6).alias("big"),
+                       e.round_half_away(-key * 1e16, 2).alias("negative"),
+                       e.round_half_away(F.col("l_extendedprice") / 7, 3).alias("small"))

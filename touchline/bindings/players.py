@@ -15,8 +15,6 @@ from touchline.plans import analyses, reports, screens
 
 ctes = b.with_ctes
 REPORT = ctes(b.PLAYERS_SQL, b.FACTS_SQL, b.SEASON_REPORT_SQL)
-LIVE_REPORT = ctes(b.PLAYERS_SQL, b.FACTS_SQL.replace("FROM lineitem", "FROM lineitem WHERE l_shipdate >= DATE '2001-01-01'"),
-                   b.SEASON_REPORT_SQL)
 FACTS = ctes(b.PLAYERS_SQL, b.FACTS_SQL)
 VIEW = "WHERE position_short IN ('ECO', 'LAR', 'PRO') AND price_m <= 9.9 AND minutes >= 900"
 
@@ -27,8 +25,8 @@ def dims(spark, sf):
             small_side(b.types_as_positions(spark, sf)))
 
 
-def season_report(spark, sf, since=None):
-    return reports.player_season(*dims(spark, sf), b.lines_as_facts(spark, sf, since))
+def season_report(spark, sf):
+    return reports.player_season(*dims(spark, sf), b.lines_as_facts(spark, sf))
 
 
 def view(spark, sf):
@@ -40,9 +38,28 @@ def player_season(spark, sf):
     return season_report(spark, sf)
 
 
-@query("zero_fact_entities", LIVE_REPORT + "SELECT * FROM player_season")
+@query("zero_fact_entities", """
+WITH used AS (SELECT l_orderkey, count(*) AS n, count(*) FILTER (WHERE l_returnflag <> 'N') AS played,
+  sum(if(l_returnflag = 'N', 0, l_quantity::INTEGER * 2))::BIGINT AS m, sum(l_linenumber)::BIGINT AS tp,
+  sum(round(l_discount * 100))::BIGINT AS g, sum(round(l_tax * 100))::BIGINT AS a,
+  count(*) FILTER (WHERE l_linestatus = 'F') AS cs, sum(l_linenumber % 4)::BIGINT AS b FROM lineitem GROUP BY 1)
+SELECT o_orderkey AS player_id, o_orderstatus AS web_name, o_orderpriority AS full_name, o_totalprice AS price_m,
+  0.0::DOUBLE AS selected_by_percent, 'a' AS status, o_orderpriority AS team_name, o_orderstatus AS position_short,
+  o_orderstatus AS position_name, ifnull(n, 0) AS fixtures, ifnull(played, 0) AS appearances, m AS minutes, tp AS points,
+  g AS goals, a AS assists, cs AS clean_sheets, b AS bonus, round(tp / o_totalprice, 2) AS points_per_million
+FROM orders LEFT JOIN used ON l_orderkey = o_orderkey""")
 def zero_fact_entities(spark, sf):
-    return season_report(spark, sf, b.LIVE_START)
+    """Orders as players whose lines are their fixtures: those without lines keep a row."""
+    orders = b.table(spark, sf, "orders")
+    team, position = F.col("o_orderpriority"), F.col("o_orderstatus")
+    players = orders.select(
+        F.col("o_orderkey").alias("player_id"), position.alias("web_name"), team.alias("full_name"), team.alias("team_id"),
+        position.alias("position_id"), F.col("o_totalprice").alias("price_m"), F.lit(0.0).alias("selected_by_percent"),
+        F.lit("a").alias("status"))
+    teams = orders.select(team.alias("team_id"), team.alias("team_name")).distinct()
+    positions = orders.select(position.alias("position_id"), position.alias("position_name"), position.alias("position_short")).distinct()
+    lines = b.lines_as_facts(spark, sf).withColumn("player_id", F.col("player_fixture_id"))
+    return reports.player_season(players, small_side(teams), small_side(positions), lines)
 
 
 @query("value_top30", REPORT + """
@@ -71,13 +88,14 @@ def category_returns(spark, sf):
     return analyses.position_returns(season_report(spark, sf), b.types_as_positions(spark, sf))
 
 
-FORM_SQL = FACTS.rstrip() + """, pf AS (
-  SELECT player_id, gameweek_id, CAST(sum(total_points) AS BIGINT) AS tp, CAST(sum(minutes) AS BIGINT) AS mi
-  FROM facts GROUP BY ALL)
-SELECT web_name, team_name, position_short, price_m, gameweek_id,
-  CAST(sum(tp) OVER w AS BIGINT) AS points_last_5, CAST(sum(mi) OVER w AS BIGINT) AS minutes_last_5
-FROM pf JOIN players USING (player_id) JOIN teams USING (team_id) JOIN positions USING (position_id)
-WINDOW w AS (PARTITION BY player_id ORDER BY gameweek_id RANGE BETWEEN 4 PRECEDING AND CURRENT ROW)"""
+FORM_SQL = FACTS.rstrip() + """, slots AS (SELECT DISTINCT player_id, gameweek_id FROM facts)
+SELECT web_name, team_name, position_short, price_m, gameweek_id, points_last_5, minutes_last_5
+FROM (
+  SELECT s.player_id, s.gameweek_id, sum(f.total_points)::BIGINT AS points_last_5, sum(f.minutes)::BIGINT AS minutes_last_5
+  FROM slots s JOIN facts f ON f.player_id = s.player_id AND s.gameweek_id - f.gameweek_id IN (0, 1, 2, 3, 4)
+  GROUP BY s.player_id, s.gameweek_id)
+NATURAL JOIN (SELECT * EXCLUDE (full_name, selected_by_percent, status) FROM players)
+NATURAL JOIN teams NATURAL JOIN (SELECT position_id, position_short FROM positions)"""
 
 
 @query("rolling_form", FORM_SQL)
@@ -111,18 +129,20 @@ LATEST_BY = ("gameweek_id", "date_id", "fpl_fixture_id", "price_m", "selected",
              "transfers_out", "assists")
 
 
-@query("latest_value", FACTS + f"""
-SELECT a.player_id, web_name, position_short AS position, team_name, squad_games, full_games, unused, minutes,
-  total_points, latest_price_m, owners, round(total_points / nullif(latest_price_m, 0), 2) AS points_per_million,
-  round(100.0::DOUBLE * full_games / nullif(squad_games, 0), 0) AS start_rate_pct
-FROM (SELECT player_id, count(*) AS squad_games,
-        CAST(sum(CASE WHEN minutes >= 60 THEN 1 ELSE 0 END) AS BIGINT) AS full_games,
-        CAST(sum(CASE WHEN minutes = 0 THEN 1 ELSE 0 END) AS BIGINT) AS unused,
-        CAST(sum(minutes) AS BIGINT) AS minutes, CAST(sum(total_points) AS BIGINT) AS total_points,
-        arg_max(price_m, row({', '.join(LATEST_BY)})) AS latest_price_m,
-        arg_max(selected, row({', '.join(LATEST_BY)})) AS owners
-      FROM facts GROUP BY player_id) a
-JOIN players p ON p.player_id = a.player_id LEFT JOIN teams USING (team_id) LEFT JOIN positions USING (position_id)""")
+@query("latest_value", FACTS.rstrip() + f""",
+newest AS (
+  SELECT DISTINCT ON (player_id) player_id, price_m AS latest_price_m, selected AS owners FROM facts
+  ORDER BY player_id, {', '.join(c + ' DESC' for c in LATEST_BY)}),
+games AS (
+  SELECT player_id, count(*) AS squad_games, count(*) FILTER (WHERE minutes >= 60) AS full_games,
+    count(*) FILTER (WHERE minutes = 0) AS unused, sum(minutes)::BIGINT AS minutes, sum(total_points)::BIGINT AS total_points
+  FROM facts GROUP BY player_id)
+SELECT player_id, web_name, (SELECT position_short FROM positions q WHERE q.position_id = players.position_id) AS position,
+  (SELECT team_name FROM teams t WHERE t.team_id = players.team_id) AS team_name, squad_games, full_games, unused, minutes,
+  total_points, latest_price_m, owners,
+  CASE WHEN latest_price_m <> 0 THEN round(total_points / latest_price_m, 2) END AS points_per_million,
+  round(100.0::DOUBLE * full_games / squad_games, 0) AS start_rate_pct
+FROM newest JOIN games USING (player_id) JOIN players USING (player_id)""")
 def latest_value(spark, sf):
     return reports.player_value(*dims(spark, sf), b.lines_as_facts(spark, sf), latest_by=LATEST_BY)
 
