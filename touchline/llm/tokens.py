@@ -1,8 +1,10 @@
 """Token ids in compressed binary blocks that give back single short documents.
 
-Texts are cut before a blank or line feed that follows a byte no white space ends with. No token of this
-vocabulary crosses such a cut, so equal pieces are encoded once and their ids are put together. Every document is
-its own zstandard frame, under one dictionary trained on the id arrays of at most SAMPLE_DOCS documents of at most
+Texts are cut before a blank or line feed that follows a byte no white space ends with, and between an ASCII letter
+and a mark. No token of this vocabulary crosses such a cut, so equal pieces are encoded once and their ids are put
+together. A piece that is one word of Latin letters goes straight to the tokenizer's merges, many at a time, with
+a byte between them that no text has; any other piece goes through the whole tokenizer. Every document is its own
+zstandard frame, under one dictionary trained on the id arrays of at most SAMPLE_DOCS documents of at most
 SAMPLE_BYTES; the dictionary only changes sizes, never ids.
 
 The output is three tables in one folder: ``dictionary`` (sha256, content); ``blocks`` (shard, block, dict_sha256,
@@ -18,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import cache
@@ -37,13 +40,31 @@ END_ID = 2
 WIDTH = np.dtype("<u2")  # ids below 65,536
 SAMPLE_DOCS, SAMPLE_BYTES, DICTIONARY_BYTES = 200, 65_536, 112_640
 LEVEL = 3
-CACHED_PIECES = 400_000
+CACHED_PIECES = 1_000_000
+ENCODED_BYTES = 8_000_000
+JOINED_WORDS = 100
 BLOCKS = ("shard int, block int, dict_sha256 string, tokens_before long, n_tokens long, doc_ids array<long>, "
           "counts array<long>, ends array<long>, frames binary")
 
 
+#: One pre-token as a whole: a blank at most, then letters of ASCII, Latin-1 or Latin Extended-A and -B.
+ONE_WORD = re.compile(r" ?[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+")
+LETTERS, MARKS = np.zeros(256, bool), np.zeros(256, bool)
+LETTERS[0x41:0x5B] = LETTERS[0x61:0x7B] = True
+MARKS[0x21:0x30] = MARKS[0x3A:0x41] = MARKS[0x5B:0x61] = MARKS[0x7B:0x7F] = True
+MARKS[0x7C] = False  # the special token's name ends at a bar
+
+
+def byte_letters() -> str:
+    """The letter that stands for each byte in a byte-level vocabulary: itself if it shows, else the next from 256 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = iter(range(256, 512))
+    return "".join(chr(b) if b in shown else chr(next(hidden)) for b in range(256))
+
+
 def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Where pieces begin: at each row, and at blanks and line feeds right after a byte that ends no white space."""
+    """Where pieces begin: at each row, at blanks and line feeds right after a byte that ends no white space, and at
+    marks right after a letter."""
     if not len(data):
         return np.zeros(0, np.int64)
     at = np.flatnonzero((data[1:] == 0x20) | (data[1:] == 0x0A)) + 1
@@ -55,6 +76,7 @@ def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     blank = ((lead[1] == 0xC2) & ((lead[0] == 0x85) | (lead[0] == 0xA0))) | ((lead[2] >= 0xE1) & (lead[2] <= 0xE3))
     plain[high] = ~blank
     begins = np.zeros(len(data), bool)
+    begins[1:] = LETTERS[data[:-1]] & MARKS[data[1:]]
     begins[at[plain]] = True
     heads = offsets[:-1]
     begins[heads[heads < len(data)]] = True
@@ -69,14 +91,32 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer.model._resize_cache(0)  # self.known is the cache
+        self.letters = dict(enumerate(byte_letters()))
+        between = self.letters[0xFF]
+        self.between = self.tokenizer.token_to_id(between)
+        self.joins = self.between is not None and not any(between in t for t in self.tokenizer.get_vocab() if t != between)
+
+    def learn(self, fresh: list[str]) -> None:
+        whole = [p for p in fresh if self.joins and ONE_WORD.fullmatch(p)]
+        for low in range(0, len(whole), JOINED_WORDS):
+            part = whole[low:low + JOINED_WORDS]
+            letters = b"\xff".join(p.encode() for p in part).decode("latin-1").translate(self.letters)
+            ids = np.array([t.id for t in self.tokenizer.model.tokenize(letters)], np.int64)
+            ends, raw, start = np.append(np.flatnonzero(ids == self.between), len(ids)), ids.astype(WIDTH).tobytes(), 0
+            for piece, end in zip(part, (ends * WIDTH.itemsize).tolist(), strict=True):
+                self.known[piece] = raw[start:end]
+                start = end + WIDTH.itemsize
+        rest = [p for p in fresh if p not in self.known]
+        for piece, found in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+            self.known[piece] = np.array(found.ids, WIDTH).tobytes()
 
     def ids_of(self, pieces: list[str]) -> list[bytes]:
         fresh = [p for p in pieces if p not in self.known]
         if len(self.known) + len(fresh) > CACHED_PIECES:
             self.known, fresh = {}, pieces
-        for piece, found in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-            self.known[piece] = np.array(found.ids, WIDTH).tobytes()
-        return [self.known[p] for p in pieces]
+        self.learn(fresh)
+        return list(map(self.known.__getitem__, pieces))
 
     def encode(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all rows, each row ended by END_ID, and each row's first place."""
@@ -135,7 +175,7 @@ def write_blocks(path: str, dictionary: bytes):
         own = dictionary_of(dictionary)
         press = zstandard.ZstdCompressor(level=LEVEL, dict_data=own, write_content_size=True) if own else zstandard.ZstdCompressor(level=LEVEL)
         shard, mark, before = TaskContext.get().partitionId(), hashlib.sha256(dictionary).hexdigest(), 0
-        for number, batch in enumerate(chunks(batches)):
+        for number, batch in enumerate(chunks(batches, limit=ENCODED_BYTES)):
             ids, places = encoder(path).encode(batch.column("text"))
             frames = [press.compress(ids[a:b].tobytes()) for a, b in zip(places[:-1], places[1:], strict=True)]
             yield pa.RecordBatch.from_pylist(
