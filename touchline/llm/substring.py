@@ -1,11 +1,12 @@
 """Substring deduplication: of each run of 20 words or more that texts share, only the earliest stays.
 
-Seeds are winnowed anchors: of the 15 six-word grams in a window of 20 words the one of least hash, so equal
-windows hold the same anchor. Documents meet on anchors that occur twice or more. There a match is extended both
-ways from the anchor: every window of 20 words around it that has this anchor is compared, by 128 bits, with those
-of the other documents. The earliest document that holds a window keeps it; runs of windows that
-start earlier elsewhere are the maximal repeats, and their words go. Anchors and windows are counted before they
-are shuffled, and only (window, least document) comes back, so a passage in every document makes no pairs.
+Seeds are winnowed anchors: of the 15 six-word grams in a window of 20 words the leftmost one of least hash, so
+equal windows hold the same anchor. Documents meet on anchors that occur twice or more. A match is extended both
+ways from there as far as windows have this anchor. If the whole stretch is the same as in an earlier document (the
+64 bits of the anchor and 64 of the stretch agree), all its windows start earlier. Only where an anchor
+has several stretches, the earliest document of each is looked at window by window, by 128 bits. The windows that
+start earlier elsewhere join into maximal repeats, and their words go. What is grouped is
+(anchor, least document), counted before it is shuffled, so a passage in every document makes no pairs.
 
 Null and empty texts have no words. Rows without a doc_id take no part and keep their words. Rows that repeat a
 doc_id count as one document. Other columns are ignored.
@@ -21,8 +22,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.arrays import (NOT_SPACE, chunks, mix, row_of, span_hashes, spans, text_bytes, window_hashes, within)
-from touchline.llm.tables import small, written
+from touchline.llm.arrays import (BASES, NOT_SPACE, between, chunks, row_of, running, span_hashes, spans, text_bytes,
+                                  window_hashes, within)
+from touchline.llm.tables import written
 
 WINDOW, GRAM = 20, 6
 REACH = WINDOW - GRAM + 1  # grams in a window
@@ -60,16 +62,20 @@ class Words:
 
 
 def seed_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each anchor: its hash, document and word number."""
+    """Each anchor: its hash, that of the stretch its windows cover, document, word number, first and last window."""
     for batch in chunks(batches):
         words = Words(batch.column("text"))
         anchors, grams = words.anchors()
         if not len(anchors):
             continue
-        at = np.unique(anchors)
+        heads = np.flatnonzero(np.append(True, anchors[1:] != anchors[:-1]))
+        low, high, at = words.at[heads], words.at[np.append(heads[1:], len(anchors)) - 1], anchors[heads]
+        stretch = between(running(words.hashes, BASES[0]), low, high + WINDOW)
+        rows = words.rows[at]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(grams[at].view(np.int64)), batch.column("doc_id").take(pa.array(words.rows[at])),
-             pa.array((at - words.first[words.rows[at]]).astype(np.int32))], ["seed", "doc_id", "at"])
+            [pa.array(grams[at].view(np.int64)), pa.array(stretch.view(np.int64)), batch.column("doc_id").take(pa.array(rows)),
+             *[pa.array((x - words.first[rows]).astype(np.int32)) for x in (at, low, high)]],
+            ["seed", "stretch", "doc_id", "at", "low", "high"])
 
 
 def listed(column: pa.Array, first: np.ndarray) -> np.ndarray:
@@ -78,6 +84,15 @@ def listed(column: pa.Array, first: np.ndarray) -> np.ndarray:
     return flat.astype(np.int64) + np.repeat(first[:-1], sizes)
 
 
+def marks_of(column: pa.Array, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """From the marks of each row: the places of its anchors, and the first and last window of each stretch to go."""
+    sizes, flat = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False), column.flatten()
+    base = np.repeat(first[:-1], sizes)
+    at, low, high = (flat.field(name).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64) for name in ("at", "low", "high"))
+    later = flat.field("later").to_numpy(zero_copy_only=False).astype(bool)
+    return (at + base)[at >= 0], (low + base)[later], (high + base)[later]
+
+
 def extended(words: Words, seeds: np.ndarray) -> np.ndarray:
     """Places of the windows whose anchor is one of the places ``seeds``."""
     chosen = np.zeros(len(words.starts) + 1, bool)
@@ -98,7 +113,7 @@ def extend(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The distinct windows of a document that hold a shared anchor."""
     for batch in chunks(batches):
         words = Words(batch.column("text"))
-        at = extended(words, listed(batch.column("_seeds"), words.first))
+        at = extended(words, listed(batch.column("seeds"), words.first))
         one, two = words.windows(at)
         own = first_in_row(one, two, words.rows[at])
         at = at[own]
@@ -107,16 +122,16 @@ def extend(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array((at - words.first[words.rows[at]]).astype(np.int32))], ["one", "two", "doc_id", "at"])
 
 
-def repeated(words: Words, batch: pa.RecordBatch) -> np.ndarray:
-    """Which words a window covers that starts earlier elsewhere or in the same document."""
-    at = extended(words, listed(batch.column("_seeds"), words.first))
+def repeated(words: Words, marks: pa.Array) -> np.ndarray:
+    """Which words a window covers that starts earlier, elsewhere or in the same document."""
+    seeds, low, high = marks_of(marks, words.first)
+    at = extended(words, seeds)
     one, two = words.windows(at)
     again = at[~first_in_row(one, two, words.rows[at])]
-    # A later copy of a window in one document goes as well where another document has it: it starts later still.
     edge = np.zeros(len(words.starts) + 1, np.int64)
-    for places in (again, listed(batch.column("_gone"), words.first)):
-        np.add.at(edge, places, 1)
-        np.add.at(edge, places + WINDOW, -1)
+    for begin, end in ((again, again), (low, high)):
+        np.add.at(edge, begin, 1)
+        np.add.at(edge, end + WINDOW, -1)
     return np.cumsum(edge[:-1]) > 0
 
 
@@ -134,7 +149,7 @@ def kept_words(words: Words, removed: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def judge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in chunks(batches):
         words = Words(batch.column("text"))
-        removed = repeated(words, batch)
+        removed = repeated(words, batch.column("_marks"))
         data, places = kept_words(words, removed)
         total = np.zeros(len(removed) + 1, np.int64)
         np.cumsum(removed, out=total[1:])
@@ -147,29 +162,36 @@ def judge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def rewrite(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in chunks(batches):
         words = Words(batch.column("text"))
-        removed = repeated(words, batch)
+        removed = repeated(words, batch.column("_marks"))
         data, places = kept_words(words, removed)
         total = np.zeros(len(removed) + 1, np.int64)
         np.cumsum(removed, out=total[1:])
         touched = total[words.first[1:]] > total[words.first[:-1]]
         texts = [data[places[i]:max(places[i + 1] - 1, places[i])].tobytes().decode() if touched[i] else text
                  for i, text in enumerate(batch.column("text").to_pylist())]
-        kept = batch.drop_columns(["_seeds", "_gone"])
+        kept = batch.drop_columns(["_marks"])
         yield kept.set_column(kept.schema.get_field_index("text"), "text", pa.array(texts, pa.string()))
 
 
 def marked(docs: DataFrame) -> DataFrame:
-    """``docs`` with the word numbers of shared anchors (``_seeds``) and of windows that an earlier document holds
-    (``_gone``)."""
+    """``docs`` with ``_marks``: (at, low, high, later) of the shared anchors of each, and of windows that go."""
     named = docs.select("doc_id", "text").filter("doc_id IS NOT NULL")
-    seeds = named.mapInArrow(seed_rows, "seed long, doc_id long, at int")
+    seeds = named.mapInArrow(seed_rows, "seed long, stretch long, doc_id long, at int, low int, high int")
     shared = written(seeds.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("seed"))
-    met = seeds.join(small(shared, 8), "seed").groupBy("doc_id").agg(F.collect_set("at").alias("_seeds"))
-    windows = written(named.join(met, "doc_id").mapInArrow(extend, "one long, two long, doc_id long, at int"))
-    earliest = windows.groupBy("one", "two").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high")
-    later = windows.join(earliest.drop("high"), ["one", "two"]).filter("doc_id > low")
-    gone = later.groupBy("doc_id").agg(F.collect_set("at").alias("_gone"))
-    return docs.join(met, "doc_id", "left").join(gone, "doc_id", "left")
+    met = written(seeds.join(shared, "seed"))
+    firsts = written(met.groupBy("seed", "stretch").agg(F.min("doc_id").alias("first")))
+    several = written(firsts.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("seed"))
+    placed = met.join(firsts, ["seed", "stretch"])
+    # Where the stretches of an anchor differ, windows within them can still be the same.
+    heads = written(placed.filter("doc_id = first").join(several, "seed", "left_semi").select("doc_id", "at"))
+    by_doc = heads.groupBy("doc_id").agg(F.collect_set("at").alias("seeds"))
+    windows = written(named.join(by_doc, "doc_id").mapInArrow(extend, "one long, two long, doc_id long, at int"))
+    earliest = windows.groupBy("one", "two").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last")
+    gone = windows.join(earliest.drop("last"), ["one", "two"]).filter("doc_id > first")
+    marks = placed.select("doc_id", "at", "low", "high", (F.col("doc_id") > F.col("first")).alias("later")).union(
+        gone.select("doc_id", F.lit(None).cast("int"), F.col("at"), F.col("at"), F.lit(True)))
+    listed = marks.groupBy("doc_id").agg(F.collect_list(F.struct("at", "low", "high", "later")).alias("_marks"))
+    return docs.join(listed, "doc_id", "left")
 
 
 def repeated_words(docs: DataFrame) -> DataFrame:
@@ -179,4 +201,4 @@ def repeated_words(docs: DataFrame) -> DataFrame:
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with repeated words cut; a text that loses words is its kept words, joined by one space."""
-    return marked(docs).select(*docs.columns, "_seeds", "_gone").mapInArrow(rewrite, docs.schema)
+    return marked(docs).select(*docs.columns, "_marks").mapInArrow(rewrite, docs.schema)
