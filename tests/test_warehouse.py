@@ -265,3 +265,21 @@ def test_first_copy_in_the_file_is_kept(spark, world, tmp_path):
     boot = docs.bootstrap_tables(spark, str(tmp_path))
     rows = cp.history(docs.histories(spark, str(tmp_path), boot["elements"]), cp.clubs(boot["teams"])).collect()
     assert [(r.player_fixture_id, r.minutes) for r in rows] == [(1, 90)] and "_place" not in rows[0].asDict()
+
+
+def test_a_refresh_without_new_data_does_nothing(spark, world, tmp_path):
+    folders, work, at = (str(world.matches_dir), str(world.game_dir)), str(tmp_path / "work"), F.lit(AT).cast("timestamp")
+    first = warehouse.refresh_if_due(spark, *folders, work, at)
+    finalised = max(e["id"] for e in world.bootstrap["events"] if e["finished"] and e["data_checked"])
+    assert first is not None and warehouse.stored_mark(spark, work) == finalised
+    assert warehouse.refresh_if_due(spark, *folders, work, at) is None
+    assert spark.read.parquet(f"{work}/warehouse/refresh_log").count() == 1
+    runs = sinks.read_runs(spark, f"{work}/runs").collect()
+    assert [(r.stage, r.status) for r in sorted(runs, key=lambda r: r.finished_at)].count(("export", "ok")) == 1 and len(runs) == 6
+    assert {r.stage for r in spark.read.parquet(f"{work}/warehouse/pipeline_run").collect()} == {"clean", "contracts"}
+    with pytest.raises(FileNotFoundError):
+        warehouse.refresh(spark, *folders, work, at, Params(seasons=("9999",)))
+    failed = sinks.read_runs(spark, f"{work}/runs").filter("status = 'failed'").collect()
+    assert [(r.stage, "9999" in r.message) for r in failed] == [("clean", True)]
+    match = first.marts["fact_match"]
+    assert "PartitionFilters: [isnotnull(season_id" in match.filter("season_id = 2")._jdf.queryExecution().toString()

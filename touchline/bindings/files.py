@@ -7,14 +7,19 @@ from pyspark.sql import functions as F
 
 from touchline.bindings import inputs as b
 from touchline.bindings.registry import query
+from touchline.functions import expressions as e
 from touchline.functions.expressions import calendar_columns, day_first_date, to_number, to_whole
-from touchline.operators.incremental import load_summary
+from touchline.operators.incremental import commit_snapshot, load_summary, needing_refresh, signatures
 from touchline.operators.reshape import column_presence, missing_columns
+from touchline.params import GAME_NAMES, Params
+from touchline.plans import clean_players as cp
+from touchline.plans.warehouse import land_runs
 from touchline.sources import game_documents as docs
 from touchline.sources import match_files, sinks
 from touchline.session import new_folder
 from touchline.streaming.arrivals import on_arrival
 
+ctes = b.with_ctes
 HEADERS = {"Date": "match_date", "Key": "match_id", "Price": "price", "Status": "status", "Time": "kickoff_time"}
 
 
@@ -272,3 +277,142 @@ SELECT DISTINCT CAST(strftime(l_shipdate, '%Y%m%d') AS INTEGER) AS date_id, CAST
 def calendar_attributes(spark, sf):
     days = b.table(spark, sf, "lineitem").select(F.to_date("l_shipdate").alias("d")).distinct()
     return days.select(*calendar_columns("d"))
+
+
+def write_match_files(spark, sf):
+    """Matches in the season files' own columns, a folder of parts for each season. One season is Latin-1 with an
+    umlaut in its referees, one has a byte-order mark, and the first ones know no kickoff time."""
+    folder, nations = new_folder(spark, "matches"), b.nations_as_teams(spark, sf)
+    rows = b.keyed_matches(spark, sf).withColumn("season", b.season_code(F.col("match_date")))
+    for side in ("home", "away"):
+        rows = rows.join(nations.select(F.col("team_id").alias(f"{side}_team_id"), F.col("team_name").alias(f"{side}_team")), f"{side}_team_id")
+    referee = F.when(F.col("season") == "9697", F.concat(F.lit("J Müller "), "referee")).otherwise(F.col("referee"))
+    rows = rows.select(
+        "season", F.date_format("match_date", "dd/MM/yyyy").alias("Date"), F.col("home_team").alias("HomeTeam"),
+        F.col("away_team").alias("AwayTeam"), F.col("ft_home_goals").alias("FTHG"), F.col("ft_away_goals").alias("FTAG"),
+        F.col("ft_result").alias("FTR"), referee.alias("Referee"), F.col("home_shots").alias("HS"), F.lit("15:00").alias("Time"))
+    seasons = sorted(r["season"] for r in rows.select("season").distinct().collect())
+    for season in seasons:
+        own = rows.filter(F.col("season") == season).drop("season", *(["Time"] if season < "1" or season >= "98" else []))
+        if season == "9798":
+            own = own.withColumnRenamed("Date", sinks.BYTE_ORDER_MARK + "Date")
+        encoding = "ISO-8859-1" if season == "9697" else "UTF-8"
+        own.write.option("header", True).option("encoding", encoding).csv(f"{folder}/E0_{season}.csv")
+    return folder
+
+
+def ranked_seasons(spark, folder):
+    return match_files.load_matches(spark, folder, Params(current_season="0102"))
+
+
+LOADED_SQL = ctes(b.MATCHES_SQL, """
+lines AS (SELECT m.*, printf('%02d%02d', season_id % 100, (season_id + 1) % 100) AS code, h.n_name AS home, a.n_name AS away
+  FROM matches m JOIN nation h ON h.n_nationkey = home_team_id JOIN nation a ON a.n_nationkey = away_team_id)""")
+
+
+@query("loaded_matches", LOADED_SQL + """
+SELECT strftime(match_date, '%d/%m/%Y') AS match_date, home AS home_team, away AS away_team, ft_home_goals::VARCHAR AS ft_home_goals,
+  ft_away_goals::VARCHAR AS ft_away_goals, ft_result, CASE WHEN code = '9697' THEN 'J Müller ' || referee ELSE referee END AS referee,
+  home_shots::VARCHAR AS home_shots, CASE WHEN code BETWEEN '1' AND '98' THEN '15:00' END AS kickoff_time, code AS season_code,
+  '20' || code[1:2] || '/' || code[3:4] AS season_label, code = '0102' AS is_current_season FROM lines""")
+def loaded_matches(spark, sf):
+    """Every season file through the reader of the pipeline: encodings, byte-order mark and absent columns."""
+    folder = write_match_files(spark, sf)
+    return ranked_seasons(spark, folder).drop(*match_files.FILE_ORDER)
+
+
+@query("file_changes", LOADED_SQL + "SELECT code AS season, code = '0001' AS changed FROM lines GROUP BY 1")
+def file_changes(spark, sf):
+    """The manifest against one in which the digest of a season's files is another."""
+    folder, at = write_match_files(spark, sf), F.lit("2001-08-02").cast("timestamp")
+    before = match_files.manifest(spark, folder, at)
+    before = before.withColumn("sha256", F.when(F.col("season") == "0001", F.sha2("sha256", 256)).otherwise(F.col("sha256")))
+    return match_files.manifest(spark, folder, at, before).groupBy("season").agg(F.bool_or("changed").alias("changed"))
+
+
+def write_game_documents(spark, sf):
+    """Brands by type as players in ``bootstrap.json`` and nation fixtures in ``fixtures.json``; those of every fifth
+    month have no gameweek yet. Neither document grows with the tables."""
+    folder, clubs = new_folder(spark, "game"), sorted(GAME_NAMES)
+    names, brand = F.array(*[F.lit(n) for n in clubs]), F.substring_index("p_brand", "#", -1).cast("int")
+    kinds = b.table(spark, sf, "part").groupBy(brand.alias("brand"), b.type_id().alias("type")).agg(
+        F.count(F.lit(1)).cast("int").alias("n"), F.max("p_size").alias("size"), F.max("p_retailprice").alias("price"))
+    number = F.col("brand") * 100 + F.col("type")
+    elements = kinds.agg(F.collect_list(F.struct(
+        number.alias("id"), (number + 100000).alias("code"), F.lit("First").alias("first_name"), F.lit("Second").alias("second_name"),
+        F.concat(F.lit("P"), number).alias("web_name"), F.pmod("brand", F.lit(len(clubs))).alias("team"), F.col("type").alias("element_type"),
+        F.col("size").alias("now_cost"), F.col("price").cast("string").alias("selected_by_percent"), F.lit("a").alias("status"),
+        F.col("n").alias("total_points"), F.col("size").alias("minutes"), F.lit("1.5").alias("form"),
+        F.lit("x").alias("points_per_game"))).alias("elements"))
+    teams = F.transform(names, lambda n, i: F.struct(i.alias("id"), n.alias("name"), F.substring(n, 1, 3).alias("short_name")))
+    elements.withColumn("teams", teams).coalesce(1).write.json(f"{folder}/bootstrap.json")
+    rows = b.nation_fixtures(spark, sf).filter("is_home").select(
+        F.col("fpl_fixture_id").alias("id"), F.when(F.col("gameweek_id") % 5 != 0, F.col("gameweek_id")).alias("event"),
+        F.pmod("team_id", F.lit(len(clubs))).alias("team_h"), F.pmod("opponent_team_id", F.lit(len(clubs))).alias("team_a"),
+        F.col("difficulty").alias("team_h_difficulty"), F.lit(3).alias("team_a_difficulty"), F.when(F.col("finished"), True).alias("finished"))
+    rows.agg(F.to_json(F.collect_list(F.struct("*"))).alias("value")).coalesce(1).write.text(f"{folder}/fixtures.json")
+    return folder
+
+
+CLUBS_SQL = "WITH clubs(id, name) AS (VALUES " + ", ".join(
+    "({}, '{}')".format(i, GAME_NAMES[n].replace("'", "''")) for i, n in enumerate(sorted(GAME_NAMES))) + ")\n"
+
+
+@query("cleaned_players", CLUBS_SQL.rstrip() + f""", kinds AS (
+  SELECT CAST(substr(p_brand, 7) AS INTEGER) AS brand, list_position({b.TYPES!r}, p_type)::INTEGER AS type,
+    count(*)::INTEGER AS n, max(p_size) AS size, max(p_retailprice) AS price FROM part GROUP BY ALL)
+SELECT (brand * 100 + type)::BIGINT AS fpl_element_id, (brand * 100 + type + 100000)::BIGINT AS fpl_player_code,
+  'First' AS first_name, 'Second' AS second_name, 'P' || (brand * 100 + type) AS web_name, type AS position_id,
+  price AS selected_by_percent, 'a' AS status, n AS total_points, size AS minutes, 1.5::DOUBLE AS form,
+  NULL::DOUBLE AS points_per_game, name AS team_name, size / 10.0::DOUBLE AS price_m
+FROM kinds JOIN clubs ON id = brand % {len(GAME_NAMES)}""")
+def cleaned_players(spark, sf):
+    """Players of the nested document: club names, prices in tenths, numbers as text, one of them no number."""
+    tables = docs.bootstrap_tables(spark, write_game_documents(spark, sf))
+    return cp.players(tables["elements"], cp.clubs(tables["teams"]))
+
+
+@query("cleaned_fixtures", ctes(b.MATCHES_SQL, b.FIXTURES_SQL, CLUBS_SQL.removeprefix("WITH ")) + f"""
+SELECT h.gameweek_id, h.fpl_fixture_id::INTEGER AS fpl_fixture_id, us.name AS team_name, them.name AS opponent_name, side.home AS is_home,
+  CASE WHEN side.home THEN h.difficulty ELSE 3 END AS difficulty, h.finished
+FROM fixtures h CROSS JOIN (VALUES (TRUE), (FALSE)) side(home)
+JOIN clubs us ON us.id = CASE WHEN side.home THEN h.team_id ELSE h.opponent_team_id END % {len(GAME_NAMES)}
+JOIN clubs them ON them.id = CASE WHEN side.home THEN h.opponent_team_id ELSE h.team_id END % {len(GAME_NAMES)}
+WHERE h.is_home AND h.gameweek_id % 5 <> 0""")
+def cleaned_fixtures(spark, sf):
+    """Two rows per scheduled fixture of the document; those without a gameweek are left out."""
+    folder = write_game_documents(spark, sf)
+    clubs = cp.clubs(docs.bootstrap_tables(spark, folder)["teams"])
+    return cp.team_fixtures(docs.fixtures(spark, folder), clubs)
+
+
+@query("pipeline_run", """
+SELECT event_type AS run_id, CAST(event_id AS VARCHAR) AS stage, 'ok' AS status,
+  round(value, 2) + CASE event_type WHEN 'error' THEN 1 ELSE 0 END AS duration_s, user_id AS rows FROM events""")
+def pipeline_run(spark, sf):
+    """Stage records landed twice: the second log holds one run only, with other times. It replaces that run and
+    leaves the others."""
+    work, events = new_folder(spark, "work"), b.table(spark, sf, "events")
+    entries = events.select(
+        F.col("event_type").alias("run_id"), F.col("event_id").cast("string").alias("stage"), F.lit("ok").alias("status"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("finished_at"), e.round_half_away(F.col("value"), 2).alias("duration_s"),
+        F.col("user_id").alias("rows"), F.lit("").alias("message"))
+    sinks.record_runs(entries, f"{work}/first")
+    land_runs(spark, f"{work}/first", work)
+    again = entries.filter("run_id = 'error'").withColumn("duration_s", F.col("duration_s") + 1)
+    sinks.record_runs(again, f"{work}/second")
+    return land_runs(spark, f"{work}/second", work).drop("finished_at", "message")
+
+
+@query("committed_snapshot", "SELECT p_partkey, concat_ws(':', p_size, p_retailprice) AS signature FROM part")
+def committed_snapshot(spark, sf):
+    """The snapshot is stored after the fetch, and is what the next comparison reads."""
+    folder, fetched = new_folder(spark, "snapshot"), []
+    current = signatures(b.table(spark, sf, "part"), "p_partkey", ["p_size", "p_retailprice"])
+    commit_snapshot(current, folder, lambda: fetched.append(sinks.exists(spark, folder)))
+    if fetched != [False]:
+        raise AssertionError("the snapshot was stored before the fetch")
+    stored = spark.read.parquet(folder)
+    if needing_refresh(current, stored, "p_partkey").limit(1).count():
+        raise AssertionError("an unchanged member is due again")
+    return stored

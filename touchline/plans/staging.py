@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# The column names and types of the staged tables, which existing queries rely on.
 MATCH_COUNTS = [
     "ft_home_goals", "ft_away_goals", "ht_home_goals", "ht_away_goals",
     "home_shots", "away_shots", "home_shots_on_target", "away_shots_on_target",
@@ -13,7 +14,7 @@ MATCH_COUNTS = [
 ]
 MATCH_TOTALS = ["home_points", "away_points", "total_goals", "goal_difference"]
 
-# None keeps a column's type.
+# Fixed values, as above; None keeps a column's type.
 SCHEMAS = {
     "stg_matches": {
         "match_id": None, "season_code": None, "season_label": None, "match_date": "date",

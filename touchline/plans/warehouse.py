@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import time
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.operators.checks import stop_on_failure
-from touchline.operators.incremental import load_summary
+from touchline.operators.incremental import high_water_mark, load_summary, replace_by_key
 from touchline.operators.joins import small_side
 from touchline.operators.rejects import REASON
 from touchline.operators.warehouse_tests import Test, run_tests
@@ -19,8 +24,10 @@ from touchline.plans.clean_matches import clean_matches
 from touchline.plans.contracts import contract_results
 from touchline.plans.staging import stage_all
 from touchline.sources import game_documents as docs
+from touchline.session import materialize
 from touchline.sources import match_files, sinks
 
+# The exported tables.
 EXPORTED = ["dim_team", "dim_season", "dim_date", "dim_position", "dim_gameweek", "dim_player",
             "fact_match", "fact_player_fixture", "fact_team_fixture", "team_match", "player_season",
             "refresh_log"]
@@ -30,6 +37,7 @@ def keyed(model: str, column: str) -> list[Test]:
     return [Test(model, column, "unique"), Test(model, column, "not_null")]
 
 
+# The declared tests of every model.
 STAGING_TESTS = [
     *keyed("stg_matches", "match_id"), *keyed("stg_players", "fpl_element_id"),
     *keyed("stg_positions", "position_id"), *keyed("stg_gameweeks", "gameweek_id"),
@@ -113,8 +121,37 @@ RAW_TABLES = {
 }
 
 
-def load(spark: SparkSession, interim: str, warehouse: str, refreshed_at) -> dict[str, DataFrame]:
-    """Land the raw tables one to one and append a row to the refresh log."""
+@contextmanager
+def stage(spark: SparkSession, runs: str, run_id: str, name: str) -> Iterator[dict]:
+    """Record how a stage went, also when it fails; the caller may put its ``rows`` into the yielded dict."""
+    started, told = time.monotonic(), {}
+
+    def record(status: str, message: str) -> None:
+        now = dt.datetime.now(dt.timezone.utc).isoformat(timespec="seconds")
+        row = (run_id, name, status, now, time.monotonic() - started, told.get("rows"), message)
+        sinks.record_runs(spark.createDataFrame([row], sinks.RUN_LOG), runs)
+
+    try:
+        yield told
+    except Exception as error:
+        record("failed", str(error))
+        raise
+    record("ok", "")
+
+
+def land_runs(spark: SparkSession, runs: str, warehouse: str) -> DataFrame:
+    """``pipeline_run``: every recorded stage. The runs in the log replace what is stored of them; stored runs that
+    the log no longer holds stay."""
+    folder, entries = f"{warehouse}/pipeline_run", sinks.read_runs(spark, runs)
+    if sinks.exists(spark, folder):
+        # Read and written folder are the same, so the new table is completed elsewhere first.
+        entries = materialize(replace_by_key(spark.read.schema(sinks.RUN_LOG).parquet(folder), entries, "run_id"))
+    sinks.land(entries, folder)
+    return spark.read.schema(sinks.RUN_LOG).parquet(folder)
+
+
+def load(spark: SparkSession, interim: str, warehouse: str, refreshed_at, runs: str | None = None) -> dict[str, DataFrame]:
+    """Land the raw tables one to one, append a row to the refresh log and bring ``pipeline_run`` up to the run log."""
     raw = {}
     for name, source in RAW_TABLES.items():
         sinks.land(spark.read.parquet(f"{interim}/{source}"), f"{warehouse}/{name}")
@@ -122,6 +159,8 @@ def load(spark: SparkSession, interim: str, warehouse: str, refreshed_at) -> dic
     row = load_summary(raw["raw_matches"], F.col("is_current_season"), "match_date",
                        raw["raw_player_fixture"], "gameweek_id", sinks.stamped(refreshed_at))
     sinks.append_log(row, f"{warehouse}/refresh_log")
+    if runs:
+        land_runs(spark, runs, warehouse)
     return raw
 
 
@@ -132,9 +171,9 @@ def build_marts(spark: SparkSession, raw: dict[str, DataFrame], warehouse: str,
     matches, fixtures, players = stg["stg_matches"], stg["stg_fixtures"], stg["stg_players"]
     build = Build(raw, stg, {})
 
-    def land(name: str, df: DataFrame) -> DataFrame:
-        build.landed[name] = sinks.land(df, f"{warehouse}/{name}")
-        build.marts[name] = spark.read.parquet(f"{warehouse}/{name}")
+    def land(name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
+        build.landed[name] = sinks.land(df, f"{warehouse}/{name}", partition_by)
+        build.marts[name] = spark.read.schema(df.schema).parquet(f"{warehouse}/{name}").select(df.columns)
         return build.marts[name]
 
     teams = land("dim_team", dims.dim_team(
@@ -147,11 +186,11 @@ def build_marts(spark: SparkSession, raw: dict[str, DataFrame], warehouse: str,
     referees = land("dim_referee", dims.dim_referee(matches))
     teams, seasons, dates, referees = map(small_side, (teams, seasons, dates, referees))
     player = land("dim_player", dims.dim_player(players, teams))
-    match = land("fact_match", facts.fact_match(matches, seasons, dates, teams, referees))
+    match = land("fact_match", facts.fact_match(matches, seasons, dates, teams, referees), ["season_id"])
     played = land("fact_player_fixture", facts.fact_player_fixture(
         stg["stg_player_fixture"], small_side(player), teams, dates))
     land("fact_team_fixture", facts.fact_team_fixture(fixtures, teams))
-    land("team_match", reports.team_match(match))
+    land("team_match", reports.team_match(match), ["season_id"])
     land("player_season", reports.player_season(player, teams, positions, played))
     land("player_value", reports.player_value(player, teams, positions, played, params))
     return build
@@ -175,15 +214,57 @@ def reject_report(spark: SparkSession, interim: str) -> DataFrame:
 def refresh(spark: SparkSession, match_folder: str, game_folder: str, work: str, refreshed_at,
             params: Params = Params()) -> Build:
     """The whole pipeline: clean, check, load, model, test, export. Stops at the first stage
-    that fails, before anything downstream is replaced."""
-    interim, warehouse = f"{work}/interim", f"{work}/warehouse"
-    clean(spark, match_folder, game_folder, interim, params)
+    that fails, before anything downstream is replaced. Every stage is recorded in ``runs``; a load's own record
+    reaches ``pipeline_run`` with the next load, as it is written when the stage ends."""
+    interim, warehouse, runs, run_id = f"{work}/interim", f"{work}/warehouse", f"{work}/runs", uuid.uuid4().hex
+    with stage(spark, runs, run_id, "clean") as told:
+        told["rows"] = sum(clean(spark, match_folder, game_folder, interim, params).values())
     tables = {n: spark.read.parquet(f"{interim}/{n}") for n in ("matches_clean", "players", "positions", "history")}
-    stop_on_failure(contract_results(*tables.values(), as_of=refreshed_at, params=params))
-    build = build_marts(spark, load(spark, interim, warehouse, refreshed_at), warehouse, params)
-    verify_build(build)
-    log = spark.read.parquet(f"{warehouse}/refresh_log")
-    sinks.export_csv({n: log if n == "refresh_log" else build.marts[n] for n in EXPORTED}, f"{work}/export")
+    with stage(spark, runs, run_id, "contracts"):
+        stop_on_failure(contract_results(*tables.values(), as_of=refreshed_at, params=params))
+    with stage(spark, runs, run_id, "load"):
+        raw = load(spark, interim, warehouse, refreshed_at, runs)
+    with stage(spark, runs, run_id, "model") as told:
+        build = build_marts(spark, raw, warehouse, params)
+        told["rows"] = sum(build.landed.values())
+    with stage(spark, runs, run_id, "test"):
+        verify_build(build)
+    with stage(spark, runs, run_id, "export"):
+        log = spark.read.parquet(f"{warehouse}/refresh_log")
+        sinks.export_csv({n: log if n == "refresh_log" else build.marts[n] for n in EXPORTED}, f"{work}/export")
+    return build
+
+
+MARK = "last_finished_gw bigint"
+
+
+def stored_mark(spark: SparkSession, work: str) -> int | None:
+    """The newest finished gameweek that was processed, None before the first."""
+    folder = f"{work}/state/mark"
+    return spark.read.schema(MARK).json(folder).agg(F.max("last_finished_gw")).first()[0] if sinks.exists(spark, folder) else None
+
+
+def changed_seasons(spark: SparkSession, match_folder: str, work: str, at: Column) -> DataFrame:
+    """The manifest of the match files next to the one of the last refresh."""
+    folder = f"{work}/state/manifest"
+    before = spark.read.parquet(folder) if sinks.exists(spark, folder) else None
+    return match_files.manifest(spark, match_folder, at, before)
+
+
+def refresh_if_due(spark: SparkSession, match_folder: str, game_folder: str, work: str, refreshed_at,
+                   params: Params = Params()) -> Build | None:
+    """Refresh if a gameweek was finished and finalised since the last time, or a match file changed; else do
+    nothing. What was processed is recorded last, so a refresh that fails is due again."""
+    events = docs.bootstrap_tables(spark, game_folder)["events"]
+    done = F.col("finished") & F.col("data_checked")
+    mark = high_water_mark(events, "id", done, F.lit(stored_mark(spark, work))).first()
+    files = materialize(changed_seasons(spark, match_folder, work, refreshed_at))
+    if not mark["should_refresh"] and not files.filter("changed").limit(1).count():
+        return None
+    build = refresh(spark, match_folder, game_folder, work, refreshed_at, params)
+    files.drop("changed").write.mode("overwrite").parquet(f"{work}/state/manifest")
+    state = spark.createDataFrame([(mark["latest"],)], MARK)
+    state.write.mode("overwrite").option("ignoreNullFields", False).json(f"{work}/state/mark")
     return build
 
 

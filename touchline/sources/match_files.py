@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +21,7 @@ HEADERS = {
     "HF": "home_fouls", "AF": "away_fouls", "HC": "home_corners", "AC": "away_corners",
     "HY": "home_yellows", "AY": "away_yellows", "HR": "home_reds", "AR": "away_reds",
 }
+SEASON = re.compile(r"_([0-9]{4})\.csv(?:/|$)")  # a file, or a folder of the parts of one
 NEXT_FIELD = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'  # a comma outside quotes
 FILE_ORDER = ["_file_no", "_block", "_line"]
 MANIFEST_SCHEMA = ("season string, file string, bytes bigint, sha256 string, rows bigint, "
@@ -34,8 +36,8 @@ def file_contents(spark: SparkSession, folder: str | list[str], pattern: str = "
     return files.select("path", name.alias("file"), "length", "content")
 
 
-def season_of(file: Column) -> Column:
-    return F.regexp_extract(file, r"_([0-9]{4})\.csv$", 1)
+def season_of(path: Column) -> Column:
+    return F.regexp_extract(path, SEASON.pattern, 1)
 
 
 def file_encodings(spark: SparkSession, paths: str | list[str], pattern: str = "*.csv") -> DataFrame:
@@ -82,11 +84,11 @@ def load_matches(spark: SparkSession, folder: str, params: Params = Params(),
     season of ``only``, or else of the configured ones, must have its file.
     """
     wanted, parts = only if only is not None else params.seasons, []
-    found = {path.rsplit("_", 1)[-1].removesuffix(".csv"): (path, encoding)
-             for path, encoding in sorted(encodings(spark, folder).items())}
-    if absent := sorted(set(wanted or ()) - set(found)):
+    found = [(SEASON.search(path), path, encoding) for path, encoding in sorted(encodings(spark, folder).items())]
+    found = [(name[1], path, encoding) for name, path, encoding in found if name]
+    if absent := sorted(set(wanted or ()) - {season for season, _, _ in found}):
         raise FileNotFoundError(f"no file in {folder} for season {', '.join(absent)}")
-    for number, (season, (path, encoding)) in enumerate(found.items()):
+    for number, (season, path, encoding) in enumerate(found):
         if wanted is not None and season not in wanted:
             continue
         df = read_match_file(spark, path, encoding)
@@ -141,13 +143,13 @@ def manifest(spark: SparkSession, folder: str, fetched_at: Column,
     """Size, digest and line count (without the header) per file, and whether it changed."""
     lines = F.length(F.regexp_replace(F.decode("content", "ISO-8859-1"), "[^\n]", ""))
     now = file_contents(spark, folder).select(
-        season_of(F.col("file")).alias("season"), "path", "file", F.col("length").alias("bytes"),
+        season_of(F.col("path")).alias("season"), "path", "file", F.col("length").alias("bytes"),
         F.sha2("content", 256).alias("sha256"), (lines - 1).cast("bigint").alias("rows"),
         F.date_format(fetched_at, "yyyy-MM-dd'T'HH:mm:ssxxx").alias("fetched_at"))
     if previous is None:
         return now.withColumn("changed", F.lit(True))
-    before = previous.select(F.col("season").alias("_season"), F.col("sha256").alias("_sha256"))
-    return now.join(before, F.col("season") == F.col("_season"), "left").select(
+    before = previous.select(F.col("path").alias("_path"), F.col("sha256").alias("_sha256"))
+    return now.join(before, F.col("path") == F.col("_path"), "left").select(
         *now.columns, (~F.col("sha256").eqNullSafe(F.col("_sha256"))).alias("changed"))
 
 
