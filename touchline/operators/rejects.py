@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from touchline.operators.joins import small_side
+from touchline.session import materialize
+
 REASON = "reject_reason"
 
 
@@ -48,22 +51,25 @@ def flag_rejects(df: DataFrame, rules: list[tuple[str, Column]], key: list[str]
                  order: list[str] | None = None, duplicate_reason: str | None = None) -> DataFrame:
     """Add the reject reason to every row. Duplicates are looked for among survivors only.
 
-    ``order`` says which copy comes first and must be unique in the table: the first rows are
-    found again by it alone, so a hot key never meets in one task.
+    ``order`` says which copy comes first and must be unique within a key. Rows are parsed and
+    judged once and written with a number of their own. Keys are counted by a narrow aggregate;
+    only the copies of those that repeat are put in order, and are found again by their number.
     """
     flagged = df.withColumn(REASON, first_failure(rules))
     if key is None:
         return flagged
-    # Survivors are picked inside the aggregate. A filter on the reason would be pushed below
-    # the parsing, repeating every rule and parse expression there.
-    survivor = F.when(F.col(REASON).isNull(), F.struct(*order))
-    firsts = flagged.groupBy(*key).agg(F.min(survivor).alias("_first")).filter(F.col("_first").isNotNull())
-    side = firsts.select(*[F.col(f"_first.{c}").alias(f"_f_{c}") for c in order], F.lit(True).alias("_is_first"))
-    same = [F.col(c).eqNullSafe(F.col(f"_f_{c}")) for c in order]
-    duplicate = F.col(REASON).isNull() & F.col("_is_first").isNull()
-    return flagged.join(side, same, "left").select(
+    rows = materialize(flagged.withColumn("_row", F.monotonically_increasing_id()))
+    alive = rows.filter(F.col(REASON).isNull())
+    again = alive.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    again = small_side(again.select(*[F.col(c).alias(f"_k_{c}") for c in key]))
+    same = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in key]
+    copies = alive.select(*dict.fromkeys([*key, *order, "_row"])).join(again, same, "left_semi")
+    firsts = copies.groupBy(*key).agg(F.min_by("_row", F.struct(*order)).alias("_first")).select("_first")
+    later = copies.join(firsts, F.col("_row") == F.col("_first"), "left_anti")
+    later = small_side(later.select(F.col("_row").alias("_later")))
+    return rows.join(later, F.col("_row") == F.col("_later"), "left").select(
         *df.columns,
-        F.when(duplicate, F.lit(duplicate_reason)).otherwise(F.col(REASON)).alias(REASON))
+        F.when(F.col("_later").isNotNull(), F.lit(duplicate_reason)).otherwise(F.col(REASON)).alias(REASON))
 
 
 def kept(flagged: DataFrame) -> DataFrame:
