@@ -123,6 +123,8 @@ def test_broadcast_only_when_small(spark):
         return "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
     assert hinted(joins.small_side(side, 50)) and not hinted(joins.small_side(side, 49))
     assert known_rows(materialize(side)) == 50
+    wide = spark.createDataFrame([("x" * 1000,), (None,)], "name string")
+    assert hinted(joins.small_side(wide, 50, 2100)) and not hinted(joins.small_side(wide, 50, 2000))
 
 
 def test_names(spark):

@@ -8,7 +8,6 @@ from touchline.bindings import inputs as b
 from touchline.bindings.registry import query
 from touchline.functions.expressions import round_half_away
 from touchline.operators.aggregates import mean_of_means, repeated, value_split
-from touchline.operators.joins import small_side
 from touchline.operators.reshape import both_differences, set_difference
 from touchline.operators.stats import describe, mean_interval
 from touchline.plans import analyses, reports, screens
@@ -17,7 +16,8 @@ ctes = b.with_ctes
 
 
 def seasons(spark, sf):
-    return small_side(b.years_as_seasons(spark, sf))
+    """A row per year: what Spark sees of the aggregate's size at run time decides how it is joined."""
+    return b.years_as_seasons(spark, sf)
 
 
 @query("league_table", ctes(b.MATCHES_SQL, b.TEAM_MATCH_SQL, b.SEASONS_SQL) + """

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from touchline.functions.expressions import as_column
 from touchline.operators.keys import SMALL_ROWS, fits
-from touchline.session import known_rows, materialize
+from touchline.session import known_bytes, materialize
 
 SPARE_KEYS = 64
+SMALL_BYTES = 64_000_000
 _STAND_IN = {"string": "", "int": 0, "bigint": 0}
 
 
@@ -17,11 +18,12 @@ class UnmappedName(KeyError):
     """A name or id has no canonical counterpart."""
 
 
-def small_side(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Hint a broadcast for a join side only if it proves small enough. A side whose rows are
-    not known yet is computed once, which counts them."""
-    side = df if known_rows(df) is not None else materialize(df)
-    return F.broadcast(side) if fits(side, max_rows) else side
+def small_side(df: DataFrame, max_rows: int = SMALL_ROWS, max_bytes: int = SMALL_BYTES) -> DataFrame:
+    """Hint a broadcast for a join side only if it proves small enough, in rows and in bytes. A
+    side that was not measured yet is computed once, which measures it."""
+    side = df if known_bytes(df) is not None else materialize(df)
+    size = known_bytes(side)
+    return F.broadcast(side) if fits(side, max_rows) and size is not None and size <= max_bytes else side
 
 
 def require(df: DataFrame, dim: DataFrame, on: dict[str, str], take: dict[str, str]) -> DataFrame:

@@ -47,9 +47,9 @@ def number_members(df: DataFrame, order: list[Column | str], name: str,
     members = materialize(df)
     rows = known_rows(members)
     if not fits(members, small_rows):
-        return with_known_rows(number_rows(members, order, name), rows)
+        return with_known_rows(number_rows(members, order, name), rows, members)
     key = F.row_number().over(Window.orderBy(*order)).cast("long")
-    return with_known_rows(members.select(key.alias(name), *df.columns), rows)
+    return with_known_rows(members.select(key.alias(name), *df.columns), rows, members)
 
 
 def competition_rank(df: DataFrame, by: list[str], name: str,

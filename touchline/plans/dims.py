@@ -28,7 +28,7 @@ def dim_season(matches: DataFrame, params: Params = Params()) -> DataFrame:
         season_year("season_code", 1, params.century).alias("start_year"),
         season_year("season_code", 3, params.century).alias("end_year"),
         label_for("season_code", params.season_notes, "normal").alias("crowd_status"),
-        F.when(live, "in_progress").otherwise("completed").alias("status")), rows)
+        F.when(live, "in_progress").otherwise("completed").alias("status")), rows, seasons)
 
 
 def dim_date(matches: DataFrame, gameweeks: DataFrame, params: Params = Params()) -> DataFrame:
@@ -57,7 +57,7 @@ def dim_referee(matches: DataFrame, column: str = "referee") -> DataFrame:
     names = matches.filter(has_text(column)).select(F.col(column).alias("referee_name")).distinct()
     known = number_members(names, ["referee_name"], "referee_id")
     return with_known_rows(with_unknown_member(known, {"referee_id": 0, "referee_name": "Unknown"}),
-                           known_rows(known) + 1)
+                           known_rows(known) + 1, known)
 
 
 def dim_gameweek(gameweeks: DataFrame) -> DataFrame:

@@ -49,27 +49,41 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-_ROWS: WeakKeyDictionary[DataFrame, int] = WeakKeyDictionary()
+_SIZES: WeakKeyDictionary[DataFrame, tuple[int, int | None]] = WeakKeyDictionary()
+FIXED_BYTES = 16  # of a column in a row, besides the text in it
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into a table in the shared folder, counting its rows on the way.
+    """Compute ``df`` once into a table in the shared folder, counting its rows and their widest on the way.
 
     Later steps read that table, so a lost executor costs a re-read, not a re-run; every
     reader reads only its columns, and the planner sees the real size.
     """
     spark, seen = df.sparkSession, Observation()
     folder = new_folder(spark, "step")
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(folder)
-    return with_known_rows(spark.read.schema(df.schema).parquet(folder), seen.get["rows"])
-
-
-def with_known_rows(df: DataFrame, rows: int | None) -> DataFrame:
-    """Note the row count of a frame that was just counted, or derived row by row from one."""
+    texts = [F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)) for c, kind in df.dtypes if kind in ("string", "binary")]
+    widest = F.max(sum(texts, F.lit(0)).cast("long")) if texts else F.lit(0).cast("long")
+    measures = [F.count(F.lit(1)).alias("rows"), *([widest.alias("widest")] if texts else [])]
+    df.observe(seen, *measures).write.parquet(folder)
+    rows, out = seen.get["rows"], spark.read.schema(df.schema).parquet(folder)
+    nested = any(kind.startswith(("array", "map", "struct")) for _, kind in df.dtypes)
+    _SIZES[out] = rows, None if nested else rows * ((seen.get.get("widest") or 0) + FIXED_BYTES * len(df.columns))
+    return out
+
+
+def with_known_rows(df: DataFrame, rows: int | None, like: DataFrame | None = None) -> DataFrame:
+    """Note the row count of a frame that was just counted, or derived row by row from ``like``, with a few
+    columns of fixed width more."""
     if rows is not None:
-        _ROWS[df] = rows
+        size = known_bytes(like) if like is not None else None
+        _SIZES[df] = rows, None if size is None else size + rows * FIXED_BYTES * len(df.columns)
     return df
 
 
 def known_rows(df: DataFrame) -> int | None:
-    return _ROWS.get(df)
+    return _SIZES.get(df, (None, None))[0]
+
+
+def known_bytes(df: DataFrame) -> int | None:
+    """At most how many bytes the rows of a counted frame hold; None if that was not measured."""
+    return _SIZES.get(df, (None, None))[1]
