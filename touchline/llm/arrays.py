@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 500_000  # the arrays of a chunk should fit a core's cache
 U64 = np.uint64
 
 SPACES = np.zeros(256, bool)  # \x20 and \x09-\x0D
@@ -31,6 +31,7 @@ def chunks(batches: Iterable[pa.RecordBatch], text: str = "text", limit: int = C
             stop = max(start + 1, int(np.searchsorted(ends, before + limit, "right")))
             yield batch.slice(start, stop - start)
             start = stop
+    pa.default_memory_pool().release_unused()  # the worker may wait long for its next task
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -83,7 +84,7 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
         up, down = (np.full(size, U64(b % 2**64)) for b in (base, pow(base, -1, 2**64)))
         up[0] = down[0] = 1
         have = np.cumprod(up), np.cumprod(down)
-        if size <= 4 * CHUNK_BYTES:
+        if size <= 16 * CHUNK_BYTES:
             _POWERS[base] = have
     return have[0][:n], have[1][:n]
 

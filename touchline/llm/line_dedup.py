@@ -2,8 +2,8 @@
 
 A line is what stands between two line feeds, without white space at its ends, A-Z lower-cased; lines without a
 word are not looked at and never removed. Its set holds its shingles of eight characters (a shorter line is one
-shingle). Each of 56 buckets keeps the least hash of the shingles that fall into it; 14 bands of four buckets
-find a pair at the limit of 0.8 in more than 999 of 1,000 cases, and pairs are then compared in full.
+shingle). Each of 56 buckets keeps the least hash of the shingles that fall into it; 14 bands of four buckets find a
+pair at the limit of 0.8 in more than 999 of 1,000 cases, and pairs are then compared in full.
 
 Null and empty texts have no lines. Rows without a doc_id take no part. Rows that repeat a doc_id count as one
 document. Other columns are ignored. Lines whose 64-bit ids collide stay as they are.
@@ -19,10 +19,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.arrays import (BASES, NOT_SPACE, U64, between, byte_codes, chunks, mix, row_of, running, spans,
-                                  text_bytes, within)
+from touchline.llm.arrays import (BASES, LOWER, NOT_SPACE, SPACES, U64, chunks, code_points, mix, row_of, spans, text_bytes,
+                                  within)
 from touchline.llm.linking import crowded, linked_groups
-from touchline.llm.tables import small, written
+from touchline.llm.tables import BROADCAST_ROWS, small, written
+from touchline.session import known_rows
 
 SHINGLE = 8
 NUM, DEN = 80, 100
@@ -30,39 +31,85 @@ BANDS, BAND = 14, 4
 BUCKETS = BANDS * BAND
 
 
+def trimmed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Spans without the white space at their ends; a blank span ends where it starts."""
+    starts, ends = starts.copy(), ends.copy()
+    for _ in range(4):
+        blank = (starts < ends) & SPACES[data[np.minimum(starts, len(data) - 1)]]
+        starts[blank] += 1
+        blank = (starts < ends) & SPACES[data[ends - 1]]
+        ends[blank] -= 1
+    rest = np.flatnonzero((starts < ends) & (SPACES[data[np.minimum(starts, len(data) - 1)]] | SPACES[data[ends - 1]]))
+    if len(rest):
+        solid = np.flatnonzero(NOT_SPACE[data])
+        low, high = np.searchsorted(solid, starts[rest]), np.searchsorted(solid, ends[rest])
+        some = high > low
+        ends[rest[~some]] = starts[rest[~some]]
+        starts[rest[some]], ends[rest[some]] = solid[low[some]], solid[high[some] - 1] + 1
+    return starts, ends
+
+
+def line_shingles(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The shingle hashes of each lower-cased line, one line after another, and each line's first place."""
+    import xxhash
+
+    raw, points = data.tobytes(), code_points(data)
+    chars = np.frombuffer(raw.decode().encode("utf-32-le"), np.uint32)
+    low, sizes = points[starts], points[ends] - points[starts]
+    counts = np.maximum(sizes - SHINGLE + 1, 1)
+    places = np.zeros(len(counts) + 1, np.int64)
+    np.cumsum(counts, out=places[1:])
+    # Hashes of 1, 2, 4 and 8 characters from each place, the last ones padded with zeros.
+    hashes, width = np.append(chars, np.zeros(SHINGLE, np.uint32)).astype(np.uint64) * U64(BASES[1]), 1
+    while width < SHINGLE:
+        hashes = hashes[:-width] * U64(pow(BASES[0], width, 2**64)) + hashes[width:]
+        width *= 2
+    values = mix(hashes[within(low, counts)])
+    for i in np.flatnonzero(sizes < SHINGLE):
+        values[places[i]] = xxhash.xxh3_64_intdigest(raw[starts[i]:ends[i]])
+    return values, places
+
+
+def sets_of(column: pa.Array) -> list[np.ndarray]:
+    """The shingle sets of a column of lower-cased lines."""
+    known = column.dictionary_encode()  # a centre comes with many partners
+    data, offsets = text_bytes(known.dictionary)
+    values, places = line_shingles(data, offsets[:-1], offsets[1:])
+    sets = [distinct(values[a:b]) for a, b in zip(places[:-1], places[1:], strict=True)]
+    return [sets[i] for i in known.indices.to_pylist()]
+
+
+def distinct(values: np.ndarray) -> np.ndarray:
+    values.sort()
+    return values[np.append(True, values[1:] != values[:-1])]
+
+
 class Lines:
     """The lines of a chunk of texts that hold a word."""
 
     def __init__(self, text: pa.Array) -> None:
         data, offsets = text_bytes(text)
         starts, ends, first = spans(data != 0x0A, offsets)
-        solid = np.flatnonzero(NOT_SPACE[data])
-        low, high = np.searchsorted(solid, starts), np.searchsorted(solid, ends)
-        worded = high > low
-        breaks = np.zeros(len(data) + 1, np.int64)
-        np.cumsum(data == 0x0A, out=breaks[1:])
-        self.row = row_of(first)[worded]
-        self.number = breaks[starts[worded]] - breaks[offsets[self.row]]
-        self.starts, self.ends = solid[low[worded]], solid[high[worded] - 1] + 1
-        self.data = data
+        breaks, rows = np.flatnonzero(data == 0x0A), row_of(first)
+        number = np.searchsorted(breaks, starts) - np.searchsorted(breaks, offsets[rows])
+        starts, ends = trimmed(data, starts, ends)
+        worded = ends > starts
+        self.row, self.number, self.starts, self.ends = rows[worded], number[worded], starts[worded], ends[worded]
+        self.data = LOWER[data]
+
+    def choose(self, chosen: np.ndarray) -> None:
+        self.row, self.number, self.starts, self.ends = (x[chosen] for x in (self.row, self.number, self.starts, self.ends))
+
+    def texts(self) -> list[bytes]:
+        raw = self.data.tobytes()
+        return [raw[a:b] for a, b in zip(self.starts.tolist(), self.ends.tolist(), strict=True)]
 
     def marks(self) -> tuple[np.ndarray, np.ndarray]:
-        """Two independent 64-bit hashes of each line; the first is its id."""
-        one, two = (between(running(byte_codes(seed, True)[self.data], BASES[seed % 2]), self.starts, self.ends) for seed in (4, 5))
-        return one.view(np.int64), two.view(np.int64)
-
-    def shingles(self) -> tuple[np.ndarray, np.ndarray]:
-        """The shingle hashes of all lines, and each line's first place."""
-        points = np.flatnonzero((self.data & 0xC0) != 0x80)
-        low, high = np.searchsorted(points, self.starts), np.searchsorted(points, self.ends)
-        counts = np.maximum(high - low - SHINGLE + 1, 1)
-        at = within(low, counts)
-        bounds = np.append(points, np.full(SHINGLE, len(self.data)))
-        ends = np.minimum(bounds[at + SHINGLE], np.repeat(self.ends, counts))
-        sums = running(byte_codes(6, True)[self.data], BASES[0])
-        places = np.zeros(len(counts) + 1, np.int64)
-        np.cumsum(counts, out=places[1:])
-        return between(sums, np.maximum(points[at], np.repeat(self.starts, counts)), ends), places
+        """Two 64-bit hashes of each line; the first is its id."""
+        import xxhash
+
+        both = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, self.texts())), np.int64)
+        return both[0::2], both[1::2]
 
 
 @cache
@@ -76,11 +123,13 @@ def band_codes() -> np.ndarray:
 
 
 def signatures(values: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """The least hash of each bucket, empty buckets filled from others."""
-    none, n = ~U64(0), len(places) - 1
+    """The least hash of each bucket, empty buckets filled from others. One half of a hash names the bucket, the
+    other is what is compared."""
+    none, n = np.uint32(0xFFFFFFFF), len(places) - 1
     least = np.full(n * BUCKETS, none)
     bucket = ((values >> U64(32)) * U64(BUCKETS) >> U64(32)).astype(np.int64)
-    np.minimum.at(least, row_of(places) * BUCKETS + bucket, mix(values))
+    bucket += row_of(places) * BUCKETS
+    np.minimum.at(least, bucket, values.astype(np.uint32))
     least = least.reshape(n, BUCKETS)
     out, open_rows = least.copy(), np.flatnonzero((least == none).any(1))
     for step in range(BUCKETS):
@@ -94,7 +143,7 @@ def signatures(values: np.ndarray, places: np.ndarray) -> np.ndarray:
 
 
 def band_keys(signature: np.ndarray) -> np.ndarray:
-    parts = signature.reshape(-1, BANDS, BAND)
+    parts = signature.reshape(-1, BANDS, BAND).astype(np.uint64) + U64(1)
     return mix((parts * band_codes()).sum(2) + np.arange(BANDS, dtype=np.uint64) * U64(0x9E3779B97F4A7C15)).view(np.int64)
 
 
@@ -104,7 +153,7 @@ def sketch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not len(lines.row):
             continue
         one, two = lines.marks()
-        keys = band_keys(signatures(*lines.shingles())).reshape(-1)
+        keys = band_keys(signatures(*line_shingles(lines.data, lines.starts, lines.ends))).reshape(-1)
         keys = pa.ListArray.from_arrays(pa.array(np.arange(len(one) + 1, dtype=np.int32) * BANDS), pa.array(keys))
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id").take(pa.array(lines.row)), pa.array(lines.number), pa.array(one), pa.array(two), keys],
@@ -112,15 +161,18 @@ def sketch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def full_sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The texts of the lines whose numbers are listed; their sets are made where they are compared."""
     for batch in chunks(batches):
-        lines = Lines(batch.column("text"))
+        lines, listed = Lines(batch.column("text")), batch.column("lines")
+        wanted = np.repeat(np.arange(batch.num_rows), listed.value_lengths().to_numpy(zero_copy_only=False)) << 32
+        wanted += listed.flatten().to_numpy(zero_copy_only=False)
+        lines.choose(np.isin((lines.row << 32) + lines.number, wanted))
         if not len(lines.row):
             continue
-        values, places = lines.shingles()
-        sets = [np.unique(values[a:b]) for a, b in zip(places[:-1], places[1:], strict=True)]
+        points = code_points(lines.data)
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id").take(pa.array(lines.row)), pa.array(lines.number), pa.array(lines.marks()[0]),
-             pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
+             pa.array(points[lines.ends] - points[lines.starts]), pa.array(lines.texts(), pa.binary())],
             ["doc_id", "line", "id", "n", "items"])
 
 
@@ -136,12 +188,13 @@ def line_groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     members = crowded(lines.select(F.explode("keys").alias("key"), "id"))
     wanted = written(members.select("id").distinct())
     places = same.join(small(wanted, 8), "id", "left_semi").select("id", "doc_id", "line")
-    holders = written(places.select("doc_id").distinct())
-    found = docs.join(small(holders, 8), "doc_id", "left_semi").mapInArrow(
-        full_sets, "doc_id long, line long, id long, n long, items binary")
-    sets = written(found.join(places, ["id", "doc_id", "line"], "left_semi").dropDuplicates(["id"])
+    places = written(places)
+    holders = places.groupBy("doc_id").agg(F.collect_set("line").alias("lines"))
+    holders = F.broadcast(holders) if known_rows(places) <= BROADCAST_ROWS else holders
+    found = docs.join(holders, "doc_id").mapInArrow(full_sets, "doc_id long, line long, id long, n long, items binary")
+    sets = written(found.join(small(places, 24), ["id", "doc_id", "line"], "left_semi").dropDuplicates(["id"])
                    .select("id", "n", F.lit(b"").alias("regs"), "items"))
-    groups = linked_groups(members, sets, NUM, DEN).filter("id IS NOT NULL")
+    groups = linked_groups(members, sets, NUM, DEN, decode=sets_of)
     grouped = same.join(small(groups, 16), "id", "left").filter("again OR component IS NOT NULL").withColumn(
         "component", F.coalesce("component", "id"))
     firsts = grouped.groupBy("component").agg(F.min(place).alias("first"))

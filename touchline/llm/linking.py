@@ -24,6 +24,7 @@ from touchline.session import known_rows
 BLOCK_ROWS = 512
 BLOCK_BYTES = 16_000_000
 EDGE = "child long, parent long"
+Decode = Callable[[pa.Array], list[np.ndarray]]
 Screen = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
 
 
@@ -102,9 +103,9 @@ def as_items(column: pa.Array) -> list[np.ndarray]:
     return [np.frombuffer(x, np.uint64) for x in column.to_pylist()]
 
 
-def similar(common, sizes_a, sizes_b, num: int, den: int):
+def similar(shared, sizes_a, sizes_b, num: int, den: int):
     """Whether den * intersection >= num * union, from the size of the intersection."""
-    return den * common >= num * (sizes_a + sizes_b - common)
+    return den * shared >= num * (sizes_a + sizes_b - shared)
 
 
 def registers_of(column: pa.Array) -> np.ndarray:
@@ -112,19 +113,18 @@ def registers_of(column: pa.Array) -> np.ndarray:
     return np.frombuffer(raw, np.uint16).reshape(len(column), -1)
 
 
-def verify_pairs(num: int, den: int, screen: Screen | None):
+def verify_pairs(num: int, den: int, screen: Screen | None, decode: Decode):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x, y = as_items(batch.column("items_a")), as_items(batch.column("items_b"))
+            x, y = decode(batch.column("items_a")), decode(batch.column("items_b"))
             sizes_a, sizes_b = np.array([len(v) for v in x]), np.array([len(v) for v in y])
             fits = similar(np.minimum(sizes_a, sizes_b), sizes_a, sizes_b, num, den)
             if screen:
                 fits &= screen(registers_of(batch.column("regs_a")), registers_of(batch.column("regs_b")), sizes_a, sizes_b)
             for i in np.flatnonzero(fits):
-                common = len(np.intersect1d(x[i], y[i], assume_unique=True))
-                fits[i] = similar(common, sizes_a[i], sizes_b[i], num, den)
+                fits[i] = similar(common(x[i], y[i]), sizes_a[i], sizes_b[i], num, den)
             kept = batch.filter(pa.array(fits))
             yield pa.RecordBatch.from_arrays([kept.column("a"), kept.column("b")], ["child", "parent"])
     return run
@@ -148,45 +148,84 @@ def intersections(sets: list[np.ndarray], width: int = 4096) -> np.ndarray:
     return out
 
 
-def compare_block(num: int, den: int, screen: Screen | None):
-    """Links between components among the rows of one block, or between two blocks."""
-    def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by("id").combine_chunks()
-        ids, groups = table.column("id").to_pylist(), np.array(table.column("component").to_pylist())
-        sides, pair = np.array(table.column("block").to_pylist()), (table.column("low")[0].as_py(), table.column("high")[0].as_py())
-        sets = as_items(table.column("items"))
-        sizes = np.array([len(s) for s in sets])
-        forest = Forest()
-        fits = np.triu(groups[:, None] != groups[None, :], 1)
-        if pair[0] != pair[1]:
-            fits &= sides[:, None] != sides[None, :]
-        fits &= similar(np.minimum(sizes[:, None], sizes[None, :]), sizes[:, None], sizes[None, :], num, den)
-        if screen:
-            registers = registers_of(table.column("regs"))
-            for i in np.flatnonzero(fits.any(1)):
-                j = np.flatnonzero(fits[i])
-                fits[i, j] = screen(np.broadcast_to(registers[i], (len(j), registers.shape[1])), registers[j], np.full(len(j), sizes[i]), sizes[j])
-        if fits.any():
-            common = intersections(sets)
-            fits &= similar(common, sizes[:, None], sizes[None, :], num, den)
-            for i, j in zip(*np.nonzero(fits), strict=True):
-                forest.join(int(groups[i]), int(groups[j]))
-        return pa.Table.from_batches([forest.edges()])
+def common(x: np.ndarray, y: np.ndarray) -> int:
+    """The size of the intersection of two sorted sets."""
+    both = np.concatenate((x, y))
+    both.sort()
+    return int(np.count_nonzero(both[1:] == both[:-1]))
+
+
+def link_block(forest: Forest, groups: np.ndarray, sides: np.ndarray | None, sets: list[np.ndarray], registers: np.ndarray | None,
+               num: int, den: int, screen: Screen | None) -> None:
+    """Join the components of similar rows of one block, or, with ``sides``, of one block and another."""
+    groups = np.array([forest.root(g) if g in forest.parent else g for g in groups.tolist()])
+    sizes = np.array([len(s) for s in sets])
+    fits = np.triu(groups[:, None] != groups[None, :], 1)
+    if sides is not None:
+        fits &= sides[:, None] != sides[None, :]
+    fits &= similar(np.minimum(sizes[:, None], sizes[None, :]), sizes[:, None], sizes[None, :], num, den)
+    if screen:
+        for i in np.flatnonzero(fits.any(1)):
+            j = np.flatnonzero(fits[i])
+            fits[i, j] = screen(np.broadcast_to(registers[i], (len(j), registers.shape[1])), registers[j], np.full(len(j), sizes[i]), sizes[j])
+    left, right = np.nonzero(fits)
+    if len(left) > 50:
+        held = intersections(sets)[left, right]
+    else:
+        held = np.array([common(sets[i], sets[j]) for i, j in zip(left, right, strict=True)])
+    for k in np.flatnonzero(similar(held, sizes[left], sizes[right], num, den)) if len(left) else ():
+        forest.join(int(groups[left[k]]), int(groups[right[k]]))
+
+
+def compare_blocks(num: int, den: int, screen: Screen | None, decode: Decode):
+    """Links between components within blocks; the rows of a block come one after another."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest, held = Forest(), None
+
+        def work(rows: pa.Table) -> None:
+            rows = rows.combine_chunks()
+            key, low, high, groups, sides = (rows.column(c).to_numpy() for c in ("key", "low", "high", "component", "block"))
+            sets = decode(rows.column("items").combine_chunks())
+            registers = registers_of(rows.column("regs")) if screen else None
+            for a, b in zip((heads := heads_of(key, low, high)), [*heads[1:], len(key)], strict=True):
+                link_block(forest, groups[a:b], sides[a:b] if low[a] != high[a] else None, sets[a:b],
+                           registers[a:b] if screen else None, num, den, screen)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch])
+            rows = rows if held is None else pa.concat_tables([held, rows])
+            last = heads_of(*(rows.column(c).to_numpy() for c in ("key", "low", "high")))[-1]
+            if last:
+                work(rows.slice(0, last))
+            held = rows.slice(last)
+        if held is not None:
+            work(held)
+        yield forest.edges()
     return run
 
 
-def linked_groups(members: DataFrame, sets: DataFrame, num: int, den: int, screen: Screen | None = None) -> DataFrame:
+def heads_of(*columns: np.ndarray) -> list[int]:
+    """Where a row differs from the one before it."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+    return np.flatnonzero(new).tolist()
+
+
+def linked_groups(members: DataFrame, sets: DataFrame, num: int, den: int, screen: Screen | None = None,
+                  decode: Decode = as_items) -> DataFrame:
     """(id, component) of the ids that some chain of verified links joins to another one.
 
     ``members``: the written (key, id, centre) of :func:`crowded`. ``sets``: (id, n, regs, items) for those ids,
-    items being the sorted distinct 64-bit values of the set.
+    items being what ``decode`` turns into the sorted distinct 64-bit values of the set.
     """
     pairs = members.filter("id != centre").select(
         F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
     for side in "ab":
         own = sets.select(F.col("id").alias(side), F.col("regs").alias(f"regs_{side}"), F.col("items").alias(f"items_{side}"))
         pairs = pairs.join(own, side)
-    first = written(components(pairs.mapInArrow(verify_pairs(num, den, screen), EDGE)))
+    first = written(components(pairs.mapInArrow(verify_pairs(num, den, screen, decode), EDGE)))
     others = members.filter("id != centre").join(small(first, 16), "id", "left").withColumn(
         "component", F.coalesce("component", "id"))
     sized = others.join(sets.select("id", "n"), "id")
@@ -201,7 +240,8 @@ def linked_groups(members: DataFrame, sets: DataFrame, num: int, den: int, scree
         "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select("key", "id", "component", "block", F.least("block", "other").alias("low"),
                        F.greatest("block", "other").alias("high")).join(sets.select("id", "regs", "items"), "id")
-    more = written(rows.groupBy("key", "low", "high").applyInArrow(compare_block(num, den, screen), EDGE))
+    block = ["key", "low", "high"]
+    more = written(rows.repartition(*block).sortWithinPartitions(*block).mapInArrow(compare_blocks(num, den, screen, decode), EDGE))
     if not known_rows(more):
         return first
     return written(components(first.filter("id != component").toDF("child", "parent").union(more)))
