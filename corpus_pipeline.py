@@ -32,7 +32,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return tokens.tokenized(docs, vocabulary())
+    return tokens.tokenized(docs, vocabulary(), lean=True)
 
 
 STAGES = [

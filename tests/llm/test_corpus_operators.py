@@ -402,3 +402,20 @@ def test_pipeline_stage_by_stage(spark, tmp_path):
         start += r.n_tokens
     whole = corpus_pipeline.run(spark, SF).orderBy("start").collect()
     assert [tuple(r) for r in whole] == [tuple(r) for r in five]
+
+
+def test_every_statement_agrees(spark):
+    import compare
+    from touchline.llm import statements
+    duck = compare.duck(SF)
+    assert set(statements.ORACLES) == {"op3_near_dedup", "op5_decontaminate", "op7_substring_dedup", "op10_chat_format"}
+    for name, sql in statements.ORACLES.items():
+        assert compare.compare(queries.QUERIES[name](spark, SF), duck, sql) is None, name
+
+
+def test_nothing_else_imports_the_package():
+    import pathlib
+    import touchline
+    root = pathlib.Path(touchline.__file__).parent
+    users = [p for p in root.rglob("*.py") if "touchline.llm" in p.read_text() and root / "llm" not in p.parents]
+    assert users == []

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterable, Iterator
 from functools import cache
 
@@ -31,7 +33,14 @@ def chunks(batches: Iterable[pa.RecordBatch], text: str = "text", limit: int = C
             stop = max(start + 1, int(np.searchsorted(ends, before + limit, "right")))
             yield batch.slice(start, stop - start)
             start = stop
-    pa.default_memory_pool().release_unused()  # the worker may wait long for its next task
+    release_memory()
+
+
+def release_memory() -> None:
+    """Give free pages back: a worker may wait long for its next task, and other operators run in it."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # only some C libraries have it
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

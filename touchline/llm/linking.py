@@ -18,11 +18,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from touchline.llm.arrays import chunks
 from touchline.llm.tables import small, written
 from touchline.session import known_rows
 
 BLOCK_ROWS = 512
 BLOCK_BYTES = 16_000_000
+SET_BYTES = 4_000_000  # of sets that are looked at together
 EDGE = "child long, parent long"
 Decode = Callable[[pa.Array], list[np.ndarray]]
 Screen = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
@@ -115,9 +117,7 @@ def registers_of(column: pa.Array) -> np.ndarray:
 
 def verify_pairs(num: int, den: int, screen: Screen | None, decode: Decode):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in chunks(batches, "items_a", SET_BYTES):
             x, y = decode(batch.column("items_a")), decode(batch.column("items_b"))
             sizes_a, sizes_b = np.array([len(v) for v in x]), np.array([len(v) for v in y])
             fits = similar(np.minimum(sizes_a, sizes_b), sizes_a, sizes_b, num, den)
@@ -191,9 +191,7 @@ def compare_blocks(num: int, den: int, screen: Screen | None, decode: Decode):
                 link_block(forest, groups[a:b], sides[a:b] if low[a] != high[a] else None, sets[a:b],
                            registers[a:b] if screen else None, num, den, screen)
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in chunks(batches, "items", SET_BYTES):
             rows = pa.Table.from_batches([batch])
             rows = rows if held is None else pa.concat_tables([held, rows])
             last = heads_of(*(rows.column(c).to_numpy() for c in ("key", "low", "high")))[-1]

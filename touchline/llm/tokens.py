@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from touchline.llm.arrays import binary_array, chunks, text_bytes, within
+from touchline.llm.arrays import binary_array, chunks, release_memory, text_bytes, within
 from touchline.llm.tables import small
 from touchline.session import new_folder, with_known_rows
 
@@ -40,8 +40,8 @@ END_ID = 2
 WIDTH = np.dtype("<u2")  # ids below 65,536
 SAMPLE_DOCS, SAMPLE_BYTES, DICTIONARY_BYTES = 200, 65_536, 112_640
 LEVEL = 3
-CACHED_PIECES = 1_000_000
-ENCODED_BYTES = 8_000_000
+CACHED_PIECES = 300_000
+ENCODED_BYTES, LEAN_BYTES = 8_000_000, 2_000_000
 JOINED_WORDS = 100
 BLOCKS = ("shard int, block int, dict_sha256 string, tokens_before long, n_tokens long, doc_ids array<long>, "
           "counts array<long>, ends array<long>, frames binary")
@@ -108,8 +108,10 @@ class Encoder:
                 self.known[piece] = raw[start:end]
                 start = end + WIDTH.itemsize
         rest = [p for p in fresh if p not in self.known]
-        for piece, found in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-            self.known[piece] = np.array(found.ids, WIDTH).tobytes()
+        for low in range(0, len(rest), JOINED_WORDS):
+            part = rest[low:low + JOINED_WORDS]
+            for piece, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                self.known[piece] = np.array(found.ids, WIDTH).tobytes()
 
     def ids_of(self, pieces: list[str]) -> list[bytes]:
         fresh = [p for p in pieces if p not in self.known]
@@ -168,14 +170,14 @@ def dictionary_of(content: bytes):
     return zstandard.ZstdCompressionDict(content) if content else None
 
 
-def write_blocks(path: str, dictionary: bytes):
+def write_blocks(path: str, dictionary: bytes, lean: bool):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
         own = dictionary_of(dictionary)
         press = zstandard.ZstdCompressor(level=LEVEL, dict_data=own, write_content_size=True) if own else zstandard.ZstdCompressor(level=LEVEL)
         shard, mark, before = TaskContext.get().partitionId(), hashlib.sha256(dictionary).hexdigest(), 0
-        for number, batch in enumerate(chunks(batches, limit=ENCODED_BYTES)):
+        for number, batch in enumerate(chunks(batches, limit=LEAN_BYTES if lean else ENCODED_BYTES)):
             ids, places = encoder(path).encode(batch.column("text"))
             frames = [press.compress(ids[a:b].tobytes()) for a, b in zip(places[:-1], places[1:], strict=True)]
             yield pa.RecordBatch.from_pylist(
@@ -186,18 +188,22 @@ def write_blocks(path: str, dictionary: bytes):
                            ("n_tokens", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64())),
                            ("ends", pa.list_(pa.int64())), ("frames", pa.binary())]))
             before += len(ids)
+        if lean:
+            encoder.cache_clear()
+            release_memory()
     return run
 
 
-def write_tokens(docs: DataFrame, path: str, folder: str | None = None) -> str:
-    """Encode the documents into a folder of the format above and return it."""
+def write_tokens(docs: DataFrame, path: str, folder: str | None = None, lean: bool = False) -> str:
+    """Encode the documents into a folder of the format above and return it. ``lean``: with less text at a time, and
+    no tokenizer or pieces kept for a worker's next task; slower, for jobs whose workers do other things as well."""
     spark = docs.sparkSession
     folder = folder or new_folder(spark, "tokens")
     content = sampled_dictionary(docs, path)
     spark.createDataFrame([(hashlib.sha256(content).hexdigest(), content)], "sha256 string, content binary").coalesce(1).write.parquet(f"{folder}/dictionary")
     order = ["doc_id", F.xxhash64("text")]
     rows = docs.select("doc_id", "text").repartitionByRange(*order).sortWithinPartitions(*order, "text")
-    rows.mapInArrow(write_blocks(path, content), BLOCKS).write.parquet(f"{folder}/blocks")
+    rows.mapInArrow(write_blocks(path, content, lean), BLOCKS).write.parquet(f"{folder}/blocks")
     sizes = spark.read.parquet(f"{folder}/blocks").groupBy("shard").agg(F.sum("n_tokens").alias("n"))
     before = F.sum("n").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
     sizes.select("shard", F.coalesce(before, F.lit(0)).alias("start")).coalesce(1).write.parquet(f"{folder}/shards")
@@ -239,5 +245,5 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
     return blocks.mapInArrow(summarise(bytes(content)), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def tokenized(docs: DataFrame, path: str) -> DataFrame:
-    return read_tokens(docs.sparkSession, write_tokens(docs, path))
+def tokenized(docs: DataFrame, path: str, lean: bool = False) -> DataFrame:
+    return read_tokens(docs.sparkSession, write_tokens(docs, path, lean=lean))
