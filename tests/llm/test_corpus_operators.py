@@ -66,6 +66,25 @@ def test_near_duplicates(spark, hard, texts):
     assert by_id(near_dedup.near_duplicates(hard), "n_shingles", "component_id", "kept") == brute.near_duplicates(texts)
 
 
+def test_pipeline_stage_links_at_its_own_limit(spark):
+    rng, texts = random.Random(23), {}
+    for i in range(30):
+        base = words(rng, 104, 10**6)
+        texts[2 * i], texts[2 * i + 1] = " ".join(base), " ".join([*base[:90 + i % 14], *words(rng, 14 - i % 14, 10**6)])
+    sets = {i: brute.shingles(t) for i, t in texts.items()}
+    stage, query = (brute.groups(sets, brute.similar_pairs(sets, num, 100)) for num in (80, 85))
+    assert len(set(stage.values())) < len(set(query.values())) < len(texts)
+    frame = docs_frame(spark, texts.items())
+    left = corpus_pipeline.minhash_near_dedup(spark, frame, SF)
+    assert {r.doc_id for r in left.collect()} == {i for i, c in stage.items() if c == i}
+    left = near_dedup.without_near_duplicates(frame, 85, 100)
+    assert {r.doc_id for r in left.collect()} == {i for i, c in query.items() if c == i}
+    good = corpus_pipeline.quality_rules(spark, queries.table(spark, SF, "documents"), SF)
+    sets = {r.doc_id: brute.shingles(r.text) for r in good.collect()}
+    stage = brute.groups(sets, brute.similar_pairs(sets, 80, 100))
+    assert {r.doc_id for r in corpus_pipeline.minhash_near_dedup(spark, good, SF).collect()} == {i for i, c in stage.items() if c == i}
+
+
 def test_similar_lines(spark, hard, texts):
     assert by_id(line_dedup.similar_lines(hard), "n_lines", "n_removed", "removed") == brute.similar_lines(texts)
     cut = line_dedup.without_similar_lines(hard)

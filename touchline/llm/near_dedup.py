@@ -15,7 +15,7 @@ are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import cache
+from functools import cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,8 @@ from touchline.llm.tables import small, written
 from touchline.session import known_rows
 
 SHINGLE = 5
-NUM, DEN = 85, 100
+NUM, DEN = 85, 100  # of op3
+STAGE_NUM, STAGE_DEN = 80, 100  # of the pipeline's stage
 BUCKETS, BANDS, BAND = 256, 42, 6
 MANTISSA = 10
 EMPTY = np.uint16(0xFFFF)
@@ -129,12 +130,12 @@ def estimate(x: np.ndarray, y: np.ndarray, sizes_x: np.ndarray, sizes_y: np.ndar
     return (agree - by_chance) / np.maximum(used, 1), used
 
 
-def near_limit(x: np.ndarray, y: np.ndarray, sizes_x: np.ndarray, sizes_y: np.ndarray) -> np.ndarray:
-    """Whether the estimate leaves the limit within reach."""
+def near_limit(x: np.ndarray, y: np.ndarray, sizes_x: np.ndarray, sizes_y: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Whether the estimate leaves the limit num / den within reach."""
     if not len(x):
         return np.zeros(0, bool)
     found, used = estimate(x, y, sizes_x, sizes_y)
-    limit = NUM / DEN
+    limit = num / den
     return found >= limit - SURE * np.sqrt(limit * (1 - limit) / np.maximum(used, 1)) - 2 / np.maximum(used, 1)
 
 
@@ -172,8 +173,8 @@ def full_sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["id", "n", "mark", "mark2", "regs", "items"])
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row of ``docs`` (doc_id, text)."""
+def near_duplicates(docs: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row of ``docs`` (doc_id, text), linked at num / den."""
     docs = docs.select("doc_id", "text")
     rows = written(docs.mapInArrow(sketch, "doc_id long, n_shingles long, mark long, mark2 long, keys array<long>"))
     able = rows.filter("n_shingles > 0 AND doc_id IS NOT NULL")
@@ -187,7 +188,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     texts = docs.join(small(wanted, 8), "doc_id", "left_semi")
     sets = texts.mapInArrow(full_sets, "id long, n long, mark long, mark2 long, regs binary, items binary")
     sets = written(sets.join(marks, ["id", "mark", "mark2"], "left_semi").dropDuplicates(["id"]).select("id", "n", "regs", "items"))
-    groups = linked_groups(members, sets, NUM, DEN, near_limit)
+    groups = linked_groups(members, sets, num, den, partial(near_limit, num=num, den=den))
     copies = same.filter("rep < last").drop("last")
     found = rows.drop("keys").join(copies, ["mark", "mark2"], "left")
     found = found.withColumn("rep", F.when(F.col("n_shingles") > 0, F.coalesce("rep", "doc_id")).otherwise(F.col("doc_id")))
@@ -197,10 +198,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                         F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
-def without_near_duplicates(docs: DataFrame) -> DataFrame:
-    """The documents of ``docs``, one of each group of near duplicates. A doc_id that repeats stays once, with the
+def without_near_duplicates(docs: DataFrame, num: int = STAGE_NUM, den: int = STAGE_DEN) -> DataFrame:
+    """The documents of ``docs``, one of each group linked at num / den. A doc_id that repeats stays once, with the
     text that sorts first; rows without a doc_id all stay."""
-    found = near_duplicates(docs).filter("doc_id IS NOT NULL")
+    found = near_duplicates(docs, num, den).filter("doc_id IS NOT NULL")
     ids = written(found.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")).filter("n > 1 OR NOT kept"))
     dropped, again = (written(ids.filter(rows).select("doc_id")) for rows in ("NOT kept", "kept"))
     stay = docs.join(small(dropped, 8), "doc_id", "left_anti").select(docs.columns)

@@ -43,7 +43,7 @@ def op2_language_id(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def op3_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    return near_dedup.near_duplicates(table(spark, sf, "documents"))
+    return near_dedup.near_duplicates(table(spark, sf, "documents"), near_dedup.NUM, near_dedup.DEN)
 
 
 @query
