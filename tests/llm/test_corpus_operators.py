@@ -121,6 +121,21 @@ def test_contamination(spark, hard, texts, monkeypatch, part_bytes):
             assert len(brute.PLAIN.findall(left[doc].translate(brute.LOWER))) == wanted[doc][0] - wanted[doc][1]
 
 
+@pytest.mark.parametrize("part_bytes", [4_000_000, 300])
+def test_contamination_of_repeated_ids_and_rows_without_id(spark, texts, monkeypatch, part_bytes):
+    monkeypatch.setattr(decontaminate, "PART_BYTES", part_bytes)
+    items = [(1, texts[40][:400]), (2, " ".join(texts[10].split()[20:50]))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert (len(decontaminate.Parts(bench)) > 1) == (part_bytes < 1000)
+    rows = [(None, texts[40]), (None, texts[3]), (None, texts[3]), (5, texts[10]), (5, texts[70]), (5, texts[70]), (6, texts[71]), (7, texts[40])]
+    bad = {i for i, w in brute.contamination(dict(enumerate(t for _, t in rows)), items).items() if w[4]}
+    assert bad == {0, 3, 7}
+    clean = decontaminate.clean_documents(docs_frame(spark, rows).repartition(3), bench)
+    wanted = [row for i, row in enumerate(rows) if i not in bad]
+    assert sorted(((r.doc_id, r.text) for r in clean.collect()), key=str) == sorted(wanted, key=str)
+    assert {r["_row"] for r in clean.collect()} == {"clash"}
+
+
 def test_empty_benchmark(spark, hard, texts):
     none = spark.createDataFrame([], "item_id long, text string")
     assert not decontaminate.contamination(hard, none).filter("n_hit > 0 OR contaminated").count()

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from touchline.llm.arrays import (LOWER, U64, binary_array, chunks, per_row, row_of, span_hashes, spans, text_bytes,
                                   window_hashes, within)
-from touchline.llm.tables import written
+from touchline.llm.tables import small, written
 
 WINDOW = 13
 PART_BYTES = 4_000_000
@@ -174,7 +174,8 @@ def join_parts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         text = read(batch.column("text"))
         hit = [len({w for part in words or () for w in part}) for words in batch.column("words").to_pylist()]
         items = [{i for part in found or () for i in part} for found in batch.column("items").to_pylist()]
-        yield verdict_batch(batch.column("doc_id"), np.diff(text.first), np.array(hit, np.int64), items)
+        verdicts = verdict_batch(batch.column("doc_id"), np.diff(text.first), np.array(hit, np.int64), items)
+        yield verdicts.append_column("_row", batch.column("_row"))
 
 
 class Parts:
@@ -197,19 +198,35 @@ class Parts:
         return index_items(rows.column("item").to_pylist(), rows.column("text").combine_chunks())
 
 
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a number for each row, written, and the name of that column, which is none of theirs."""
+    name = "_row"
+    while name.lower() in map(str.lower, docs.columns):
+        name += "_"
+    return written(docs.withColumn(name, F.monotonically_increasing_id())), name
+
+
+def found_in_all(rows: DataFrame, parts: Parts) -> DataFrame:
+    """(_row, words, items) of the rows (_row, text) that any part hits; for each part a list."""
+    found = None
+    for part in parts:
+        own = written(rows.mapInArrow(found_in_part(part), "_row long, words array<long>, items array<string>"))
+        found = own if found is None else found.union(own)
+    return found.groupBy("_row").agg(F.collect_list("words").alias("words"), F.collect_list("items").alias("items"))
+
+
+def judged(rows: DataFrame, parts: Parts) -> DataFrame:
+    """The verdict of each row (_row, doc_id, text), with its number."""
+    return rows.join(found_in_all(rows, parts), "_row", "left").mapInArrow(join_parts, f"{VERDICT}, _row long")
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The words and hits of every document, and whether it counts as contaminated."""
     docs = docs.select("doc_id", "text")
     parts = Parts(benchmark)
     if len(parts) == 1:
         return docs.mapInArrow(report(parts[0]), VERDICT)
-    rows = written(docs.withColumn("_row", F.monotonically_increasing_id()))
-    found = None
-    for part in parts:
-        own = written(rows.mapInArrow(found_in_part(part), "_row long, words array<long>, items array<string>"))
-        found = own if found is None else found.union(own)
-    joined = found.groupBy("_row").agg(F.collect_list("words").alias("words"), F.collect_list("items").alias("items"))
-    return rows.join(joined, "_row", "left").mapInArrow(join_parts, VERDICT)
+    return judged(numbered(docs)[0], parts).drop("_row")
 
 
 def keep_clean(part: Part):
@@ -249,8 +266,10 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     parts = Parts(benchmark)
     if len(parts) == 1:
         return docs.mapInArrow(keep_clean(parts[0]), docs.schema)
-    bad = contamination(docs, benchmark).filter("contaminated").select("doc_id").distinct()
-    return docs.join(written(bad), "doc_id", "left_anti").select(docs.columns)
+    rows, row = numbered(docs)
+    verdicts = judged(rows.select(F.col(row).alias("_row"), "doc_id", "text"), parts)
+    bad = written(verdicts.filter("contaminated").select(F.col("_row").alias(row)))
+    return rows.join(small(bad, 8), row, "left_anti").select(docs.columns)
 
 
 def cut_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
