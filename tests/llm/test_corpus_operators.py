@@ -136,6 +136,23 @@ def test_contamination_of_repeated_ids_and_rows_without_id(spark, texts, monkeyp
     assert {r["_row"] for r in clean.collect()} == {"clash"}
 
 
+def test_cut_does_not_depend_on_the_parts(spark, monkeypatch):
+    text = [f"c{i}" for i in range(40)]
+    # Items that overlap in the text, and one whose words only meet when what stands between them is cut.
+    items = [(1, " ".join(text[:13])), (2, " ".join(text[7:20])), (3, " ".join(text[22:25])), (4, " ".join(text[21:22] + text[25:30]))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    frame = docs_frame(spark, [(1, " ".join(text)), (None, " ".join(text)), (2, None), (3, "")]).repartition(2)
+    left = " ".join(text[20:22] + text[25:])
+    for part_bytes in (4_000_000, 60, 20, 10):
+        monkeypatch.setattr(decontaminate, "PART_BYTES", part_bytes)
+        assert (len(decontaminate.Parts(bench)) > 1) == (part_bytes < 1000)
+        cut = decontaminate.cut_documents(frame, bench)
+        assert cut.columns == frame.columns
+        rows = {r.doc_id: r.text for r in cut.collect()}
+        assert [rows[2], rows[3]] == [None, ""] and rows[1] == rows[None]
+        assert rows[1].split() == left.split()
+
+
 def test_empty_benchmark(spark, hard, texts):
     none = spark.createDataFrame([], "item_id long, text string")
     assert not decontaminate.contamination(hard, none).filter("n_hit > 0 OR contaminated").count()

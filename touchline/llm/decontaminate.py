@@ -238,26 +238,43 @@ def keep_clean(part: Part):
     return run
 
 
+def cut_words(batch: pa.RecordBatch, text: Text, hit: np.ndarray) -> pa.RecordBatch:
+    """The rows of a batch, the hit words cut from their texts."""
+    data, offsets = text_bytes(batch.column("text"))
+    keep = np.ones(len(data), bool)
+    gone = np.flatnonzero(hit)
+    # A hit word goes with what stands between it and a hit word right before it in the same row.
+    rows = row_of(text.first)
+    joined = np.zeros(len(gone), bool)
+    joined[1:] = (gone[1:] == gone[:-1] + 1) & (rows[gone[1:]] == rows[gone[:-1]])
+    low = np.where(joined, text.ends[gone - 1], text.starts[gone]) if len(gone) else gone
+    keep[within(low, text.ends[gone] - low)] = False
+    kept = np.zeros(len(data) + 1, np.int64)
+    np.cumsum(keep, out=kept[1:])
+    column = binary_array(data[keep], kept[offsets], pa.string())
+    whole = batch.column("text")
+    column = pa.array([None if v is None else t for v, t in zip(whole.to_pylist(), column.to_pylist(), strict=True)], pa.string())
+    return batch.set_column(batch.schema.get_field_index("text"), "text", column)
+
+
 def cut_hits(part: Part):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
-            data, offsets = text_bytes(batch.column("text"))
             text = read(batch.column("text"))
-            hit = mark(text, part)[0]
-            keep = np.ones(len(data), bool)
-            gone = np.flatnonzero(hit)
-            # A hit word goes with what stands between it and a hit word right before it in the same row.
-            rows = row_of(text.first)
-            joined = np.zeros(len(gone), bool)
-            joined[1:] = (gone[1:] == gone[:-1] + 1) & (rows[gone[1:]] == rows[gone[:-1]])
-            low = np.where(joined, text.ends[gone - 1], text.starts[gone]) if len(gone) else gone
-            keep[within(low, text.ends[gone] - low)] = False
-            kept = np.zeros(len(data) + 1, np.int64)
-            np.cumsum(keep, out=kept[1:])
-            column = binary_array(data[keep], kept[offsets], pa.string())
-            whole = batch.column("text")
-            column = pa.array([None if v is None else t for v, t in zip(whole.to_pylist(), column.to_pylist(), strict=True)], pa.string())
-            yield batch.set_column(batch.schema.get_field_index("text"), "text", column)
+            yield cut_words(batch, text, mark(text, part)[0])
+    return run
+
+
+def cut_found(listed: str):
+    """The rows with the hit words of all parts cut at once; the column ``listed`` has them, a list for each part."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches):
+            text = read(batch.column("text"))
+            hit = np.zeros(len(text.starts), bool)
+            for first, parts in zip(text.first[:-1], batch.column(listed).to_pylist(), strict=True):
+                for words in parts or ():
+                    hit[first + np.array(words, np.int64)] = True
+            yield cut_words(batch.drop_columns([listed]), text, hit)
     return run
 
 
@@ -273,7 +290,12 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def cut_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """All documents, the hit words cut from their texts, part by part of the benchmark."""
-    for part in Parts(benchmark):
-        docs = docs.mapInArrow(cut_hits(part), docs.schema)
-    return docs
+    """All documents, the hit words cut from their texts; a word is hit where a window stands in the text as given."""
+    parts = Parts(benchmark)
+    if len(parts) == 1:
+        return docs.mapInArrow(cut_hits(parts[0]), docs.schema)
+    rows, row = numbered(docs)
+    found = found_in_all(rows.select(F.col(row).alias("_row"), "text"), parts).select(
+        F.col("_row").alias(row), F.col("words").alias(f"{row}words"))
+    given = rows.join(found, row, "left").select(*docs.columns, F.col(f"{row}words").alias(row))
+    return given.mapInArrow(cut_found(row), docs.schema)
