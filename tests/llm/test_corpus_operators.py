@@ -389,6 +389,26 @@ def test_repeated_rows_and_rows_without_id(spark):
     assert [(r.doc_id, r.n_lines, r.n_removed) for r in lines] == [(None, 0, 0), (5, 1, 0), (7, 1, 1), (8, 0, 0)]
 
 
+def test_repeated_ids_with_different_texts(spark):
+    rng = random.Random(31)
+    a, b, c, d = (words(rng, 100, 10**6) for _ in range(4))
+
+    def near(text):
+        return " ".join([*text, "more"])
+    rows = [(5, a), (5, b), (5, b), (5, c), (7, near(a)), (8, near(b)), (9, near(c)), (4, c), (3, d), (3, [*d, "more"]), (6, ()), (6, ()), (6, d[:40])]
+    rows = [(i, t if isinstance(t, str) else " ".join(t)) for i, t in rows]
+    sets = {k: brute.shingles(t) for k, (_, t) in enumerate(rows)}
+    found = brute.groups(sets, brute.similar_pairs(sets, 85, 100))
+    least = {c: min(rows[k][0] for k in found if found[k] == c) for c in found.values()}
+    frame = docs_frame(spark, rows).repartition(4)
+    got = near_dedup.near_duplicates(frame).select("doc_id", "n_shingles", "component_id", "kept").collect()
+    assert sorted(map(tuple, got)) == sorted((i, len(sets[k]), least[found[k]], least[found[k]] == i) for k, (i, _) in enumerate(rows))
+    left = near_dedup.without_near_duplicates(frame)
+    assert left.columns == frame.columns
+    wanted = [(5, " ".join(a)), (5, " ".join(b)), (4, " ".join(c)), (3, " ".join(d)), (6, ""), (6, " ".join(d[:40]))]
+    assert sorted((r.doc_id, r.text) for r in left.collect()) == sorted(wanted)
+
+
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_queries_on_the_small_tables(spark, name):
     docs = {r.doc_id: r.text for r in queries.table(spark, SF, "documents").select("doc_id", "text").collect()}

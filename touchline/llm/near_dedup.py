@@ -8,8 +8,8 @@ compared in full, their registers must estimate a similarity near the limit, cor
 agree by chance.
 
 Empty texts, nulls and texts without words have an empty set and link with nothing. Rows without a doc_id take no
-part: their component is null and they are kept. Rows that repeat a doc_id count as one document. Other columns
-are ignored.
+part: their component is null and they are kept. Rows that repeat a doc_id are linked each by its own set; a
+component is named by its least doc_id. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from touchline.llm.arrays import (BASES, NOT_SPACE, U64, between, chunks, mix, row_of, running, span_hashes, spans,
@@ -35,6 +36,7 @@ STAGE_NUM, STAGE_DEN = 80, 100  # of the pipeline's stage
 BUCKETS, BANDS, BAND = 256, 42, 6
 MANTISSA = 10
 EMPTY = np.uint16(0xFFFF)
+SET, GROUP, PLACE = ("_near_mark", "_near_mark2"), "_near_group", "_near_place"  # beside the columns of documents
 SURE = 5.0  # standard deviations of the estimate below the limit that are still compared in full
 
 
@@ -173,40 +175,65 @@ def full_sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["id", "n", "mark", "mark2", "regs", "items"])
 
 
-def near_duplicates(docs: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row of ``docs`` (doc_id, text), linked at num / den."""
+def linked_rows(docs: DataFrame, num: int, den: int) -> DataFrame:
+    """(doc_id, n_shingles, mark, mark2, component_id, set_group) of every row of ``docs`` (doc_id, text).
+
+    What is linked are distinct sets, by a number of their own. ``set_group`` is the number of the component of a
+    row's set; null where no other row has that set or one that is linked to it.
+    """
     docs = docs.select("doc_id", "text")
     rows = written(docs.mapInArrow(sketch, "doc_id long, n_shingles long, mark long, mark2 long, keys array<long>"))
     able = rows.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    same = able.groupBy("mark", "mark2").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"))
-    same = written(same)
-    reps = same.select(F.col("rep").alias("doc_id"), "mark", "mark2")
-    alone = able.join(reps, ["doc_id", "mark", "mark2"], "left_semi").select(F.col("doc_id").alias("id"), F.explode("keys").alias("key"))
+    same = able.groupBy("mark", "mark2").agg(F.min("doc_id").alias("doc_id"), (F.count(F.lit(1)) > 1).alias("again"))
+    same = written(same.withColumn("id", F.monotonically_increasing_id()))
+    places = ["doc_id", "mark", "mark2"]
+    alone = able.join(same.drop("again"), places).select("id", F.explode("keys").alias("key"))
     members = crowded(alone.select("key", "id"))
-    wanted = written(members.select(F.col("id").alias("doc_id")).distinct())
-    marks = reps.join(small(wanted, 8), "doc_id", "left_semi").withColumnsRenamed({"doc_id": "id"})
-    texts = docs.join(small(wanted, 8), "doc_id", "left_semi")
+    wanted = written(members.select("id").distinct())
+    marks = written(same.join(small(wanted, 8), "id", "left_semi").drop("again"))
+    texts = docs.join(small(marks, 32), "doc_id", "left_semi")
     sets = texts.mapInArrow(full_sets, "id long, n long, mark long, mark2 long, regs binary, items binary")
-    sets = written(sets.join(marks, ["id", "mark", "mark2"], "left_semi").dropDuplicates(["id"]).select("id", "n", "regs", "items"))
+    sets = sets.withColumnRenamed("id", "doc_id").join(small(marks, 32), places)
+    sets = written(sets.dropDuplicates(["id"]).select("id", "n", "regs", "items"))
     groups = linked_groups(members, sets, num, den, partial(near_limit, num=num, den=den))
-    copies = same.filter("rep < last").drop("last")
-    found = rows.drop("keys").join(copies, ["mark", "mark2"], "left")
-    found = found.withColumn("rep", F.when(F.col("n_shingles") > 0, F.coalesce("rep", "doc_id")).otherwise(F.col("doc_id")))
-    found = found.join(small(groups.withColumnsRenamed({"id": "rep"}), 16), "rep", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep"))
-    return found.select("doc_id", "n_shingles", component.alias("component_id"),
-                        F.col("doc_id").eqNullSafe(component).alias("kept"))
+    grouped = same.join(small(groups, 16), "id", "left").filter("again OR component IS NOT NULL")
+    least = written(grouped.filter("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("least")))
+    decided = grouped.join(small(least, 16), "component", "left").select(
+        "mark", "mark2", F.coalesce("least", "doc_id").alias("least"), F.coalesce("component", "id").alias("set_group"))
+    found = rows.drop("keys").join(decided, ["mark", "mark2"], "left")
+    shared = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
+    component = F.when(shared, F.coalesce("least", "doc_id")).otherwise(F.col("doc_id"))
+    return found.select("doc_id", "n_shingles", "mark", "mark2", component.alias("component_id"),
+                        F.when(shared, F.col("set_group")).alias("set_group"))
+
+
+def near_duplicates(docs: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row of ``docs`` (doc_id, text), linked at num / den."""
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
+    return linked_rows(docs, num, den).select("doc_id", "n_shingles", "component_id", kept)
+
+
+def marked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in chunks(batches):
+        for column, name in zip(set_marks(*shingle_sets(batch.column("text"))), SET, strict=True):
+            batch = batch.append_column(name, pa.array(column))
+        yield batch
 
 
 def without_near_duplicates(docs: DataFrame, num: int = STAGE_NUM, den: int = STAGE_DEN) -> DataFrame:
-    """The documents of ``docs``, one of each group linked at num / den. A doc_id that repeats stays once, with the
-    text that sorts first; rows without a doc_id all stay."""
-    found = near_duplicates(docs, num, den).filter("doc_id IS NOT NULL")
+    """The documents of ``docs``, one of each group linked at num / den. Of rows that share a doc_id and have equal or
+    linked sets, the text that sorts first stays; rows without a doc_id all stay."""
+    found = linked_rows(docs, num, den).filter("doc_id IS NOT NULL").withColumn("kept", F.expr("doc_id = component_id"))
+    found = written(found.select("doc_id", *(F.col(c).alias(n) for c, n in zip(("mark", "mark2", "set_group"), (*SET, GROUP), strict=True)), "kept"))
     ids = written(found.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")).filter("n > 1 OR NOT kept"))
     dropped, again = (written(ids.filter(rows).select("doc_id")) for rows in ("NOT kept", "kept"))
     stay = docs.join(small(dropped, 8), "doc_id", "left_anti").select(docs.columns)
     if not known_rows(again):
         return stay
-    order = Window.partitionBy("doc_id").orderBy("text")
-    once = stay.join(small(again, 8), "doc_id", "left_semi").withColumn("_place", F.row_number().over(order)).filter("_place = 1")
+    sets = found.join(small(again, 8), "doc_id", "left_semi").filter("kept").select("doc_id", *SET, GROUP).distinct()
+    own = [F.when(F.col(GROUP).isNull(), F.col(name)) for name in SET]
+    order = Window.partitionBy("doc_id", GROUP, *own).orderBy("text")
+    with_marks = T.StructType([*docs.schema.fields, *(T.StructField(name, T.LongType()) for name in SET)])
+    once = stay.join(small(again, 8), "doc_id", "left_semi").select(docs.columns).mapInArrow(marked, with_marks)
+    once = once.join(sets, ["doc_id", *SET]).withColumn(PLACE, F.row_number().over(order)).filter(F.col(PLACE) == 1)
     return stay.join(small(again, 8), "doc_id", "left_anti").select(docs.columns).unionByName(once.select(docs.columns))
