@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.bindings.registry import Query
-from touchline.llm import (chat, decontaminate, language, line_dedup, mixing, near_dedup, quality, secret_scan, substring,
-                           tokens)
+from touchline.llm import (chat, decontaminate, language, line_dedup, mixing, near_dedup, periodic, quality, secret_scan,
+                           substring, tokens)
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -83,3 +83,30 @@ def op10_chat_format(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(MARKS_AS_TEXT).alias("text"))
     turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
     return chat.digests(chat.formatted(turns.unionByName(own)))
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): where crc32 of the decimal doc_id is divisible by 10, the words from one place on are replaced
+    by repeats of the first of them."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g, spaces = F.expr("h div 10"), r"[\x20\x09-\x0D]+"
+    worded = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, F.array_remove(F.split("text", spaces), "")).alias("words"))
+    placed = worded.withColumn("n", F.size("words")).withColumn("a", F.when(F.col("n") > 0, g % F.col("n")).cast("int"))
+    placed = placed.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + g % 8))).cast("int"))
+    tail = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")))
+    planted = F.concat(F.slice("words", F.lit(1), F.col("a")), F.slice(tail, F.lit(1), F.col("n") - F.col("a")))
+    return placed.select("doc_id", F.when(F.col("a").isNull(), F.col("text")).otherwise(F.array_join(planted, " ")).alias("text"))
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    found = periodic.periodic_runs(with_planted_periods(table(spark, sf, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period"))), F.lit("\n")))
+    best = found.withColumn("best", longest).withColumn("lines", F.array_join(lines, ""))
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"), (-F.col("best.period")).alias("period"),
+        F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+        F.sha2("lines", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
