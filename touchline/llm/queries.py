@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.bindings.registry import Query
-from touchline.llm import (chat, decontaminate, language, line_dedup, mixing, near_dedup, periodic, quality, secret_scan,
-                           substring, tokens)
+from touchline.llm import (chat, decontaminate, language, line_dedup, mixing, near_dedup, nearest, periodic, quality,
+                           secret_scan, substring, tokens)
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -110,3 +110,8 @@ def op12_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
         F.col("best.length").alias("length"), (-F.col("best.period")).alias("period"),
         F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
         F.sha2("lines", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@query
+def op13_nearest_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    return nearest.nearest_neighbours(table(spark, sf, "embeddings"), F.col("id") % 100 == 0)

@@ -30,3 +30,20 @@ def small(df: DataFrame, row_bytes: int) -> DataFrame:
 def as_batches(rows: list[dict], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     if rows:
         yield pa.RecordBatch.from_pylist(rows, schema)
+
+
+#: Keys that hold at least one row in so many are joined by broadcast; there are at most so many of them.
+HOT_SHARE = 200
+
+
+def joined_to_rows(rows: DataFrame, values: DataFrame, key: str, count: str) -> DataFrame:
+    """The rows with the values of their key, which are unique by key and say in ``count`` how many rows have it.
+
+    The keys of one row in HOT_SHARE and more are at most HOT_SHARE keys whatever the table holds; they go by
+    broadcast, so that no task of the join has more than its share of one key.
+    """
+    total = values.agg(F.sum(count)).first()[0] or 0
+    hot = values.where(F.col(count) * HOT_SHARE >= total).drop(count)
+    warm = rows.join(F.broadcast(hot), key)
+    cold = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(values.where(F.col(count) * HOT_SHARE < total).drop(count), key)
+    return warm.unionByName(cold)
