@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.bindings.registry import Query
-from touchline.llm import (chat, decontaminate, language, line_dedup, mixing, near_dedup, nearest, periodic, quality,
-                           secret_scan, substring, tokens)
+from touchline.llm import (alignment, chat, decontaminate, language, line_dedup, mixing, near_dedup, nearest, periodic,
+                           quality, secret_scan, substring, tokens)
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -25,10 +25,10 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def vocabulary() -> str:
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 @query
@@ -85,6 +85,11 @@ def op10_chat_format(spark: SparkSession, sf: str) -> DataFrame:
     return chat.digests(chat.formatted(turns.unionByName(own)))
 
 
+@query
+def op11_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    return alignment.alignment(table(spark, sf, "documents"), vocabulary(), vocabulary("piece_bpe_32k.model"))
+
+
 def with_planted_periods(docs: DataFrame) -> DataFrame:
     """(doc_id, text): where crc32 of the decimal doc_id is divisible by 10, the words from one place on are replaced
     by repeats of the first of them."""
