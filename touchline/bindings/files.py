@@ -13,9 +13,9 @@ from touchline.operators.incremental import commit_snapshot, load_summary, needi
 from touchline.operators.reshape import column_presence, missing_columns
 from touchline.params import GAME_NAMES, Params
 from touchline.plans import clean_players as cp
-from touchline.plans.warehouse import land_runs
+from touchline.plans.warehouse import changed_files, keep_manifest, land_runs
 from touchline.sources import game_documents as docs
-from touchline.sources import match_files, sinks
+from touchline.sources import match_files, member_store, sinks, versions
 from touchline.session import new_folder
 from touchline.streaming.arrivals import on_arrival
 
@@ -110,6 +110,56 @@ def document_histories(spark, sf):
     return rows.join(known, "player", "left_semi").withColumn("influence", to_number("influence"))
 
 
+def write_member_files(spark, sf, folder=None, where="true"):
+    """A document per supplier and year in ``player_<supplier>.json``, a folder of the parts of one file. Suppliers'
+    files can be written anew."""
+    folder = folder or new_folder(spark, "members")
+    entry = F.struct(F.col("l_orderkey").cast("int").alias("fixture"), F.col("l_linenumber").alias("total_points"),
+                     F.col("l_quantity").cast("int").alias("minutes"), F.col("l_tax").cast("string").alias("influence"))
+    documents = b.table(spark, sf, "lineitem").filter(where).groupBy("l_suppkey", F.year("l_shipdate").alias("y")).agg(
+        F.collect_list(entry).alias("history"))
+    name = F.concat(F.lit("player_"), F.col("l_suppkey"), F.lit(".json"))
+    (documents.select("history", name.alias("file")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .option("maxRecordsPerFile", 1).partitionBy("file").json(folder))
+    return folder
+
+
+def supplier_members(spark, sf, where="true"):
+    """Suppliers, but for those of nation 3, with the totals of their lines as signature."""
+    totals = b.table(spark, sf, "lineitem").filter(where).groupBy(F.col("l_suppkey").alias("id")).agg(
+        F.sum("l_linenumber").alias("total_points"), F.sum(F.col("l_quantity").cast("int")).alias("minutes"))
+    known = b.table(spark, sf, "supplier").filter("s_nationkey <> 3").select(F.col("s_suppkey").alias("id"))
+    return known.join(totals, "id", "left")
+
+
+MEMBER_SQL = """
+SELECT l_suppkey AS fpl_element_id, CAST(l_orderkey AS INTEGER) AS fixture, l_linenumber AS total_points,
+  CAST(l_quantity AS INTEGER) AS minutes, l_tax AS influence FROM lineitem JOIN supplier ON s_suppkey = l_suppkey AND s_nationkey <> 3"""
+
+
+@query("player_histories", MEMBER_SQL)
+def player_histories(spark, sf):
+    """Every member's history files through the reader of the pipeline, the id from the file's name; files of
+    members that are not known are left out."""
+    rows = docs.histories(spark, write_member_files(spark, sf), supplier_members(spark, sf), schema=HISTORY_ENTRY)
+    return rows.drop("_place").withColumn("influence", to_number("influence"))
+
+
+FIRST_SWEEP = "l_shipdate < timestamp'1999-01-01'"
+
+
+@query("refreshed_histories", MEMBER_SQL + " WHERE l_shipdate < DATE '1999-01-01' OR l_suppkey % 10 = 0")
+def refreshed_histories(spark, sf):
+    """A first sweep stores what was shipped before 1999; then a tenth of the suppliers ship on. The second sweep
+    reads and rewrites only theirs."""
+    store, again = new_folder(spark, "store"), f"({FIRST_SWEEP}) OR l_suppkey % 10 = 0"
+    folder, columns = write_member_files(spark, sf, where=FIRST_SWEEP), ["total_points", "minutes"]
+    member_store.refresh_histories(spark, folder, store, supplier_members(spark, sf, FIRST_SWEEP), columns, schema=HISTORY_ENTRY)
+    write_member_files(spark, sf, folder, "l_suppkey % 10 = 0")
+    rows = member_store.refresh_histories(spark, folder, store, supplier_members(spark, sf, again), columns, schema=HISTORY_ENTRY)
+    return rows.drop("_place").withColumn("influence", to_number("influence"))
+
+
 @query("json_fields", """
 SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events""")
 def json_fields(spark, sf):
@@ -150,9 +200,30 @@ def landed_replaced(spark, sf):
     """A table landed again without one of its partitions does not keep that partition."""
     folder = new_folder(spark, "replaced")
     orders = b.table(spark, sf, "orders").select("o_orderkey", F.year("o_orderdate").alias("y"))
-    sinks.land(orders, folder, ["y"])
-    sinks.land(orders.filter(F.col("y") != b.LIVE_YEAR), folder, ["y"])
-    return spark.read.parquet(folder)
+    versions.replace(orders, folder, "orders", ["y"])
+    versions.replace(orders.filter(F.col("y") != b.LIVE_YEAR), folder, "orders", ["y"])
+    return versions.read(spark, folder, "orders")
+
+
+@query("published_together", """
+SELECT name, y, count(*) AS rows FROM (
+  SELECT 'orders' AS name, CAST(year(o_orderdate) AS INTEGER) AS y FROM orders WHERE o_orderstatus <> 'P'
+  UNION ALL SELECT 'lines', CAST(year(l_shipdate) AS INTEGER) FROM lineitem WHERE l_returnflag <> 'N' OR year(l_shipdate) < 2000)
+GROUP BY 1, 2""")
+def published_together(spark, sf):
+    """Two tables change in one step: one is replaced whole, of the other only the partitions from 2000 on. A third
+    version that is written and never published is not seen."""
+    folder = new_folder(spark, "published")
+    orders = b.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", F.year("o_orderdate").alias("y"))
+    lines = b.table(spark, sf, "lineitem").select("l_orderkey", "l_returnflag", F.year("l_shipdate").alias("y"))
+    versions.publish(spark, folder, versions.stage(orders, folder, "orders", ["y"]), versions.stage(lines, folder, "lines", ["y"]))
+    late = sorted(r["y"] for r in lines.filter("y >= 2000").select("y").distinct().collect())
+    part = versions.stage_parts(lines.filter("y >= 2000 AND l_returnflag <> 'N'"), folder, "lines", "y", late)
+    versions.publish(spark, folder, versions.stage(orders.filter("o_orderstatus <> 'P'"), folder, "orders"), part)
+    versions.stage(orders.limit(1), folder, "orders")
+    versions.vacuum(spark, folder, ["orders", "lines"])
+    both = [versions.read(spark, folder, n).select(F.lit(n).alias("name"), "y") for n in ("orders", "lines")]
+    return both[0].unionByName(both[1]).groupBy("name", "y").agg(F.count(F.lit(1)).alias("rows"))
 
 
 @query("landed_version", """
@@ -279,11 +350,12 @@ def calendar_attributes(spark, sf):
     return days.select(*calendar_columns("d"))
 
 
-def write_match_files(spark, sf):
+def write_match_files(spark, sf, folder=None, where="true"):
     """Matches in the season files' own columns, a folder of parts for each season. One season is Latin-1 with an
-    umlaut in its referees, one has a byte-order mark, and the first ones know no kickoff time."""
-    folder, nations = new_folder(spark, "matches"), b.nations_as_teams(spark, sf)
-    rows = b.keyed_matches(spark, sf).withColumn("season", b.season_code(F.col("match_date")))
+    umlaut in its referees, one has a byte-order mark, and the first ones know no kickoff time. Matches can arrive
+    in several goes."""
+    folder, nations = folder or new_folder(spark, "matches"), b.nations_as_teams(spark, sf)
+    rows = b.keyed_matches(spark, sf).withColumn("season", b.season_code(F.col("match_date"))).filter(where)
     for side in ("home", "away"):
         rows = rows.join(nations.select(F.col("team_id").alias(f"{side}_team_id"), F.col("team_name").alias(f"{side}_team")), f"{side}_team_id")
     referee = F.when(F.col("season") == "9697", F.concat(F.lit("J Müller "), "referee")).otherwise(F.col("referee"))
@@ -297,7 +369,7 @@ def write_match_files(spark, sf):
         if season == "9798":
             own = own.withColumnRenamed("Date", sinks.BYTE_ORDER_MARK + "Date")
         encoding = "ISO-8859-1" if season == "9697" else "UTF-8"
-        own.write.option("header", True).option("encoding", encoding).csv(f"{folder}/E0_{season}.csv")
+        own.write.mode("append").option("header", True).option("encoding", encoding).csv(f"{folder}/E0_{season}.csv")
     return folder
 
 
@@ -321,6 +393,46 @@ def loaded_matches(spark, sf):
     return ranked_seasons(spark, folder).drop(*match_files.FILE_ORDER)
 
 
+@query("refreshed_seasons", LOADED_SQL + """
+SELECT code AS season_code, home AS home_team, ft_result, count(*) AS matches,
+  code IN ('9697', '0102') AS rebuilt FROM lines GROUP BY ALL""")
+def refreshed_seasons(spark, sf):
+    """Half of one season's matches and all of the last season arrive after the first refresh. Arrivals and digests
+    say which seasons are read again; the other seasons' partitions keep their files. A third refresh finds nothing."""
+    folder, work, at, found = None, new_folder(spark, "work"), F.lit("2001-08-02").cast("timestamp"), []
+    for go in ("season <> '0102' AND (season <> '9697' OR month(match_date) <= 6)", "season = '0102' OR (season = '9697' AND month(match_date) > 6)", None):
+        if go:
+            folder = write_match_files(spark, sf, folder, go)
+        files, seasons = changed_files(spark, folder, work, at)
+        found.append(seasons)
+        if seasons != []:
+            raw = match_files.load_matches(spark, folder, Params(current_season="0102"), only=seasons)
+            table = versions.stage(raw, work, "matches", ["season_code"]) if seasons is None \
+                else versions.stage_parts(raw, work, "matches", "season_code", seasons)
+            versions.publish(spark, work, table)
+            keep_manifest(files, work)
+    if found != [None, ["0102", "9697"], []]:
+        raise AssertionError(f"seasons read again: {found}")
+    rows = versions.read(spark, work, "matches").groupBy("season_code", "home_team", "ft_result").agg(F.count(F.lit(1)).alias("matches"))
+    return rows.withColumn("rebuilt", F.col("season_code").isin(found[1]))
+
+
+@query("file_digests", """
+SELECT y, count(*) AS rows, sha256(string_agg(line || chr(10), '' ORDER BY o_orderkey)) AS sha256, sum(length(line) + 1)::BIGINT AS bytes
+FROM (SELECT CAST(year(o_orderdate) AS INTEGER) AS y, o_orderkey, o_orderkey || '|' || o_orderpriority || '|' || o_orderstatus AS line
+  FROM orders) GROUP BY y""")
+def file_digests(spark, sf):
+    """Digest, size and lines of a text file a year, each read in pieces; the files have no header."""
+    folder = new_folder(spark, "digested")
+    orders = b.table(spark, sf, "orders").withColumn("y", F.year("o_orderdate"))
+    line = F.concat_ws("|", "o_orderkey", "o_orderpriority", "o_orderstatus")
+    (orders.repartition("y").sortWithinPartitions("y", "o_orderkey").select("y", line.alias("value"))
+     .write.partitionBy("y").text(folder))
+    files = match_files.manifest(spark, folder, F.lit("2001-08-02").cast("timestamp"), pattern="*.txt")
+    return files.select(F.regexp_extract("path", "/y=([0-9]+)/", 1).cast("int").alias("y"), (F.col("rows") + 1).alias("rows"),
+                        "sha256", "bytes")
+
+
 @query("file_changes", LOADED_SQL + "SELECT code AS season, code = '0001' AS changed FROM lines GROUP BY 1")
 def file_changes(spark, sf):
     """The manifest against one in which the digest of a season's files is another."""

@@ -49,6 +49,32 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, folder: str):
+    """The store a path names, and the path as that store takes it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def exists(spark: SparkSession, folder: str) -> bool:
+    """Whether a folder is there, in whatever store its path names. Nothing is read."""
+    store, path = _file_system(spark, folder)
+    return bool(store.exists(path))
+
+
+def remove_folder(spark: SparkSession, folder: str) -> bool:
+    """Delete a folder with all that is in it; False if there is none."""
+    store, path = _file_system(spark, folder)
+    return bool(store.delete(path, True))
+
+
+def child_folders(spark: SparkSession, folder: str, prefix: str) -> list[str]:
+    """Names of the folders right in a folder that begin with ``prefix``."""
+    store, path = _file_system(spark, folder)
+    if not store.exists(path):
+        return []
+    return sorted(f.getPath().getName() for f in store.listStatus(path) if f.isDirectory() and f.getPath().getName().startswith(prefix))
+
+
 _SIZES: WeakKeyDictionary[DataFrame, tuple[int, int | None]] = WeakKeyDictionary()
 FIXED_BYTES = 16  # of a column in a row, besides the text in it
 

@@ -52,27 +52,45 @@ def fixtures(spark: SparkSession, folder: str) -> DataFrame:
     return read_document(spark, f"{folder}/fixtures.json", FIXTURES)
 
 
-def member_files(spark: SparkSession, folder: str, prefix: str = "player_") -> DataFrame:
-    """Ids for which a history file is stored. The listing reads no content."""
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", f"{prefix}[0-9]*.json")
-             .load(folder).select("path"))
-    return files.select(file_id(F.col("path"), prefix).alias("id"))
+def member_files(spark: SparkSession, folder: str, prefix: str = "player_", paths: bool = False) -> DataFrame:
+    """Ids for which a history file, or a folder of the parts of one, is stored; with ``paths``, where. The listing
+    reads no content."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", file_glob(prefix)).option("recursiveFileLookup", "true")
+             .load(folder).select(file_id(F.col("path"), prefix).alias("id"), "path").filter("id IS NOT NULL"))
+    return files if paths else files.select("id").distinct()
+
+
+def file_glob(prefix: str) -> str:
+    return f"{{{prefix}[0-9]*.json,part-*.json}}"
 
 
 def file_id(path: Column, prefix: str) -> Column:
-    return F.regexp_extract(path, rf"{prefix}([0-9]+)\.json$", 1).cast("bigint")
+    """The id in the name of a member's file, NULL for any other file."""
+    name = F.regexp_extract(path, rf"[/=]{prefix}([0-9]+)\.json(?:/|$)", 1)
+    return F.when(name != "", name.cast("bigint"))
+
+
+def history_documents(spark: SparkSession, paths: str | list[str], prefix: str = "player_", entry: str = "history",
+                      schema: str = HISTORY) -> DataFrame:
+    """(id, _place, _e) for the entries of member files, a row with a NULL entry where a file has none."""
+    if not paths:
+        return spark.createDataFrame([], f"id bigint, _place int, _e {schema.removeprefix('array<').removesuffix('>')}")
+    document = (spark.read.schema(f"{entry} {schema}").option("multiLine", True).option("mode", "FAILFAST")
+                .option("pathGlobFilter", file_glob(prefix)).option("recursiveFileLookup", "true").json(paths))
+    # The filter on the path alone is applied to the listing: other files are not opened.
+    named = document.filter(F.col("_metadata.file_path").rlike(f"[/=]{prefix}[0-9]+[.]json(/|$)")).select(
+        file_id(F.col("_metadata.file_path"), prefix).alias("id"), entry)
+    return named.select("id", F.posexplode_outer(entry).alias("_place", "_e"))
 
 
 def histories(spark: SparkSession, folder: str, members: DataFrame, prefix: str = "player_",
               entry: str = "history", schema: str = HISTORY) -> DataFrame:
     """Entries of every stored history file of a known member, with the member's id and the
     entry's place in its file."""
-    document = (spark.read.schema(f"{entry} {schema}").option("multiLine", True).option("mode", "FAILFAST")
-                .option("pathGlobFilter", f"{prefix}[0-9]*.json").json(folder))
-    rows = document.select(file_id(F.col("_metadata.file_path"), prefix).alias("fpl_element_id"),
-                           F.posexplode(entry).alias("_place", "_e")).select("fpl_element_id", "_place", "_e.*")
+    rows = history_documents(spark, folder, prefix, entry, schema).filter("_e IS NOT NULL")
     known = small_side(members.select(F.col("id").alias("_id")))
-    return rows.join(known, F.col("fpl_element_id") == F.col("_id"), "left_semi")
+    rows = rows.join(known, F.col("id") == F.col("_id"), "left_semi")
+    return rows.select(F.col("id").alias("fpl_element_id"), "_place", "_e.*")
 
 
 def sweep_manifest(elements: DataFrame, events: DataFrame, fetched_at: Column) -> DataFrame:

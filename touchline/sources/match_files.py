@@ -25,28 +25,100 @@ SEASON = re.compile(r"_([0-9]{4})\.csv(?:/|$)")  # a file, or a folder of the pa
 NEXT_FIELD = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'  # a comma outside quotes
 FILE_ORDER = ["_file_no", "_block", "_line"]
 MANIFEST_SCHEMA = ("season string, file string, bytes bigint, sha256 string, rows bigint, "
-                   "fetched_at string")
+                   "fetched_at string, modified timestamp")
 
 
-def file_contents(spark: SparkSession, folder: str | list[str], pattern: str = "*.csv") -> DataFrame:
-    """One row per file: its name and bytes."""
+def file_names(spark: SparkSession, folder: str | list[str], pattern: str = "*.csv") -> DataFrame:
+    """One row per file: where it is, as readers take it and as rows name it, its size and time. Nothing is read."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
              .option("recursiveFileLookup", "true").load(folder))
     name = F.element_at(F.split("path", "/"), -1)
-    return files.select("path", name.alias("file"), "length", "content")
+    return files.select("path", name.alias("file"), "length", F.col("modificationTime").alias("modified"),
+                        F.col("_metadata.file_path").alias("_uri"))
+
+
+def file_lines(spark: SparkSession, folder: str | list[str], pattern: str = "*.csv") -> DataFrame:
+    """The files' bytes between line feeds, a row each, in any number of tasks. ``_block`` and ``_line`` order the
+    rows of a file. A line is the most of a file that is ever held at once."""
+    lines = (spark.read.option("lineSep", "\n").option("pathGlobFilter", pattern)
+             .option("recursiveFileLookup", "true").text(folder))
+    return lines.select(F.col("_metadata.file_path").alias("_uri"), F.col("_metadata.file_block_start").alias("_block"),
+                        F.monotonically_increasing_id().alias("_line"), F.col("value").alias("_bytes"))
 
 
 def season_of(path: Column) -> Column:
     return F.regexp_extract(path, SEASON.pattern, 1)
 
 
+def file_facts(spark: SparkSession, folder: str | list[str], pattern: str = "*.csv") -> DataFrame:
+    """Per file its size, line feeds, whether it begins with a byte-order mark and is valid UTF-8, from one aggregate.
+
+    A line feed is a character of its own in UTF-8, so a file is valid if every line is. The reader drops line feeds and a
+    leading mark; what the lines lack of the file's size tells how many there were: the mark's three bytes, and
+    a line feed after every line, the last one in doubt.
+    """
+    lines = file_lines(spark, folder, pattern).groupBy("_uri").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(F.octet_length("_bytes")).alias("_held"), F.bool_and(F.is_valid_utf8("_bytes")).alias("_valid"))
+    n, held = F.coalesce("_n", F.lit(0)), F.coalesce("_held", F.lit(0))
+    missing = F.col("length") - held - F.greatest(n - 1, F.lit(0))
+    return file_names(spark, folder, pattern).join(lines, "_uri", "left").select(
+        "path", "file", "length", "modified", "_uri", (missing >= 3).alias("marked"), F.coalesce("_valid", F.lit(True)).alias("utf8"),
+        (F.greatest(n - 1, F.lit(0)) + F.when(missing >= 3, missing - 3).otherwise(missing)).alias("line_feeds"))
+
+
+def digests(lines: DataFrame, facts: DataFrame) -> DataFrame:
+    """(path, sha256) of whole files. A digest runs over a file from its first byte to its last, so the lines of a file
+    go to one task, in order, which holds a batch of them at a time; files are spread."""
+    sized = lines.join(facts.select("_uri", "path", "marked", "line_feeds"), "_uri")
+    ordered = sized.repartition("path").sortWithinPartitions("path", "_block", "_line")
+    columns = ordered.select("path", "marked", "line_feeds", F.col("_bytes").cast("binary").alias("bytes"))
+    found = columns.mapInArrow(streamed_digests, "path string, sha256 string")
+    # A file without a line is not among them.
+    bare = F.when(F.col("marked"), F.sha2(F.unhex(F.lit("EFBBBF")), 256)).otherwise(F.sha2(F.lit(""), 256))
+    return facts.select("path", "marked").join(found, "path", "left").select("path", F.coalesce("sha256", bare).alias("sha256"))
+
+
+def streamed_digests(batches):
+    """Batches of lines in order of file and place -> (path, sha256)."""
+    import hashlib
+
+    import pyarrow as pa
+
+    path = digest = None
+    seen = feeds = 0
+
+    def ended():
+        if seen <= feeds:  # as many line feeds as lines: the last line ends in one
+            digest.update(b"\n")
+        return pa.RecordBatch.from_pydict({"path": [path], "sha256": [digest.hexdigest()]})
+
+    for batch in batches:
+        paths, marks = batch.column("path").to_pylist(), batch.column("marked").to_pylist()
+        counts, lines = batch.column("line_feeds").to_pylist(), batch.column("bytes").to_pylist()
+        start = 0
+        while start < len(paths):
+            stop = start
+            while stop < len(paths) and paths[stop] == paths[start]:
+                stop += 1
+            if paths[start] != path:
+                if path is not None:
+                    yield ended()
+                path, digest, seen, feeds = paths[start], hashlib.sha256(b"\xef\xbb\xbf" if marks[start] else b""), 0, counts[start]
+            elif seen:
+                digest.update(b"\n")
+            digest.update(b"\n".join(lines[start:stop]))
+            seen, start = seen + stop - start, stop
+    if path is not None:
+        yield ended()
+
+
 def file_encodings(spark: SparkSession, paths: str | list[str], pattern: str = "*.csv") -> DataFrame:
     """The encoding of each file, from one distributed pass: UTF-8 when the bytes are valid, else Latin-1."""
-    kind = F.when(F.is_valid_utf8(F.col("content").cast("string")), "UTF-8").otherwise("ISO-8859-1")
-    return file_contents(spark, paths, pattern).select("path", kind.alias("encoding"))
+    kind = F.when(F.col("utf8"), "UTF-8").otherwise("ISO-8859-1")
+    return file_facts(spark, paths, pattern).select("path", kind.alias("encoding"))
 
 
-def encodings(spark: SparkSession, folder: str, pattern: str = "*.csv") -> dict[str, str]:
+def encodings(spark: SparkSession, folder: str | list[str], pattern: str = "*.csv") -> dict[str, str]:
     """Path -> encoding. Only one short row per file (one file per season) comes back."""
     return {r["path"]: r["encoding"] for r in file_encodings(spark, folder, pattern).collect()}
 
@@ -84,14 +156,16 @@ def load_matches(spark: SparkSession, folder: str, params: Params = Params(),
     season of ``only``, or else of the configured ones, must have its file.
     """
     wanted, parts = only if only is not None else params.seasons, []
-    found = [(SEASON.search(path), path, encoding) for path, encoding in sorted(encodings(spark, folder).items())]
-    found = [(name[1], path, encoding) for name, path, encoding in found if name]
-    if absent := sorted(set(wanted or ()) - {season for season, _, _ in found}):
+    found = [(SEASON.search(r["path"]), r["path"]) for r in file_names(spark, folder).orderBy("path").collect()]
+    found = [(name[1], path) for name, path in found if name]
+    if absent := sorted(set(wanted or ()) - {season for season, _ in found}):
         raise FileNotFoundError(f"no file in {folder} for season {', '.join(absent)}")
-    for number, (season, path, encoding) in enumerate(found):
-        if wanted is not None and season not in wanted:
+    own = [path for season, path in found if wanted is None or season in wanted]
+    kinds = encodings(spark, own) if own else {}
+    for number, (season, path) in enumerate(found):
+        if path not in kinds:
             continue
-        df = read_match_file(spark, path, encoding)
+        df = read_match_file(spark, path, kinds[path])
         parts.append(df.select(
             *[F.col(f"`{c}`").alias(new) for c, new in headers.items() if c in df.columns],
             F.lit(season).alias("season_code"),
@@ -138,14 +212,14 @@ def file_headers(spark: SparkSession, paths: str | list[str], pattern: str = "*.
         "path", "file", F.regexp_replace("column", '^"|"$', "").alias("column")).filter(F.trim("column") != "")
 
 
-def manifest(spark: SparkSession, folder: str, fetched_at: Column,
-             previous: DataFrame | None = None) -> DataFrame:
+def manifest(spark: SparkSession, folder: str | list[str], fetched_at: Column,
+             previous: DataFrame | None = None, pattern: str = "*.csv") -> DataFrame:
     """Size, digest and line count (without the header) per file, and whether it changed."""
-    lines = F.length(F.regexp_replace(F.decode("content", "ISO-8859-1"), "[^\n]", ""))
-    now = file_contents(spark, folder).select(
+    facts = materialize(file_facts(spark, folder, pattern))
+    now = facts.join(digests(file_lines(spark, folder, pattern), facts), "path").select(
         season_of(F.col("path")).alias("season"), "path", "file", F.col("length").alias("bytes"),
-        F.sha2("content", 256).alias("sha256"), (lines - 1).cast("bigint").alias("rows"),
-        F.date_format(fetched_at, "yyyy-MM-dd'T'HH:mm:ssxxx").alias("fetched_at"))
+        "sha256", (F.col("line_feeds") - 1).cast("bigint").alias("rows"),
+        F.date_format(fetched_at, "yyyy-MM-dd'T'HH:mm:ssxxx").alias("fetched_at"), "modified")
     if previous is None:
         return now.withColumn("changed", F.lit(True))
     before = previous.select(F.col("path").alias("_path"), F.col("sha256").alias("_sha256"))

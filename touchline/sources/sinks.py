@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.operators.incremental import replace_by_key
+from touchline.session import exists
 
 RUN_LOG = ("run_id string, stage string, status string, finished_at string, duration_s double, "
            "rows bigint, message string")
@@ -14,17 +14,6 @@ MESSAGE_LIMIT = 500
 BYTE_ORDER_MARK = "﻿"
 
 
-def exists(spark: SparkSession, folder: str) -> bool:
-    """Whether a folder is there, in whatever store its path names. Nothing is read."""
-    try:
-        spark.read.format("binaryFile").load(folder)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return False
-    return True
-
-
 def land(df: DataFrame, folder: str, partition_by: list[str] | None = None) -> int:
     """Replace a table, with all its partitions; the row count is observed while it is written."""
     seen = Observation()

@@ -15,15 +15,15 @@ from pyspark.sql import functions as F
 ARRIVED = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def new_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
-    """Stream of arrived files: path, size and time; their bytes are not read."""
-    files = (spark.readStream.format("binaryFile").schema(ARRIVED)
+def new_files(spark: SparkSession, folder: str, pattern: str = "*.csv", nested: bool = False) -> DataFrame:
+    """Stream of files that arrived or were written again: path, size and time; their bytes are not read."""
+    files = (spark.readStream.format("binaryFile").schema(ARRIVED).option("recursiveFileLookup", str(nested).lower())
              .option("pathGlobFilter", pattern).load(folder))
     return files.select("path", "modificationTime", "length")
 
 
 def on_arrival(spark: SparkSession, folder: str, checkpoint: str,
-               handle: Callable[[DataFrame, int], None], pattern: str = "*.csv") -> int:
+               handle: Callable[[DataFrame, int], None], pattern: str = "*.csv", nested: bool = False) -> int:
     """Hand each batch of new files to ``handle`` and return the number of batches.
 
     ``handle`` may see a batch again after a failure, so it should replace what it writes
@@ -35,7 +35,7 @@ def on_arrival(spark: SparkSession, folder: str, checkpoint: str,
         handle(batch, number)
         handled.append(number)
 
-    query = (new_files(spark, folder, pattern).writeStream.foreachBatch(counted)
+    query = (new_files(spark, folder, pattern, nested).writeStream.foreachBatch(counted)
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     query.awaitTermination()
     return len(handled)
