@@ -297,3 +297,39 @@ def test_warehouse_tests_return_failing_rows(spark):
     assert wt.is_null(keys_, "k").count() == 1
     assert [r.k for r in wt.not_accepted(keys_, "k", [1]).collect()] == [7]
     assert wt.out_of_range(keys_, "k", 1, 5).count() == 1
+
+
+def test_gaps_of_each_member(spark):
+    rows = [("a", 2), ("a", 5), ("a", 5), ("b", 1), ("b", 6), ("c", 3), ("d", None), ("e", None), ("e", 6), ("f", 1), ("f", 2), ("f", 3), ("f", 4),
+            ("f", 5), ("f", 6)]
+    got = sorted(tuple(r) for r in wt.missing_periods_by(spark.createDataFrame(rows, "g string, p int"), "g", "p").collect())
+    want = sorted((g, p) for g in "abcdef" for p in range(1, 7) if (g, p) not in rows)
+    assert got == want
+    assert wt.missing_periods_by(spark.createDataFrame([], "g string, p int"), "g", "p").count() == 0
+    assert wt.missing_periods_by(spark.createDataFrame([("a", None)], "g string, p int"), "g", "p").count() == 0
+    plan = wt.missing_periods_by(spark.createDataFrame(rows, "g string, p int"), "g", "p")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join LeftAnti" not in plan
+
+
+def test_details_name_a_bounded_number_of_members(spark, monkeypatch):
+    rows = spark.createDataFrame([(f"s{i:02}", None) for i in range(30)] + [(None, None), ("ok", 1), ("ok", 2)], "s string, x int")
+    all_named = checks.group_counts(rows, "s", 2).first()
+    assert not all_named.passed and all_named.detail.startswith("off: {NULL: 1, 's00': 1, 's01': 1")
+    monkeypatch.setattr(checks, "SHOWN", 3)
+    few = checks.group_counts(rows, "s", 2).first()
+    assert few.detail == "off: {NULL: 1, 's00': 1, 's01': 1, and 28 more}"
+    assert checks.wrong_counts(rows, "s", 2).count() == 31
+    known, members = spark.createDataFrame([("a",)], "k string"), spark.createDataFrame([("b",), ("a",), ("c",), ("b",), (None,)], "m string")
+    assert checks.members_reconcile(known, members, "n", "ok", "only").first().detail == "only: ['b', 'c']"
+    everything = checks.quarantined({"n": checks.unknown_members(known, members), "g": checks.wrong_counts(rows, "s", 2)})
+    assert everything.count() == 33 and everything.filter("member IS NULL").first()["value"] == 1
+
+
+def test_counted_rejects_equal_flagged_ones(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, int(k) if k else None, int(v)) for i, (k, v) in enumerate(zip(rng.integers(0, 6, 300), rng.integers(0, 12, 300)))]
+    df = spark.createDataFrame(rows, "i int, k int, v int")
+    rules = [("low", F.col("v") < 2), ("high", F.col("v") > 9)]
+    flagged = rejects.reject_counts(rejects.flag_rejects(df, rules, ["k", "v"], ["i"], "again"))
+    assert rejects.count_rejects(df, rules, ["k", "v"], "again").collect() == flagged.collect()
+    assert rejects.count_rejects(df.limit(0), rules, ["k"], "again").count() == 0

@@ -8,12 +8,12 @@ from touchline.bindings import inputs as b
 from touchline.bindings.registry import query
 from touchline.functions.expressions import day_first_date, to_number, to_whole
 from touchline.operators import checks
-from touchline.operators.joins import canonical, strict_look_up
+from touchline.operators.joins import UnmappedName, canonical, is_mapped, require_mapped, strict_look_up, unmapped
 from touchline.operators.keys import number_rows
-from touchline.operators.rejects import REASON, keep_first, kept, later_copies, reject_counts, rejected
+from touchline.operators.rejects import REASON, keep_first, kept, later_copies, rejected
 from touchline.operators.reshape import stack_columns
 from touchline.params import Params
-from touchline.plans.clean_matches import flag_matches, with_totals
+from touchline.plans.clean_matches import flag_matches, match_reject_counts, with_totals
 
 ctes = b.with_ctes
 CLUBS = {"RF": "Rovers", "RO": "Royals", "AF": "Athletic", "AO": "Albion", "NF": "North End", "NO": "Northern",
@@ -79,7 +79,38 @@ def reject_rows(spark, sf):
 @query("reject_counts", ctes(FLAGGED_SQL) + """
 SELECT reject_reason, count(*) AS rows FROM flagged WHERE reject_reason IS NOT NULL GROUP BY 1""")
 def counts_by_reason(spark, sf):
-    return reject_counts(flag_matches(raw_matches(spark, sf), ORDER, CLUBS))
+    return match_reject_counts(raw_matches(spark, sf), CLUBS)
+
+
+@query("flagged_counts", ctes(FLAGGED_SQL) + """
+SELECT coalesce(reject_reason, 'none') AS reason, count(*) AS rows, min(l_orderkey) AS first_order FROM flagged GROUP BY 1""")
+def flagged_counts(spark, sf):
+    """Every row under the reason that the flagging gives it, kept ones included."""
+    flagged = flag_matches(raw_matches(spark, sf), ORDER, CLUBS)
+    return flagged.groupBy(F.coalesce(REASON, F.lit("none")).alias("reason")).agg(
+        F.count(F.lit(1)).alias("rows"), F.min("l_orderkey").alias("first_order"))
+
+
+@query("unmapped_names", """
+SELECT coalesce(trim(l_returnflag || l_linestatus), 'NULL') AS name, count(*) AS rows FROM lineitem
+WHERE l_returnflag || l_linestatus NOT IN ('AF', 'RF', 'NO') GROUP BY 1""")
+def unmapped_names(spark, sf):
+    """The failure path of the name mapping: a strict lookup over names of which some have no canonical spelling
+    fails and names the first; what it would fail on is listed with its rows."""
+    names = b.table(spark, sf, "lineitem").select(F.concat(F.lit(" "), "l_returnflag", "l_linestatus").alias("name"))
+    known = {n: n for n in ("AF", "RF", "NO")}
+    missed = unmapped(names, "name", known)
+    first = missed.agg(F.min("name")).first()[0]
+    try:
+        require_mapped(names, "name", known, "club")
+    except UnmappedName as failure:
+        if first is None or repr(first)[1:-1] not in str(failure):
+            raise AssertionError(f"{failure} does not name {first}") from failure
+    else:
+        if first is not None:
+            raise AssertionError(f"{first} has no canonical spelling and passed")
+    return names.filter(~is_mapped("name", known)).groupBy(F.coalesce(F.trim("name"), F.lit("NULL")).alias("name")).agg(
+        F.count(F.lit(1)).alias("rows"))
 
 
 CLUB_SQL = "CASE {} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in CLUBS.items()) + " END"
@@ -213,6 +244,12 @@ UNION ALL SELECT 'game clubs all appear in match data', count(*) = 0, CASE WHEN
 def contract_suite(spark, sf):
     """The whole suite with limits these tables break, so that every detail text is exercised."""
     from touchline.plans.contracts import contract_results
+    return contract_results(*suite_tables(spark, sf), b.lines_as_staged_history(spark, sf),
+                            F.lit("2001-06-30").cast("date"), LIMITS)
+
+
+def suite_tables(spark, sf):
+    """Orders as matches, parts as players and their sizes as positions."""
     day = F.to_date("o_orderdate")
     matches = b.table(spark, sf, "orders").select(
         b.season_code(day).alias("season_code"), (F.year(day) == b.LIVE_YEAR).alias("is_current_season"),
@@ -225,8 +262,21 @@ def contract_suite(spark, sf):
         F.col("p_brand").alias("team_name"))
     sizes = b.table(spark, sf, "part").select(
         F.col("p_size").alias("position_id"), (F.col("p_size") * 2).alias("squad_select")).distinct()
-    return contract_results(matches, players, sizes, b.lines_as_staged_history(spark, sf),
-                            F.lit("2001-06-30").cast("date"), LIMITS)
+    return matches, players, sizes
+
+
+@query("contract_quarantine", """
+WITH m AS (
+  SELECT strftime(o_orderdate, '%y') || strftime(o_orderdate + INTERVAL 12 MONTH, '%y') AS season_code,
+    year(o_orderdate) = 2001 AS live, 'C' || o_custkey % 40 AS home, o_orderpriority AS away FROM orders)
+SELECT 'completed seasons have 200 matches' AS "check", season_code AS member, count(*) AS value FROM m WHERE NOT live GROUP BY 2 HAVING count(*) <> 200
+UNION ALL SELECT 'enough players per position for a legal squad', p_size::VARCHAR, count(*) FROM part GROUP BY p_size HAVING count(*) < p_size * 2
+UNION ALL SELECT 'game clubs all appear in match data', p_brand, count(*) FROM part
+  WHERE p_brand NOT IN (SELECT unnest([home, away]) FROM m WHERE live) GROUP BY 2""")
+def contract_quarantine(spark, sf):
+    """Every member behind the failing contracts of the suite, as a table."""
+    from touchline.plans.contracts import failing_members
+    return failing_members(*suite_tables(spark, sf), LIMITS)
 
 
 @query("required_nulls", """

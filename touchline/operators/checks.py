@@ -10,7 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions.expressions import score_result
-from touchline.operators.reshape import set_difference, stack_columns
+from touchline.operators.reshape import stack_columns
+
+SHOWN = 100  # failing members that a detail names; the quarantine has them all
+
 
 class ContractFailure(Exception):
     """At least one contract does not hold."""
@@ -91,16 +94,44 @@ def unique_key(df: DataFrame, key: list[str], name: str = "natural key is unique
                         F.concat(F.col("n").cast("string"), F.lit(" duplicates")).alias("detail"))
 
 
+def named(failing: DataFrame, order: list[str], text: Callable[[Column], Column], name: str, ok: str,
+          before: str, after: str) -> DataFrame:
+    """The result of a check whose failing members are rows: the first SHOWN of them by ``order`` are in the
+    detail, further ones are counted there."""
+    counted = failing.agg(F.count(F.lit(1)).alias("n"))
+    first = failing.select(F.struct(*order).alias("m")).orderBy("m").limit(SHOWN).agg(F.array_sort(F.collect_list("m")).alias("first"))
+    more = F.when(F.col("n") > SHOWN, F.concat(F.lit(", and "), (F.col("n") - SHOWN).cast("string"), F.lit(" more"))).otherwise("")
+    listed = F.concat(F.lit(before), F.array_join(F.transform("first", text), ", "), more, F.lit(after))
+    return counted.join(F.broadcast(first)).select(
+        F.lit(name).alias("name"), (F.col("n") == 0).alias("passed"), F.when(F.col("n") == 0, ok).otherwise(listed).alias("detail"))
+
+
+def shown(value: Column) -> Column:
+    return F.coalesce(F.concat(F.lit("'"), value.cast("string"), F.lit("'")), F.lit("NULL"))
+
+
+def quarantined(failures: dict[str, DataFrame]) -> DataFrame:
+    """(check, member, value) for every failing member of the named checks; ``failures`` have a member and a value."""
+    return reduce(DataFrame.unionByName, [
+        df.select(F.lit(check).alias("check"), F.col("member").cast("string"), F.col("value").cast("bigint"))
+        for check, df in failures.items()])
+
+
+def wrong_counts(df: DataFrame, group: str, expected: int) -> DataFrame:
+    """Groups without exactly ``expected`` rows and how many they have; NULL is a group like any other."""
+    return (df.groupBy(F.col(group).alias("member")).agg(F.count(F.lit(1)).alias("value"))
+            .filter(F.col("value") != expected))
+
+
+def count_name(expected: int) -> str:
+    return f"completed seasons have {expected} matches"
+
+
 def group_counts(df: DataFrame, group: str, expected: int) -> DataFrame:
     """Every group present has exactly ``expected`` rows. An absent group is not noticed."""
-    wrong = df.groupBy(group).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") != expected)
-    off = F.array_join(F.array_sort(F.collect_list(
-        F.concat(F.lit("'"), F.col(group), F.lit("': "), F.col("n").cast("string")))), ", ")
-    return wrong.agg(off.alias("off")).select(
-        F.lit(f"completed seasons have {expected} matches").alias("name"),
-        (F.col("off") == "").alias("passed"),
-        F.when(F.col("off") == "", "all complete")
-        .otherwise(F.concat(F.lit("off: {"), F.col("off"), F.lit("}"))).alias("detail"))
+    return named(wrong_counts(df, group, expected), ["member", "value"],
+                 lambda m: F.concat(shown(m["member"]), F.lit(": "), m["value"].cast("string")),
+                 count_name(expected), "all complete", "off: {", "}")
 
 
 def member_counts(df: DataFrame, group: str, roles: list[str], expected: int) -> DataFrame:
@@ -127,32 +158,35 @@ def count_spread(df: DataFrame, roles: list[str], allowed: int) -> DataFrame:
                    F.lit("no matches yet")).alias("detail"))
 
 
-def category_minimum(df: DataFrame, required: DataFrame, category: str, minimum: str) -> DataFrame:
-    """Every category has at least its required number of rows; an absent one has none."""
+SQUAD = "enough players per position for a legal squad"
+
+
+def short_categories(df: DataFrame, required: DataFrame, category: str, minimum: str) -> DataFrame:
+    """Categories with fewer rows than required, how many they have and need; an absent one has none."""
     have = df.groupBy(F.col(category).alias("_have")).agg(F.count(F.lit(1)).alias("n"))
-    short = (required.join(have, F.col(category) == F.col("_have"), "left")
-             .filter(F.coalesce(F.col("n"), F.lit(0)) < F.col(minimum)))
-    text = F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct(category, minimum))),
-        lambda s: F.concat(s[category].cast("string"), F.lit(": "), s[minimum].cast("string"))), ", ")
-    return short.agg(text.alias("short")).select(
-        F.lit("enough players per position for a legal squad").alias("name"),
-        (F.col("short") == "").alias("passed"),
-        F.when(F.col("short") == "", "ok")
-        .otherwise(F.concat(F.lit("short: {"), F.col("short"), F.lit("}"))).alias("detail"))
+    value = F.coalesce(F.col("n"), F.lit(0))
+    return (required.join(have, F.col(category) == F.col("_have"), "left").filter(value < F.col(minimum))
+            .select(F.col(category).alias("member"), value.alias("value"), F.col(minimum).alias("needed")))
+
+
+def category_minimum(df: DataFrame, required: DataFrame, category: str, minimum: str) -> DataFrame:
+    """Every category has at least its required number of rows."""
+    return named(short_categories(df, required, category, minimum), ["member", "needed"],
+                 lambda m: F.concat(F.coalesce(m["member"].cast("string"), F.lit("NULL")), F.lit(": "), m["needed"].cast("string")),
+                 SQUAD, "ok", "short: {", "}")
+
+
+def unknown_members(known: DataFrame, members: DataFrame) -> DataFrame:
+    """Members that are not NULL and not among the known ones, and how many rows name each."""
+    column = members.columns[0]
+    named_by = members.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("member")).agg(F.count(F.lit(1)).alias("value"))
+    side = known.toDF("_known").distinct()
+    return named_by.join(side, F.col("member") == F.col("_known"), "left_anti")
 
 
 def members_reconcile(known: DataFrame, members: DataFrame, name: str, ok: str, label: str) -> DataFrame:
     """Every non-NULL member appears among the known ones; the reverse is not asked."""
-    column = members.columns[0]
-    only = set_difference(members.filter(F.col(column).isNotNull()), known.toDF(column))
-    names = F.transform(F.array_sort(F.collect_list(column)),
-                        lambda n: F.concat(F.lit("'"), n, F.lit("'")))
-    text = F.array_join(names, ", ")
-    return only.agg(text.alias("only")).select(
-        F.lit(name).alias("name"), (F.col("only") == "").alias("passed"),
-        F.when(F.col("only") == "", ok)
-        .otherwise(F.concat(F.lit(f"{label}: ["), F.col("only"), F.lit("]"))).alias("detail"))
+    return named(unknown_members(known, members), ["member"], lambda m: shown(m["member"]), name, ok, f"{label}: [", "]")
 
 
 def union_results(results: list[DataFrame]) -> DataFrame:

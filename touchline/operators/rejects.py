@@ -83,3 +83,19 @@ def rejected(flagged: DataFrame) -> DataFrame:
 def reject_counts(flagged: DataFrame) -> DataFrame:
     return (rejected(flagged).groupBy(REASON).agg(F.count(F.lit(1)).alias("rows"))
             .orderBy(F.desc("rows"), REASON))
+
+
+def count_rejects(df: DataFrame, rules: list[tuple[str, Column]], key: list[str], duplicate_reason: str) -> DataFrame:
+    """Rows per reject reason, as from flagging and counting, without saying which copy of a key goes: all but one do.
+
+    One narrow aggregate; rejected rows share a group per reason, and a key is reduced before the shuffle.
+    """
+    reason = first_failure(rules)
+    judged = df.select(reason.alias(REASON), *[F.col(c) for c in key])
+    alive = F.col(REASON).isNull()
+    # A key column may be NULL in rows that pass, so the group says which kind it is by its reason.
+    sizes = judged.groupBy(REASON, *[F.when(alive, F.col(c)).alias(c) for c in key]).agg(F.count(F.lit(1)).alias("_n"))
+    rows = F.when(alive, F.col("_n") - 1).otherwise(F.col("_n"))
+    counts = sizes.select(F.coalesce(REASON, F.lit(duplicate_reason)).alias(REASON), rows.alias("rows")).groupBy(REASON).agg(
+        F.sum("rows").alias("rows"))
+    return counts.filter("rows > 0").orderBy(F.desc("rows"), REASON)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.operators.joins import with_one_row
@@ -68,12 +68,23 @@ def missing_periods(df: DataFrame, period: str) -> DataFrame:
 
 
 def missing_periods_by(df: DataFrame, group: str, period: str) -> DataFrame:
-    """As above for every member of a group, against the span of the whole table."""
-    bounds = df.agg(F.min(period).alias("lo"), F.max(period).alias("hi"))
-    seen = df.select(group, period).distinct()
-    expected = with_one_row(seen.select(group).distinct(), bounds).select(
-        group, F.explode(F.sequence("lo", "hi")).alias(period))
-    return expected.join(seen, [group, period], "left_anti")
+    """As above for every member of a group, against the span of the whole table.
+
+    Each period a member has looks at the one before and after it; only the gaps between them are spelt out, so
+    what is there is never multiplied by what could be.
+    """
+    bounds = df.agg(F.min(period).alias("_lo"), F.max(period).alias("_hi"))
+    in_order = Window.partitionBy(group).orderBy(F.col(period).asc_nulls_first())
+    seen = df.select(group, period).distinct().withColumns({
+        "_before": F.lag(period).over(in_order), "_after": F.lead(period).over(in_order)})
+    here, none = F.col(period), F.col(period).isNull()
+    first = F.when(none, F.col("_lo")).otherwise(F.coalesce(F.col("_before") + 1, F.col("_lo")))
+    until = F.when(none & F.col("_after").isNull(), F.col("_hi")).when(~none, here - 1)
+    last = F.when(~none & F.col("_after").isNull(), here + 1)
+    gaps = F.array(F.struct(first.alias("start"), until.alias("end")), F.struct(last.alias("start"), F.col("_hi").alias("end")))
+    spans = with_one_row(seen, bounds).select(group, F.explode(gaps).alias("_gap")).filter("_gap.start <= _gap.end")
+    kind = dict(df.dtypes)[period]
+    return spans.select(group, F.explode(F.sequence("_gap.start", "_gap.end").cast(f"array<{kind}>")).alias(period))
 
 
 @dataclass(frozen=True)

@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from touchline.functions.expressions import code, day_first_date, points_for, to_whole
 from touchline.operators.joins import fail_unless_mapped, respelled
 from touchline.operators.keys import number_rows
-from touchline.operators.rejects import flag_rejects, kept, rejected
+from touchline.operators.rejects import count_rejects, flag_rejects, kept, rejected
 from touchline.params import MATCH_NAMES, Params
 from touchline.plans.staging import MATCH_COUNTS
 
 NATURAL_KEY = ["season_code", "match_date", "home_team", "away_team"]
 UNMAPPED = "unmapped club"
+DUPLICATE = "duplicate on natural key"
 
 
 @dataclass(frozen=True)
@@ -71,7 +72,12 @@ def flag_matches(raw: DataFrame, order: list[str], names: dict[str, str] | None
     """Every row with its reject reason or NULL. ``order`` says which copy of a match is first
     (file order) and must be unique."""
     return flag_rejects(parsed(raw, names), rules(params, names), NATURAL_KEY, order,
-                        "duplicate on natural key")
+                        DUPLICATE)
+
+
+def match_reject_counts(raw: DataFrame, names: dict[str, str] | None = MATCH_NAMES, params: Params = Params()) -> DataFrame:
+    """Rows per reject reason, for a look at a delivery before it is cleaned."""
+    return count_rejects(parsed(raw, names), rules(params, names), NATURAL_KEY, DUPLICATE)
 
 
 def with_totals(df: DataFrame) -> DataFrame:

@@ -13,6 +13,20 @@ from touchline.plans.clean_matches import NATURAL_KEY
 REQUIRED = ["match_date", "home_team", "away_team", "ft_home_goals", "ft_away_goals", "ft_result"]
 
 
+RECONCILED = "game clubs all appear in match data"
+
+
+def failing_members(matches: DataFrame, players: DataFrame, positions: DataFrame, params: Params = Params()) -> DataFrame:
+    """(check, member, value): every member behind the contracts whose details name some of them."""
+    completed, live = matches.filter(~F.col("is_current_season")), matches.filter(F.col("is_current_season"))
+    return checks.quarantined({
+        checks.count_name(params.matches_per_completed_season):
+            checks.wrong_counts(completed, "season_code", params.matches_per_completed_season),
+        checks.SQUAD: checks.short_categories(players, positions, "position_id", "squad_select"),
+        RECONCILED: checks.unknown_members(stack_columns(live, [], ["home_team", "away_team"], "team_name"), players.select("team_name")),
+    })
+
+
 def contract_results(matches: DataFrame, players: DataFrame, positions: DataFrame, history: DataFrame,
                      as_of: Column, params: Params = Params()) -> DataFrame:
     """One row per contract. Checks that read single rows share one pass per table."""
@@ -38,5 +52,5 @@ def contract_results(matches: DataFrame, players: DataFrame, positions: DataFram
         checks.run_row_checks(history, [checks.in_range(minutes, "minutes", 0, params.max_minutes, "outside")]),
         checks.unique_key(history, ["fpl_element_id", "fpl_fixture_id"], "one row per player per fixture"),
         checks.members_reconcile(live_clubs, players.select("team_name"),
-                                 "game clubs all appear in match data", "aligned", "game-only"),
+                                 RECONCILED, "aligned", "game-only"),
     ])

@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.operators.checks import stop_on_failure
+from touchline.operators.checks import ContractFailure, stop_on_failure
 from touchline.operators.incremental import high_water_mark, load_summary, replace_by_key
 from touchline.operators.joins import small_side
 from touchline.operators.rejects import REASON
@@ -21,7 +21,7 @@ from touchline.params import Params
 from touchline.plans import clean_players as cp
 from touchline.plans import dims, facts, reports
 from touchline.plans.clean_matches import clean_matches
-from touchline.plans.contracts import contract_results
+from touchline.plans.contracts import contract_results, failing_members
 from touchline.plans.staging import stage_all
 from touchline.sources import game_documents as docs
 from touchline.session import exists, materialize, remove_folder
@@ -363,7 +363,11 @@ def refresh(spark: SparkSession, match_folder: str, game_folder: str, work: str,
                 matches = spark.read.parquet(f"{interim}/matches_clean")
     tables = [spark.read.parquet(f"{interim}/{n}") for n in ("players", "positions", "history")]
     with stage(spark, runs, run_id, "contracts"):
-        stop_on_failure(contract_results(matches, *tables, as_of=refreshed_at, params=params))
+        try:
+            stop_on_failure(contract_results(matches, *tables, as_of=refreshed_at, params=params))
+        except ContractFailure:
+            versions.replace(failing_members(matches, *tables[:2], params), f"{work}/store", "quarantine")
+            raise
     with stage(spark, runs, run_id, "load"):
         raw = load(spark, interim, warehouse, refreshed_at, runs, rows, written)
     with stage(spark, runs, run_id, "model") as told:
