@@ -5,8 +5,9 @@ word are not looked at and never removed. Its set holds its shingles of eight ch
 shingle). Each of 56 buckets keeps the least hash of the shingles that fall into it; 14 bands of four buckets miss
 about 1 in 800 pairs of short lines at the limit of 0.8 and 1 in 3,000 of longer ones; pairs are then compared in full.
 
-Null and empty texts have no lines. Rows without a doc_id take no part. Rows that repeat a doc_id count as one
-document. Other columns are ignored. Lines whose 64-bit ids collide stay as they are.
+Null and empty texts have no lines. Rows without a doc_id take no part. Rows that repeat a doc_id with other texts are
+documents of their own, in the order of the texts' SHA-256; equal rows count as one document. Other columns are ignored.
+Lines whose 64-bit ids collide stay as they are.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from touchline.llm.arrays import (BASES, LOWER, NOT_SPACE, SPACES, U64, chunks, code_points, mix, row_of, spans, text_bytes,
                                   within)
 from touchline.llm.linking import crowded, linked_groups
-from touchline.llm.tables import BROADCAST_ROWS, small, written
+from touchline.llm.tables import BROADCAST_ROWS, free_name, small, with_place, written
 from touchline.session import known_rows
 
 SHINGLE = 8
@@ -203,34 +204,46 @@ def line_groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return lines.drop("keys"), decided
 
 
-def similar_lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_lines, n_removed, removed) of each document: how many lines with a word it has, how many of them
-    repeat an earlier line or resemble one, and their numbers from 0, ascending, comma-joined."""
-    lines, decided = line_groups(docs)
+def removed_lines(docs: DataFrame) -> tuple[DataFrame, str, DataFrame]:
+    """``docs`` with their places, the name of that column, and by place (place, n_lines, n_removed, removed)."""
+    docs, place = with_place(docs)
+    lines, decided = line_groups(docs.select(F.col(place).alias("doc_id"), "text"))
     later = (F.col("doc_id") != F.col("first_doc")) | (F.col("line") != F.col("first_line"))
     told = lines.join(decided, ["id", "mark"], "left").select("doc_id", "line", F.coalesce(later, F.lit(False)).alias("removed"))
     gone = F.sort_array(F.collect_set(F.when(F.col("removed"), F.col("line"))))
     counts = told.groupBy("doc_id").agg(F.size(F.collect_set("line")).alias("n_lines"), gone.alias("gone")).select(
-        "doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.size("gone").cast("long").alias("n_removed"),
+        F.col("doc_id").alias(place), F.col("n_lines").cast("long").alias("n_lines"), F.size("gone").cast("long").alias("n_removed"),
         F.array_join(F.col("gone").cast("array<string>"), ",").alias("removed"))
-    return docs.select("doc_id").distinct().join(counts, "doc_id", "left").select(
+    return docs, place, counts
+
+
+def similar_lines(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_lines, n_removed, removed) of each document: how many lines with a word it has, how many of them
+    repeat an earlier line or resemble one, and their numbers from 0, ascending, comma-joined."""
+    rows, place, counts = removed_lines(docs.select("doc_id", "text"))
+    return rows.select("doc_id", place).distinct().join(counts, place, "left").select(
         "doc_id", F.coalesce("n_lines", F.lit(0)).alias("n_lines"), F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
         F.coalesce("removed", F.lit("")).alias("removed"))
 
 
-def cut_lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in chunks(batches):
-        texts = []
-        for text, removed in zip(batch.column("text").to_pylist(), batch.column("_lines_removed").to_pylist(), strict=True):
-            if text and removed:
-                gone = set(map(int, removed.split(",")))
-                text = "\n".join(line for i, line in enumerate(text.split("\n")) if i not in gone)
-            texts.append(text)
-        kept = batch.drop_columns(["_lines_removed"])
-        yield kept.set_column(kept.schema.get_field_index("text"), "text", pa.array(texts, pa.string()))
+def cut_lines(removed: str):
+    """The rows without the lines whose numbers the column ``removed`` lists."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches):
+            texts = []
+            for text, numbers in zip(batch.column("text").to_pylist(), batch.column(removed).to_pylist(), strict=True):
+                if text and numbers:
+                    gone = set(map(int, numbers.split(",")))
+                    text = "\n".join(line for i, line in enumerate(text.split("\n")) if i not in gone)
+                texts.append(text)
+            kept = batch.drop_columns([removed])
+            yield kept.set_column(kept.schema.get_field_index("text"), "text", pa.array(texts, pa.string()))
+    return run
 
 
 def without_similar_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with the removed lines cut from their texts; other columns stay as they are."""
-    decided = similar_lines(docs).select("doc_id", F.col("removed").alias("_lines_removed"))
-    return docs.join(decided, "doc_id", "left").select(*docs.columns, "_lines_removed").mapInArrow(cut_lines, docs.schema)
+    rows, place, counts = removed_lines(docs)
+    name = free_name(rows, "_lines_removed")
+    decided = counts.select(place, F.col("removed").alias(name))
+    return rows.join(decided, place, "left").select(*docs.columns, name).mapInArrow(cut_lines(name), docs.schema)

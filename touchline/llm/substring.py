@@ -9,7 +9,8 @@ start earlier elsewhere join into maximal repeats, and their words go. What is g
 (anchor, least document), counted before it is shuffled, so a passage in every document makes no pairs.
 
 Null and empty texts have no words. Rows without a doc_id take no part and keep their words. Rows that repeat a
-doc_id count as one document. Other columns are ignored.
+doc_id with other texts are documents of their own, in the order of the texts' SHA-256; equal rows count as one document.
+Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from touchline.llm.arrays import (BASES, NOT_SPACE, between, chunks, row_of, running, span_hashes, spans, text_bytes,
                                   window_hashes, within)
-from touchline.llm.tables import written
+from touchline.llm.tables import free_name, with_place, written
 
 WINDOW, GRAM = 20, 6
 REACH = WINDOW - GRAM + 1  # grams in a window
@@ -159,23 +160,28 @@ def judge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array(digests, pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
 
-def rewrite(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in chunks(batches):
-        words = Words(batch.column("text"))
-        removed = repeated(words, batch.column("_marks"))
-        data, places = kept_words(words, removed)
-        total = np.zeros(len(removed) + 1, np.int64)
-        np.cumsum(removed, out=total[1:])
-        touched = total[words.first[1:]] > total[words.first[:-1]]
-        texts = [data[places[i]:max(places[i + 1] - 1, places[i])].tobytes().decode() if touched[i] else text
-                 for i, text in enumerate(batch.column("text").to_pylist())]
-        kept = batch.drop_columns(["_marks"])
-        yield kept.set_column(kept.schema.get_field_index("text"), "text", pa.array(texts, pa.string()))
-
-
-def marked(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_marks``: (at, low, high, later) of the shared anchors of each, and of windows that go."""
-    named = docs.select("doc_id", "text").filter("doc_id IS NOT NULL")
+def rewrite(marks: str):
+    """The rows without repeated words; the column ``marks`` tells which those are."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches):
+            words = Words(batch.column("text"))
+            removed = repeated(words, batch.column(marks))
+            data, places = kept_words(words, removed)
+            total = np.zeros(len(removed) + 1, np.int64)
+            np.cumsum(removed, out=total[1:])
+            touched = total[words.first[1:]] > total[words.first[:-1]]
+            texts = [data[places[i]:max(places[i + 1] - 1, places[i])].tobytes().decode() if touched[i] else text
+                     for i, text in enumerate(batch.column("text").to_pylist())]
+            kept = batch.drop_columns([marks])
+            yield kept.set_column(kept.schema.get_field_index("text"), "text", pa.array(texts, pa.string()))
+    return run
+
+
+def marked(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with the marks of each: (at, low, high, later) of its shared anchors, and of windows that go; and
+    the name of that column. A mark belongs to a place, so it meets no other row of its doc_id."""
+    docs, place = with_place(docs)
+    named = docs.select(F.col(place).alias("doc_id"), "text").filter("doc_id IS NOT NULL")
     seeds = named.mapInArrow(seed_rows, "seed long, stretch long, doc_id long, at int, low int, high int")
     shared = written(seeds.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("seed"))
     met = written(seeds.join(shared, "seed"))
@@ -190,15 +196,18 @@ def marked(docs: DataFrame) -> DataFrame:
     gone = windows.join(earliest.drop("last"), ["one", "two"]).filter("doc_id > first")
     marks = placed.select("doc_id", "at", "low", "high", (F.col("doc_id") > F.col("first")).alias("later")).union(
         gone.select("doc_id", F.lit(None).cast("int"), F.col("at"), F.col("at"), F.lit(True)))
-    listed = marks.groupBy("doc_id").agg(F.collect_list(F.struct("at", "low", "high", "later")).alias("_marks"))
-    return docs.join(listed, "doc_id", "left")
+    name = free_name(docs, "_marks")
+    listed = marks.groupBy(F.col("doc_id").alias(place)).agg(F.collect_list(F.struct("at", "low", "high", "later")).alias(name))
+    return docs.join(listed, place, "left"), name
 
 
 def repeated_words(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_words, n_removed, kept_sha256) of every document."""
-    return marked(docs.select("doc_id", "text")).mapInArrow(judge, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    """(doc_id, n_words, n_removed, kept_sha256) of every row."""
+    found = marked(docs.select("doc_id", "text"))[0].select("doc_id", "text", "_marks")
+    return found.mapInArrow(judge, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with repeated words cut; a text that loses words is its kept words, joined by one space."""
-    return marked(docs).select(*docs.columns, "_marks").mapInArrow(rewrite, docs.schema)
+    found, marks = marked(docs)
+    return found.select(*docs.columns, marks).mapInArrow(rewrite(marks), docs.schema)

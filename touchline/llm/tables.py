@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from touchline.operators.keys import number_rows
 from touchline.session import known_rows, materialize
 
 #: A broadcast side has at most this many rows of this many bytes, as counted when it was written.
@@ -47,3 +48,27 @@ def joined_to_rows(rows: DataFrame, values: DataFrame, key: str, count: str) ->
     warm = rows.join(F.broadcast(hot), key)
     cold = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(values.where(F.col(count) * HOT_SHARE < total).drop(count), key)
     return warm.unionByName(cold)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column has it."""
+    while name.lower() in map(str.lower, df.columns):
+        name += "_"
+    return name
+
+
+def with_place(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a long for each document that sorts as doc_ids do, and the name of that column.
+
+    Where no doc_id repeats, it is the doc_id. Else rows of one doc_id with different texts are documents of their own,
+    in the order of the texts' SHA-256; equal rows are one document. Rows without a doc_id have none.
+    """
+    name = free_name(docs, "_place")
+    again = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    if not again.limit(1).count():
+        return docs.withColumn(name, F.col("doc_id").cast("long")), name
+    mark = free_name(docs, "_text_sha256")
+    rows = docs.withColumn(mark, F.sha2(F.coalesce("text", F.lit("")), 256))
+    kinds = rows.filter("doc_id IS NOT NULL").select("doc_id", mark).distinct()
+    numbers = number_rows(kinds, ["doc_id", mark], name)
+    return written(rows.join(numbers, ["doc_id", mark], "left").select(*docs.columns, name)), name
