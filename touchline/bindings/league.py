@@ -20,32 +20,32 @@ def seasons(spark, sf):
     return b.years_as_seasons(spark, sf)
 
 
-@query("league_table", ctes(b.MATCHES_SQL, b.TEAM_MATCH_SQL, b.SEASONS_SQL) + """
-SELECT CAST(rank() OVER (ORDER BY sum(points) DESC, sum(goals_for) - sum(goals_against) DESC,
-    sum(goals_for) DESC) AS BIGINT) AS position,
-  n_name AS team_name, count(*) AS played,
-  CAST(sum(CASE WHEN points = 3 THEN 1 ELSE 0 END) AS BIGINT) AS won,
-  CAST(sum(CASE WHEN points = 1 THEN 1 ELSE 0 END) AS BIGINT) AS drawn,
-  CAST(sum(CASE WHEN points = 0 THEN 1 ELSE 0 END) AS BIGINT) AS lost,
-  CAST(sum(goals_for) AS BIGINT) AS gf, CAST(sum(goals_against) AS BIGINT) AS ga,
-  CAST(sum(goals_for) - sum(goals_against) AS BIGINT) AS gd, CAST(sum(points) AS BIGINT) AS points
-FROM team_match JOIN nation ON n_nationkey = team_id JOIN seasons USING (season_id)
-WHERE status = 'in_progress' GROUP BY n_name""")
+@query("league_table", ctes(b.MATCHES_SQL, """
+live AS (SELECT home_team_id AS h, away_team_id AS a, ft_home_goals AS x, ft_away_goals AS y FROM matches WHERE season_id = 2001),
+halves AS (
+  SELECT h AS team, count(*) AS n, count(*) FILTER (x > y) AS w, count(*) FILTER (x = y) AS d, sum(x) AS f, sum(y) AS g FROM live GROUP BY h
+  UNION ALL
+  SELECT a, count(*), count(*) FILTER (y > x), count(*) FILTER (x = y), sum(y), sum(x) FROM live GROUP BY a),
+totals AS (
+  SELECT team, sum(n)::BIGINT AS n, sum(w)::BIGINT AS w, sum(d)::BIGINT AS d, sum(f)::BIGINT AS f, sum(g)::BIGINT AS g,
+    (sum(3 * w + d), sum(f - g), sum(f)) AS strength FROM halves GROUP BY team)""") + """
+SELECT (SELECT count(*) + 1 FROM totals other WHERE other.strength > t.strength) AS position,
+  (SELECT n_name FROM nation WHERE n_nationkey = team) AS team_name, n AS played, w AS won, d AS drawn, n - w - d AS lost,
+  f AS gf, g AS ga, f - g AS gd, 3 * w + d AS points FROM totals t""")
 def league_table(spark, sf):
     rows = reports.team_match(b.keyed_matches(spark, sf))
     return analyses.league_table(rows, b.nations_as_teams(spark, sf), seasons(spark, sf))
 
 
-@query("season_vs_baseline", ctes(b.MATCHES_SQL, b.SEASONS_SQL, """
-by_season AS (
-  SELECT season_label, status, count(*) AS matches,
-    sum(CASE WHEN ft_result = 'H' THEN 1 ELSE 0 END)::DOUBLE / count(*) AS rate, avg(total_goals) AS gpg
-  FROM matches JOIN seasons USING (season_id) GROUP BY ALL),
-base AS (SELECT avg(rate) AS rate0, avg(gpg) AS gpg0 FROM by_season WHERE status = 'completed')""") + """
-SELECT season_label, status, matches, round(100 * rate, 1) AS home_win_pct,
-  round(100 * (rate - rate0), 1) AS vs_baseline_pts, round(gpg, 2) AS goals_per_game,
-  round(gpg - gpg0, 2) AS goals_vs_baseline
-FROM by_season CROSS JOIN base""")
+@query("season_vs_baseline", ctes(b.MATCHES_SQL, """
+years AS (
+  SELECT season_id AS y, count(*) AS matches, avg((ft_home_goals > ft_away_goals)::INTEGER) AS wins,
+    avg(ft_home_goals + ft_away_goals) AS goals FROM matches GROUP BY 1)""") + """
+SELECT y::VARCHAR AS season_label, if(y = 2001, 'in_progress', 'completed') AS status, matches,
+  round(wins * 100, 1) AS home_win_pct, round(goals, 2) AS goals_per_game,
+  round((wins - avg(wins) FILTER (y <> 2001) OVER ()) * 100, 1) AS vs_baseline_pts,
+  round(goals - avg(goals) FILTER (y <> 2001) OVER (), 2) AS goals_vs_baseline
+FROM years""")
 def season_vs_baseline(spark, sf):
     return analyses.season_vs_baseline(b.keyed_matches(spark, sf), seasons(spark, sf))
 
@@ -59,14 +59,14 @@ def baseline_means(spark, sf):
 
 
 OUTLOOK_SQL = ctes(b.MATCHES_SQL, b.FIXTURES_SQL, b.GAMEWEEKS_SQL, """
+coming AS (SELECT unnest(range(g, g + 5)) AS gameweek_id FROM (SELECT min(gameweek_id) FILTER (NOT finished) AS g FROM gameweeks)),
+names AS (SELECT map(list(n_nationkey), list(n_name)) AS of FROM nation),
+cards AS (
+  SELECT team_id, list(difficulty) AS hard, count(*) FILTER (is_home) AS at_home, list(of[opponent_team_id]) AS against
+  FROM fixtures SEMI JOIN coming USING (gameweek_id) CROSS JOIN names WHERE NOT finished GROUP BY team_id),
 outlook AS (
-  SELECT t.n_name AS team_name, count(*) AS fixtures_in_window, round(avg(f.difficulty), 2) AS avg_difficulty,
-    CAST(sum(f.is_home::INTEGER) AS BIGINT) AS home_fixtures,
-    string_agg(o.n_name, ', ' ORDER BY o.n_name) AS opponents
-  FROM fixtures f JOIN nation t ON t.n_nationkey = f.team_id JOIN nation o ON o.n_nationkey = f.opponent_team_id
-  CROSS JOIN (SELECT min(gameweek_id) AS gw FROM gameweeks WHERE NOT finished)
-  WHERE NOT f.finished AND f.gameweek_id BETWEEN gw AND gw + 4
-  GROUP BY t.n_name)""")
+  SELECT of[team_id] AS team_name, len(hard)::BIGINT AS fixtures_in_window, round(list_avg(hard), 2) AS avg_difficulty,
+    at_home AS home_fixtures, array_to_string(list_sort(against), ', ') AS opponents FROM cards CROSS JOIN names)""")
 
 
 def outlook(spark, sf):

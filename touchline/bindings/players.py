@@ -78,12 +78,12 @@ def differentials(spark, sf):
     return analyses.differentials(season_report(spark, sf))
 
 
-@query("category_returns", REPORT + """
-SELECT pos.position_name, count(*) AS players, round(avg(price_m), 2) AS avg_price,
-  round(avg(points), 1) AS avg_points, round(avg(points_per_million), 2) AS avg_ppm,
-  max(points) AS best_points, pos.squad_select AS squad_slots
-FROM player_season v JOIN positions pos ON pos.position_name = v.position_name
-WHERE minutes >= 270 GROUP BY pos.position_name, pos.squad_select""")
+@query("category_returns", REPORT.rstrip() + """, regulars AS (
+  SELECT position_name, list(price_m) AS prices, list(points) AS totals, list(points_per_million) AS rates
+  FROM player_season WHERE minutes >= 270 GROUP BY 1)
+SELECT position_name, len(totals)::BIGINT AS players, list_max(totals) AS best_points, round(list_avg(totals), 1) AS avg_points,
+  round(list_avg(prices), 2) AS avg_price, round(list_avg(rates), 2) AS avg_ppm,
+  (SELECT squad_select FROM positions p WHERE p.position_name = regulars.position_name) AS squad_slots FROM regulars""")
 def category_returns(spark, sf):
     return analyses.position_returns(season_report(spark, sf), b.types_as_positions(spark, sf))
 
@@ -113,14 +113,15 @@ def rolling_user_form(spark, sf):
     return form.withColumn("value_last_5", round_half_away(F.col("value_last_5"), 4))
 
 
-@query("bonus_share", FACTS + """
-SELECT web_name, team_name, position_short, p.price_m, CAST(sum(f.bonus) AS BIGINT) AS bonus_points,
-  CAST(sum(f.total_points) AS BIGINT) AS total_points,
-  round(100.0::DOUBLE * sum(f.bonus) / nullif(sum(f.total_points), 0), 1) AS pct_from_bonus,
-  round(avg(f.bps), 1) AS avg_bps
-FROM facts f JOIN players p ON p.player_id = f.player_id JOIN teams USING (team_id) JOIN positions USING (position_id)
-WHERE f.minutes > 0 GROUP BY p.player_id, web_name, team_name, position_short, p.price_m
-HAVING sum(f.minutes) >= 270 ORDER BY bonus_points DESC, p.player_id LIMIT 25""")
+@query("bonus_share", FACTS.rstrip() + """, outings AS (
+  SELECT player_id, list(bps) AS ratings, sum(minutes) AS m, sum(bonus)::BIGINT AS b, sum(total_points)::BIGINT AS t
+  FROM facts WHERE minutes > 0 GROUP BY 1),
+placed AS (SELECT *, row_number() OVER (ORDER BY b DESC, player_id) AS place FROM outings WHERE m >= 270)
+SELECT web_name, (SELECT team_name FROM teams WHERE teams.team_id = players.team_id) AS team_name,
+  (SELECT position_short FROM positions WHERE positions.position_id = players.position_id) AS position_short, price_m,
+  b AS bonus_points, t AS total_points, CASE WHEN t <> 0 THEN round(b / t * 100.0::DOUBLE, 1) END AS pct_from_bonus,
+  round(list_avg(ratings), 1) AS avg_bps
+FROM players JOIN placed USING (player_id) WHERE place <= 25""")
 def bonus_share(spark, sf):
     return analyses.bonus_share(b.lines_as_facts(spark, sf), *dims(spark, sf))
 
