@@ -2,8 +2,9 @@
 
 Words are runs of a-z, 0-9 and bytes from 0x80 on, after A-Z are lower-cased. An item of fewer words than a window
 is one window. The windows go to every task as sorted hashes of at most PART_BYTES of item text; a larger
-benchmark is scanned in several parts, and the documents' hits are put together. A hash hit counts only after
-the words themselves were compared.
+benchmark is scanned in several parts, and the documents' hits are put together. Equal items count once, and an item
+longer than an eighth of a part is dealt in stretches that share all but one word of a window, so parts keep to their size
+whatever the items are. A hash hit counts only after the words themselves were compared.
 
 A null or empty text has no words and is clean; an item without words has no window. Rows without an item_id count
 as an item named "". Repeated rows are judged one by one. Other columns are ignored, or kept as they are where the
@@ -26,7 +27,8 @@ from touchline.llm.arrays import (LOWER, U64, binary_array, chunks, per_row, row
 from touchline.llm.tables import small, written
 
 WINDOW = 13
-PART_BYTES = 4_000_000
+PART_BYTES = 8_000_000
+STRETCHES = 8  # of a part, at least, unless thirteen words are longer
 FILTER_BITS = 20
 WORD = np.ones(256, bool)
 WORD[:0x30] = WORD[0x3A:0x61] = WORD[0x7B:0x80] = False
@@ -57,7 +59,8 @@ class Windows:
     width: int
     hashes: np.ndarray  # sorted
     words: np.ndarray  # number of the first word in the part's texts
-    items: list[list[str]]
+    first: np.ndarray  # of each window the place of its first member
+    members: np.ndarray  # numbers of the items that have it
     likely: np.ndarray  # by the first bits of a hash
 
 
@@ -65,27 +68,39 @@ class Windows:
 class Part:
     text: Text
     windows: list[Windows]
+    names: list[str]
+
+    def items(self, windows: Windows, entry: int) -> list[str]:
+        return [self.names[i] for i in windows.members[windows.first[entry]:windows.first[entry + 1]].tolist()]
 
 
 def index_items(ids: list[str], column: pa.Array) -> Part:
     """Index the windows of some items. Distinct windows of one hash are kept side by side."""
-    text = read(column)
-    found: dict[int, dict[bytes, tuple[int, int, set[str]]]] = {}
-    for i, item in enumerate(ids):
-        low, high = int(text.first[i]), int(text.first[i + 1])
-        width = min(WINDOW, high - low)
-        for at in range(low, high - width + 1 if width else low):
-            words = b" ".join(text.data[text.starts[w]:text.ends[w]].tobytes() for w in range(at, at + width))
-            found.setdefault(width, {}).setdefault(words, (at, width, set()))[2].add(item)
-    out = []
-    for width, windows in sorted(found.items()):
-        hashes = window_hashes(text.words, width)
-        entries = sorted(((hashes[at], at, sorted(items)) for at, _, items in windows.values()), key=lambda e: e[:2])
-        keys = np.array([e[0] for e in entries], np.uint64)
+    text, names = read(column), sorted(set(ids))
+    number, counts = {name: i for i, name in enumerate(names)}, np.diff(text.first)
+    item_of, widths, out = np.array([number[i] for i in ids], np.int64), np.minimum(counts, WINDOW), []
+    for width in sorted(set(widths.tolist()) - {0}):
+        rows = np.flatnonzero(widths == width)
+        windows = counts[rows] - width + 1
+        at, item = within(text.first[:-1][rows], windows), np.repeat(item_of[rows], windows)
+        hashes = window_hashes(text.words, width)[at]
+        order = np.lexsort((at, hashes))
+        at, item, hashes = at[order], item[order], hashes[order]
+        own = np.append(True, hashes[1:] != hashes[:-1])
+        head = np.maximum.accumulate(np.where(own, np.arange(len(at)), 0))
+        # A window that has the hash of another one and not its words is an entry too.
+        unlike = ~same_words(text, at, text, at[head], width)
+        fresh = own | unlike
+        entry = np.cumsum(fresh) - 1
+        entry = np.where(unlike, entry, entry[head])
+        members = np.unique(entry * len(names) + item)
+        keys = hashes[fresh]
         likely = np.zeros(1 << FILTER_BITS, bool)
         likely[(keys >> U64(64 - FILTER_BITS)).astype(np.int64)] = True
-        out.append(Windows(width, keys, np.array([e[1] for e in entries], np.int64), [e[2] for e in entries], likely))
-    return Part(text, out)
+        first = np.searchsorted(members // len(names), np.arange(len(keys) + 1))
+        out.append(Windows(width, keys, at[fresh].astype(np.int32), first.astype(np.int32), (members % len(names)).astype(np.int32), likely))
+    light = Text(text.data, text.starts.astype(np.int32), text.ends.astype(np.int32), text.first, np.zeros(0, np.uint64))
+    return Part(light, out, names)
 
 
 def same_words(text: Text, at: np.ndarray, other: Text, there: np.ndarray, width: int) -> np.ndarray:
@@ -124,7 +139,7 @@ def mark(text: Text, part: Part) -> tuple[np.ndarray, list[set[str]]]:
         np.add.at(edge, at, 1)
         np.add.at(edge, at + windows.width, -1)
         for row, e in np.unique(np.stack([rows[at], entry], 1), axis=0) if len(at) else ():
-            items[row].update(windows.items[e])
+            items[row].update(part.items(windows, e))
     return np.cumsum(edge[:-1]) > 0, items
 
 
@@ -178,23 +193,70 @@ def join_parts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield verdicts.append_column("_row", batch.column("_row"))
 
 
+def stretches(limit: int):
+    """(item, text) with texts beyond ``limit`` bytes cut between words. Stretches of an item share twelve words, so each
+    window of the item is a window of one of them, and none has fewer words than a window."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches):
+            items, texts = [], []
+            for item, text in zip(batch.column("item").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                raw = text.encode()
+                words = read(pa.array([text])) if len(raw) > limit else None
+                if words is None or len(words.starts) <= WINDOW:
+                    items.append(item)
+                    texts.append(text)
+                    continue
+                low, n = 0, len(words.starts)
+                while True:
+                    high = max(int(np.searchsorted(words.ends, words.starts[low] + limit, "right")), low + WINDOW)
+                    items.append(item)
+                    texts.append(raw[words.starts[low]:words.ends[min(high, n) - 1]].decode())
+                    if high >= n:
+                        break
+                    low = high - WINDOW + 1
+            yield pa.RecordBatch.from_arrays([pa.array(items, pa.string()), pa.array(texts, pa.string())], ["item", "text"])
+    return run
+
+
 class Parts:
-    """The parts of a benchmark, one at a time in memory: their number is known, each is indexed when it is asked for."""
+    """The parts of a benchmark, one at a time in memory: their number is known, each is indexed when it is asked for.
+
+    Stretches are dealt into small buckets by a hash; neighbouring buckets make a part as long as they fit. Only the
+    buckets' sizes come to the driver. A bucket that does not fit has a single stretch, or there are too few buckets.
+    """
 
     def __init__(self, benchmark: DataFrame) -> None:
-        self.items = written(benchmark.select(
-            F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text").filter("text IS NOT NULL"))
+        named = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text")
+        cut = named.filter("text IS NOT NULL").mapInArrow(stretches(max(PART_BYTES // STRETCHES, 1)), "item string, text string")
+        self.items = written(cut.distinct())
         total = self.items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-        self.n = -(-total // PART_BYTES) or 1
+        self.buckets = 1 if total <= PART_BYTES else 4 * STRETCHES * -(-total // PART_BYTES)
+        while True:
+            sizes = sorted(self.items.groupBy(self.bucket()).agg(F.sum(F.octet_length("text")), F.count(F.lit(1))).collect())
+            if all(size <= PART_BYTES or rows == 1 for _, size, rows in sizes):
+                break
+            self.buckets *= 2
+        self.ends, held = [0], 0
+        for bucket, size, _ in sizes:
+            if held and held + size > PART_BYTES:
+                self.ends.append(bucket)
+                held = 0
+            held += size
+        self.ends.append(self.buckets)
+
+    def bucket(self):
+        return F.pmod(F.xxhash64("item", "text"), F.lit(self.buckets))
 
     def __len__(self) -> int:
-        return self.n
+        return len(self.ends) - 1
+
+    def of(self, i: int) -> DataFrame:
+        return self.items.filter((self.bucket() >= self.ends[i]) & (self.bucket() < self.ends[i + 1]))
 
     def __getitem__(self, i: int) -> Part:
-        if i >= self.n:
+        if i >= len(self):
             raise IndexError(i)
-        own = self.items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(self.n)) == i) if self.n > 1 else self.items
-        rows = own.toArrow()
+        rows = self.of(i).toArrow()
         return index_items(rows.column("item").to_pylist(), rows.column("text").combine_chunks())
 
 
