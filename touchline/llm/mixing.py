@@ -7,11 +7,13 @@ MAX_REPEATS. It is found by sections over a table of one row per source; only su
 Each source is dealt into about sqrt(n) blocks by a hash. An epoch takes its blocks in an order of its own, and the
 budget ends within one block, where single documents are taken in hashed order until it is reached. So the only
 running sums are over the blocks of a source and over the documents of one block. ``position`` in [0, 1) says how
-far into its source's budget a block comes; ordered by it, the sources are mixed evenly.
+far into its source's budget a block comes; ordered by it, the sources are mixed evenly. Documents of one block follow
+each other by ``in_block``, a hash of the row and the epoch, so (position, in_block) is the whole permutation; equal rows, which
+are one and the same document, share both.
 
 Without a given budget it is as large as it must be for every document to be taken once at least. A document weighs its
 words, one at least. Null texts have no words; a null source is a source of its own. Equal rows (doc_id and text) share
-their fate. Other columns stay as they are.
+their fate. Other columns stay as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -106,7 +108,10 @@ def block_plan(rows: DataFrame, sources: DataFrame) -> DataFrame:
 
 
 def mixed(docs: DataFrame, entropy: float = TARGET_ENTROPY, repeats: float = MAX_REPEATS, budget: int | None = None) -> DataFrame:
-    """Each taken document once per epoch: the columns of ``docs`` and _mix_tokens, _mix_epoch, _mix_position, _mix_weight."""
+    """Each taken document once per epoch: the columns of ``docs``, none of which may begin with _mix_, and _mix_tokens,
+    _mix_epoch, _mix_position, _mix_in_block, _mix_weight."""
+    if taken_names := [c for c in docs.columns if c.lower().startswith("_mix_")]:
+        raise ValueError(f"columns of the result: {', '.join(taken_names)}")
     rows = written(keyed(docs).select("_mix_source", "_mix_tokens", "_mix_row"))
     sources = weights(rows, entropy, repeats, budget)
 
@@ -127,16 +132,19 @@ def mixed(docs: DataFrame, entropy: float = TARGET_ENTROPY, repeats: float = MAX
     chosen = small(written(chosen.select("_mix_source", "_mix_epoch", "_mix_row", F.lit(True).alias("_mix_chosen"))), 64)
     taken = blocked(keyed(docs)).join(reached, ["_mix_source", "_mix_block"])
     taken = taken.join(chosen, ["_mix_source", "_mix_epoch", "_mix_row"], "left").filter("_mix_room >= _mix_size OR _mix_chosen")
-    return taken.select(*[taken[c] for c in docs.columns], "_mix_tokens", "_mix_epoch", "_mix_position", "_mix_weight")
+    in_block = F.xxhash64("_mix_row", "_mix_epoch", F.lit(SEED))
+    return taken.select(*[taken[c] for c in docs.columns], "_mix_tokens", "_mix_epoch", "_mix_position", in_block.alias("_mix_in_block"), "_mix_weight")
 
 
 def mixed_documents(docs: DataFrame, **params) -> DataFrame:
     """The documents of the mix, each as often as it is taken, in the columns of ``docs``."""
-    return mixed(docs, **params).select(docs.columns)
+    given = docs.columns
+    plain = [f"given{c}" if c.lower().startswith("_mix_") else c for c in given]
+    return mixed(docs.toDF(*plain), **params).select(plain).toDF(*given)
 
 
 def mixture(docs: DataFrame, **params) -> DataFrame:
-    """(doc_id, source, n_tokens, epoch, position, weight) of every taken document, once per epoch."""
+    """(doc_id, source, n_tokens, epoch, position, in_block, weight) of every taken document, once per epoch."""
     return mixed(docs.select("doc_id", "text", "source"), **params).select(
         "doc_id", "source", F.col("_mix_tokens").alias("n_tokens"), F.col("_mix_epoch").cast("int").alias("epoch"),
-        F.col("_mix_position").alias("position"), F.col("_mix_weight").alias("weight"))
+        F.col("_mix_position").alias("position"), F.col("_mix_in_block").alias("in_block"), F.col("_mix_weight").alias("weight"))
