@@ -55,9 +55,9 @@ class Words:
         self.starts, self.ends, self.first = spans(LETTERS[self.data], self.offsets)
         self.rows = row_of(self.first)
         sizes = np.diff(self.offsets)
-        # One zero before each row keeps n-grams within it.
-        self.shift = np.arange(1, len(sizes) + 1)
-        self.padded = np.zeros(len(self.data) + len(sizes) + max(ORDERS), np.uint8)
+        # Zeros before each row, as many as an n-gram reaches back, keep it within the row.
+        self.shift = np.arange(1, len(sizes) + 1) * (max(ORDERS) - 1)
+        self.padded = np.zeros(len(self.data) + (len(sizes) + 1) * max(ORDERS), np.uint8)
         self.padded[np.arange(len(self.data)) + np.repeat(self.shift, sizes)] = FOLDED[self.data]
 
     def cells(self) -> Iterator[np.ndarray]:
