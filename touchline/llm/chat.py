@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from touchline.llm.arrays import binary_array, chunks, code_points, text_bytes, within
 from touchline.llm.tables import written
 
+RANGE_CHARS = 64  # of a text that tell turns of one number apart when a conversation is split
+
 # The marks of the template and the role that is learned.
 START, END, LEARNED = "<|im_start|>", "<|im_end|>", "assistant"
 PIECE_BYTES = 1_000_000
@@ -111,7 +113,9 @@ def formatted(turns: DataFrame) -> DataFrame:
     """The written pieces (conv_id, part, piece, ...) of conversations (conv_id, turn, role, text), in order of
     part and piece within a conversation."""
     order = ["conv_id", "turn", "role", "text"]
-    rows = turns.select(*order).repartitionByRange("conv_id", "turn").sortWithinPartitions(*order)
+    # Texts that begin alike stay together, so partitions follow each other as the rows in them do.
+    ranges = ["conv_id", "turn", "role", F.substring("text", 1, RANGE_CHARS)]
+    rows = turns.select(*order).repartitionByRange(*ranges).sortWithinPartitions(*order)
     pieces = rows.mapInArrow(format_turns, PIECES)
     return written(pieces.select("conv_id", F.spark_partition_id().alias("part"), "piece", "n_turns", "text", "loss"))
 
