@@ -2,8 +2,8 @@
 
 1. Every key that several ids share names one of them its centre; members are verified against the centre.
 2. Verified links go through a distributed union-find.
-3. Where a key still holds several components, its other members are compared in bounded blocks, and only
-   across components; what they link joins the components.
+3. Where a key still holds several components, the members outside its largest one are compared, in bounded blocks
+   and only across components, with each other and with the largest one; what they link joins the components.
 
 So a key shared by thousands of near copies costs a star, and pairs are compared only where that star leaves
 the answer open. No link between two ids that share a key is lost.
@@ -211,6 +211,41 @@ def heads_of(*columns: np.ndarray) -> list[int]:
     return np.flatnonzero(new).tolist()
 
 
+def dealt_keys(sized: DataFrame) -> DataFrame:
+    """(key, main, blocks, main_blocks) of the keys whose members (key, id, component, n) are of several components.
+
+    ``main`` is the component with the most members of the key, the smallest of several; they are dealt into blocks of
+    their own, the others into ``blocks``. A key that fits into one block has no blocks of its main component.
+    """
+    def parts(rows, size):
+        return F.ceil(F.greatest(F.col(rows) / BLOCK_ROWS, F.col(size) / BLOCK_BYTES)).cast("int")
+
+    held = sized.groupBy("key", "component").agg(F.count(F.lit(1)).alias("rows"), (F.sum("n") * 8).alias("size"))
+    keys = held.groupBy("key").agg(
+        F.count(F.lit(1)).alias("held"), F.sum("rows").alias("rows"), F.sum("size").alias("size"),
+        F.max(F.struct("rows", (-F.col("component")).alias("turned"), "size")).alias("most")).filter("held > 1")
+    keys = keys.select("key", (-F.col("most.turned")).alias("main"), "rows", "size", F.col("most.rows").alias("main_rows"),
+                       F.col("most.size").alias("main_size"))
+    keys = keys.withColumns({"other_rows": F.col("rows") - F.col("main_rows"), "other_size": F.col("size") - F.col("main_size")})
+    whole = parts("rows", "size") == 1
+    return keys.select("key", "main", F.when(whole, 1).otherwise(F.greatest(F.lit(1), parts("other_rows", "other_size"))).alias("blocks"),
+                       F.when(whole, 0).otherwise(F.greatest(F.lit(1), parts("main_rows", "main_size"))).alias("main_blocks"))
+
+
+def block_rows(rows: DataFrame) -> DataFrame:
+    """Rows (key, id, component, block, low, high): each member once for every pair of blocks it is compared in.
+
+    Blocks of a key's main component meet only the blocks of the others, never each other: what they hold is linked.
+    """
+    is_main = (F.col("main_blocks") > 0) & (F.col("component") == F.col("main"))
+    place = F.when(is_main, F.col("blocks") + F.pmod(F.xxhash64("id"), F.greatest("main_blocks", F.lit(1)))).otherwise(
+        F.pmod(F.xxhash64("id"), F.col("blocks"))).cast("int")
+    met = F.col("blocks") + F.when(is_main, F.lit(0)).otherwise(F.col("main_blocks"))
+    rows = rows.withColumn("block", place).withColumn("other", F.explode(F.sequence(F.lit(0), met - 1)))
+    return rows.select("key", "id", "component", "block", F.least("block", "other").alias("low"),
+                       F.greatest("block", "other").alias("high"))
+
+
 def linked_groups(members: DataFrame, sets: DataFrame, num: int, den: int, screen: Screen | None = None,
                   decode: Decode = as_items) -> DataFrame:
     """(id, component) of the ids that some chain of verified links joins to another one.
@@ -226,18 +261,10 @@ def linked_groups(members: DataFrame, sets: DataFrame, num: int, den: int, scree
     first = written(components(pairs.mapInArrow(verify_pairs(num, den, screen, decode), EDGE)))
     others = members.filter("id != centre").join(small(first, 16), "id", "left").withColumn(
         "component", F.coalesce("component", "id"))
-    sized = others.join(sets.select("id", "n"), "id")
-    parts = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_ROWS, F.sum("n") * 8 / BLOCK_BYTES))
-    open_keys = written(sized.groupBy("key").agg(
-        F.min("component").alias("least"), F.max("component").alias("most"), parts.cast("int").alias("blocks"))
-        .filter("least < most").select("key", "blocks"))
+    open_keys = written(dealt_keys(others.join(sets.select("id", "n"), "id")))
     if not known_rows(open_keys):
         return first
-    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    rows = others.join(small(open_keys, 16), "key").withColumn("block", block).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("key", "id", "component", "block", F.least("block", "other").alias("low"),
-                       F.greatest("block", "other").alias("high")).join(sets.select("id", "regs", "items"), "id")
+    rows = block_rows(others.join(small(open_keys, 24), "key")).join(sets.select("id", "regs", "items"), "id")
     block = ["key", "low", "high"]
     more = written(rows.repartition(*block).sortWithinPartitions(*block).mapInArrow(compare_blocks(num, den, screen, decode), EDGE))
     if not known_rows(more):
