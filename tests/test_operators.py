@@ -333,3 +333,12 @@ def test_counted_rejects_equal_flagged_ones(spark):
     flagged = rejects.reject_counts(rejects.flag_rejects(df, rules, ["k", "v"], ["i"], "again"))
     assert rejects.count_rejects(df, rules, ["k", "v"], "again").collect() == flagged.collect()
     assert rejects.count_rejects(df.limit(0), rules, ["k"], "again").count() == 0
+
+
+def test_a_written_side_is_not_written_again(spark):
+    flat = materialize(spark.range(10).withColumn("name", F.lit("x")))
+    nested = materialize(spark.range(10).withColumn("names", F.array(F.lit("x"))))
+    assert joins.small_side(nested) is nested
+    assert joins.small_side(flat).inputFiles() == flat.inputFiles()
+    hinted = [side._jdf.queryExecution().analyzed().toString() for side in (joins.small_side(flat), joins.small_side(nested))]
+    assert ["strategy=broadcast" in text for text in hinted] == [True, False]

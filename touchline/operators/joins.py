@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from touchline.functions.expressions import as_column
 from touchline.operators.keys import SMALL_ROWS, fits
-from touchline.session import known_bytes, materialize
+from touchline.session import known_bytes, known_rows, materialize
 
 SPARE_KEYS = 64
 SMALL_BYTES = 64_000_000
@@ -20,8 +20,9 @@ class UnmappedName(KeyError):
 
 def small_side(df: DataFrame, max_rows: int = SMALL_ROWS, max_bytes: int = SMALL_BYTES) -> DataFrame:
     """Hint a broadcast for a join side only if it proves small enough, in rows and in bytes. A
-    side that was not measured yet is computed once, which measures it."""
-    side = df if known_bytes(df) is not None else materialize(df)
+    side that was not measured yet is computed once, which measures it; one with nested columns has
+    no size in bytes, so it is left to the planner and not computed again."""
+    side = df if known_rows(df) is not None else materialize(df)
     size = known_bytes(side)
     return F.broadcast(side) if fits(side, max_rows) and size is not None and size <= max_bytes else side
 
