@@ -10,6 +10,7 @@ from touchline.bindings.registry import query
 from touchline.functions import expressions as e
 from touchline.functions.expressions import calendar_columns, day_first_date, to_number, to_whole
 from touchline.operators.incremental import commit_snapshot, load_summary, needing_refresh, signatures
+from touchline.operators.joins import small_side
 from touchline.operators.reshape import column_presence, missing_columns
 from touchline.params import GAME_NAMES, Params
 from touchline.plans import clean_players as cp
@@ -110,17 +111,31 @@ def document_histories(spark, sf):
     return rows.join(known, "player", "left_semi").withColumn("influence", to_number("influence"))
 
 
+DOCUMENT_LINES = 5_000  # about so many lines of a supplier make a document
+
+
 def write_member_files(spark, sf, folder=None, where="true"):
-    """A document per supplier and year in ``player_<supplier>.json``, a folder of the parts of one file. Suppliers'
-    files can be written anew."""
-    folder = folder or new_folder(spark, "members")
+    """Suppliers' lines in ``player_<supplier>.json``, a folder of the parts of one file. A part is a document of its own; a
+    supplier of more than DOCUMENT_LINES has several, its lines dealt evenly. Suppliers' files can be written anew.
+
+    There are as many files as members, so a task moves its files in place itself (the committer's version 2); the
+    driver would do it one after another. Files that are written anew are still shown together, by the driver."""
+    lines = b.table(spark, sf, "lineitem").filter(where).withColumn("_line", F.monotonically_increasing_id())
+    parts = F.ceil(F.col("_n") / DOCUMENT_LINES).cast("long")
+    large = lines.groupBy(F.col("l_suppkey").alias("_supplier")).agg(F.count(F.lit(1)).alias("_n")).filter(
+        F.col("_n") > DOCUMENT_LINES).select("_supplier", parts.alias("_parts"))
     entry = F.struct(F.col("l_orderkey").cast("int").alias("fixture"), F.col("l_linenumber").alias("total_points"),
                      F.col("l_quantity").cast("int").alias("minutes"), F.col("l_tax").cast("string").alias("influence"))
-    documents = b.table(spark, sf, "lineitem").filter(where).groupBy("l_suppkey", F.year("l_shipdate").alias("y")).agg(
-        F.collect_list(entry).alias("history"))
+    dealt = lines.join(small_side(large), F.col("l_suppkey").eqNullSafe(F.col("_supplier")), "left").withColumn(
+        "_part", F.pmod("_line", F.coalesce("_parts", F.lit(1))))
+    documents = dealt.groupBy("l_suppkey", "_part").agg(F.collect_list(entry).alias("history"))
     name = F.concat(F.lit("player_"), F.col("l_suppkey"), F.lit(".json"))
-    (documents.select("history", name.alias("file")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .option("maxRecordsPerFile", 1).partitionBy("file").json(folder))
+    writer = (documents.select("history", name.alias("file")).write.option("maxRecordsPerFile", 1).partitionBy("file")
+              .option("mapreduce.fileoutputcommitter.algorithm.version", "2"))
+    if folder:
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    folder = folder or new_folder(spark, "members")
+    writer.json(folder)
     return folder
 
 
