@@ -378,6 +378,10 @@ def write_match_files(spark, sf, folder=None, where="true"):
         "season", F.date_format("match_date", "dd/MM/yyyy").alias("Date"), F.col("home_team").alias("HomeTeam"),
         F.col("away_team").alias("AwayTeam"), F.col("ft_home_goals").alias("FTHG"), F.col("ft_away_goals").alias("FTAG"),
         F.col("ft_result").alias("FTR"), referee.alias("Referee"), F.col("home_shots").alias("HS"), F.lit("15:00").alias("Time"))
+    # Matches are joined once and dealt by season; a season's files are written from its own rows alone.
+    dealt = new_folder(spark, "dealt")
+    rows.write.partitionBy("season").parquet(dealt)
+    rows = spark.read.schema(rows.schema).parquet(dealt)
     seasons = sorted(r["season"] for r in rows.select("season").distinct().collect())
     for season in seasons:
         own = rows.filter(F.col("season") == season).drop("season", *(["Time"] if season < "1" or season >= "98" else []))

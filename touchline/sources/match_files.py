@@ -123,8 +123,8 @@ def encodings(spark: SparkSession, folder: str | list[str], pattern: str = "*.cs
     return {r["path"]: r["encoding"] for r in file_encodings(spark, folder, pattern).collect()}
 
 
-def read_match_file(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
-    """One file as text columns, named by its own header. A byte-order mark is skipped."""
+def read_match_file(spark: SparkSession, path: str | list[str], encoding: str = "UTF-8") -> DataFrame:
+    """A file, or files of one header, as text columns named by it. A byte-order mark is skipped."""
     return (spark.read.option("header", True).option("encoding", encoding)
             .option("inferSchema", False).option("enforceSchema", True).csv(path))
 
@@ -151,31 +151,37 @@ def load_matches(spark: SparkSession, folder: str, params: Params = Params(),
                  headers: dict[str, str] = HEADERS, only: list[str] | None = None) -> DataFrame:
     """Known columns of every season file, tagged with season and file order.
 
-    Files are read one by one, as a header names the columns of its own file only. The
-    result is written once, which fixes the line numbers for the readers that follow. Each
-    season of ``only``, or else of the configured ones, must have its file.
+    Files of a season that share header and encoding are read in one scan; others are not, as a header names the
+    columns of its own file only. The result is written once, which fixes the line numbers for the readers that
+    follow. Each season of ``only``, or else of the configured ones, must have its file.
     """
-    wanted, parts = only if only is not None else params.seasons, []
-    found = [(SEASON.search(r["path"]), r["path"]) for r in file_names(spark, folder).orderBy("path").collect()]
-    found = [(name[1], path) for name, path in found if name]
-    if absent := sorted(set(wanted or ()) - {season for season, _ in found}):
+    wanted, groups = only if only is not None else params.seasons, {}
+    found = [(SEASON.search(r["path"]), r["path"], r["_uri"]) for r in file_names(spark, folder).orderBy("path").collect()]
+    found = [(name[1], path, uri) for name, path, uri in found if name]
+    if absent := sorted(set(wanted or ()) - {season for season, _, _ in found}):
         raise FileNotFoundError(f"no file in {folder} for season {', '.join(absent)}")
-    own = [path for season, path in found if wanted is None or season in wanted]
-    kinds = encodings(spark, own) if own else {}
-    for number, (season, path) in enumerate(found):
-        if path not in kinds:
-            continue
-        df = read_match_file(spark, path, kinds[path])
+    own = [path for season, path, _ in found if wanted is None or season in wanted]
+    if not own:
+        raise FileNotFoundError(f"no season file in {folder}")
+    kinds = encodings(spark, own)
+    first = {r["path"]: r["header"] for r in header_lines(spark, own).collect()}
+    for season, path, _ in found:
+        if path in kinds:
+            groups.setdefault((season, first[path], kinds[path]), []).append(path)
+    parts = []
+    for (season, _, encoding), paths in groups.items():
+        df = read_match_file(spark, paths, encoding)
         parts.append(df.select(
             *[F.col(f"`{c}`").alias(new) for c, new in headers.items() if c in df.columns],
             F.lit(season).alias("season_code"),
             season_label(F.lit(season), params.century).alias("season_label"),
             F.lit(season == params.current_season).alias("is_current_season"),
-            F.lit(number).alias("_file_no"), F.col("_metadata.file_block_start").alias("_block"),
+            F.col("_metadata.file_path").alias("_uri"), F.col("_metadata.file_block_start").alias("_block"),
             F.monotonically_increasing_id().alias("_line")))
-    if not parts:
-        raise FileNotFoundError(f"no season file in {folder}")
-    return materialize(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts))
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    numbers = spark.createDataFrame([(uri, number) for number, (_, _, uri) in enumerate(found)], "_uri string, _file_no int")
+    named = [c for c in rows.columns if c not in ("_uri", "_block", "_line")]
+    return materialize(rows.join(F.broadcast(numbers), "_uri").select(*named, *FILE_ORDER))
 
 
 def first_lines(batches):
