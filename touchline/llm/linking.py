@@ -258,7 +258,9 @@ def linked_groups(members: DataFrame, sets: DataFrame, num: int, den: int, scree
     for side in "ab":
         own = sets.select(F.col("id").alias(side), F.col("regs").alias(f"regs_{side}"), F.col("items").alias(f"items_{side}"))
         pairs = pairs.join(own, side)
-    first = written(components(pairs.mapInArrow(verify_pairs(num, den, screen, decode), EDGE)))
+    # Written, as two Python steps in one stage would take two workers a task, and executors keep both.
+    verified = written(pairs.mapInArrow(verify_pairs(num, den, screen, decode), EDGE))
+    first = written(components(verified))
     others = members.filter("id != centre").join(small(first, 16), "id", "left").withColumn(
         "component", F.coalesce("component", "id"))
     open_keys = written(dealt_keys(others.join(sets.select("id", "n"), "id")))

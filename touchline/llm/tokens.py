@@ -103,9 +103,10 @@ def cuts_hold(state: dict) -> bool:
 
 
 class Encoder:
-    """The tokenizer of one worker, with the ids of the pieces it met last."""
+    """The tokenizer of one worker, with the ids of the pieces it met last. ``traits`` are those of another encoder of
+    the same file, which takes a copy of the vocabulary and of the file to find out."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, traits: tuple[int, bool, bool] | None = None) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -114,10 +115,13 @@ class Encoder:
         self.letters = dict(enumerate(byte_letters()))
         between = self.letters[0xFF]
         self.between = self.tokenizer.token_to_id(between)
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.width = WIDTH if max(vocabulary.values()) < 1 << 16 else WIDE
-        self.cut = cuts_hold(json.loads(self.tokenizer.to_str()))
-        self.joins = self.cut and self.between is not None and not any(between in t for t in self.tokenizer.get_vocab() if t != between)
+        if traits is None:
+            vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+            width = WIDTH if max(vocabulary.values()) < 1 << 16 else WIDE
+            cut = cuts_hold(json.loads(self.tokenizer.to_str()))
+            traits = width.itemsize, cut, cut and self.between is not None and not any(between in t for t in vocabulary if t != between)
+        self.traits = traits
+        self.width, self.cut, self.joins = width_of(traits[0]), *traits[1:]
 
     def learn(self, fresh: list[str]) -> None:
         whole = [p for p in fresh if self.joins and ONE_WORD.fullmatch(p)]
@@ -162,8 +166,8 @@ class Encoder:
 
 
 @cache
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
+def encoder(path: str, traits: tuple[int, bool, bool] | None = None) -> Encoder:
+    return Encoder(path, traits)
 
 
 def train_dictionary(samples: list[bytes]) -> bytes:
@@ -192,7 +196,7 @@ def dictionary_of(content: bytes):
     return zstandard.ZstdCompressionDict(content) if content else None
 
 
-def write_blocks(path: str, dictionary: bytes, lean: bool):
+def write_blocks(path: str, traits: tuple[int, bool, bool], dictionary: bytes, lean: bool):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
@@ -200,7 +204,7 @@ def write_blocks(path: str, dictionary: bytes, lean: bool):
         press = zstandard.ZstdCompressor(level=LEVEL, dict_data=own, write_content_size=True) if own else zstandard.ZstdCompressor(level=LEVEL)
         shard, mark, before = TaskContext.get().partitionId(), hashlib.sha256(dictionary).hexdigest(), 0
         for number, batch in enumerate(chunks(batches, limit=LEAN_BYTES if lean else ENCODED_BYTES)):
-            ids, places = encoder(path).encode(batch.column("text"))
+            ids, places = encoder(path, traits).encode(batch.column("text"))
             frames = [press.compress(ids[a:b].tobytes()) for a, b in zip(places[:-1], places[1:], strict=True)]
             yield pa.RecordBatch.from_pylist(
                 [{"shard": shard, "block": number, "dict_sha256": mark, "tokens_before": before, "n_tokens": len(ids),
@@ -227,7 +231,7 @@ def write_tokens(docs: DataFrame, path: str, folder: str | None = None, lean: bo
     spark.createDataFrame([(hashlib.sha256(content).hexdigest(), content)], "sha256 string, content binary").coalesce(1).write.parquet(f"{folder}/dictionary")
     order = ["doc_id", F.xxhash64("text")]
     rows = docs.select("doc_id", "text").repartitionByRange(*order).sortWithinPartitions(*order, "text")
-    rows.mapInArrow(write_blocks(path, content, lean), BLOCKS).write.parquet(f"{folder}/blocks")
+    rows.mapInArrow(write_blocks(path, encoder(path).traits, content, lean), BLOCKS).write.parquet(f"{folder}/blocks")
     sizes = spark.read.parquet(f"{folder}/blocks").groupBy("shard").agg(F.sum("n_tokens").alias("n"))
     before = F.sum("n").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
     sizes.select("shard", F.coalesce(before, F.lit(0)).alias("start")).coalesce(1).write.parquet(f"{folder}/shards")
