@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from touchline.bindings import files
 from touchline.bindings import inputs as b
 from touchline.operators import rejects
+from touchline.session import LISTING, LISTING_TASKS
 from touchline.sources import match_files
 
 
@@ -98,3 +99,45 @@ def test_stages_hand_small_batches_to_python(spark, tmp_path):
         assert spark.conf.get(pipeline.BATCHES) == "10"
     finally:
         spark.conf.set(pipeline.BATCHES, before)
+
+
+def test_member_files_are_listed_in_few_tasks(spark, tmp_path):
+    """60 member folders took 60 tasks to list, whether all are read, ids are looked up or a list of files is read."""
+    for n in range(60):
+        (tmp_path / f"file=player_{n}.json").mkdir()
+        (tmp_path / f"file=player_{n}.json" / "part-0.json").write_text('{"history": [{"fixture": %d}]}' % n)
+    sc, before = spark.sparkContext, spark.conf.get(LISTING)
+    paths = [str(p) for p in tmp_path.glob("*/*.json")]
+    for i, read in enumerate([lambda: files.docs.history_documents(spark, str(tmp_path), schema=files.HISTORY_ENTRY),
+                              lambda: files.docs.member_files(spark, str(tmp_path)),
+                              lambda: files.docs.history_documents(spark, paths, schema=files.HISTORY_ENTRY)]):
+        sc.setJobGroup(f"listing-{i}", "listing")
+        try:
+            found = read()
+        finally:
+            sc._jsc.clearJobGroup()
+        jobs = [sc.statusTracker().getJobInfo(j) for j in sc.statusTracker().getJobIdsForGroup(f"listing-{i}")]
+        tasks = [sc.statusTracker().getStageInfo(s).numTasks for j in jobs for s in j.stageIds]
+        assert tasks and max(tasks) <= LISTING_TASKS * sc.defaultParallelism < 60
+        assert sorted(r.id for r in found.select("id").collect()) == list(range(60))
+    assert spark.conf.get(LISTING) == before
+
+
+def test_small_member_files_are_written_by_every_core(spark, tmp_path, monkeypatch):
+    """200 files of two lines are few bytes, which once put them all into one task."""
+    rows = spark.range(400).select(
+        (F.col("id") % 200).alias("l_suppkey"), F.col("id").alias("l_orderkey"), F.lit(1).alias("l_linenumber"),
+        F.lit(2.0).alias("l_quantity"), F.lit(0.5).alias("l_tax"))
+    rows.write.parquet(str(tmp_path / "lineitem.parquet"))
+
+    def tasks_of(folder):
+        found = list(pathlib.Path(folder.removeprefix("file:")).glob("file=player_*.json/part-*.json"))
+        assert len(found) == 200
+        return len({p.name.split("-")[1] for p in found})
+
+    assert tasks_of(files.write_member_files(spark, str(tmp_path))) == spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(files, "TASK_DOCUMENTS", 10)
+    folder = files.write_member_files(spark, str(tmp_path))
+    assert 15 <= tasks_of(folder) <= 20
+    entries = files.docs.history_documents(spark, folder, schema=files.HISTORY_ENTRY)
+    assert sorted((r.id, r.fixture) for r in entries.select("id", "_e.fixture").collect()) == sorted((n % 200, n) for n in range(400))

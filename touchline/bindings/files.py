@@ -17,7 +17,7 @@ from touchline.plans import clean_players as cp
 from touchline.plans.warehouse import changed_files, keep_manifest, land_runs
 from touchline.sources import game_documents as docs
 from touchline.sources import match_files, member_store, sinks, versions
-from touchline.session import new_folder
+from touchline.session import materialize, new_folder
 from touchline.streaming.arrivals import on_arrival
 
 ctes = b.with_ctes
@@ -112,6 +112,7 @@ def document_histories(spark, sf):
 
 
 DOCUMENT_LINES = 5_000  # about so many lines of a supplier make a document
+TASK_DOCUMENTS = 250  # about so many documents are written by a task
 
 
 def write_member_files(spark, sf, folder=None, where="true"):
@@ -119,16 +120,19 @@ def write_member_files(spark, sf, folder=None, where="true"):
     supplier of more than DOCUMENT_LINES has several, its lines dealt evenly. Suppliers' files can be written anew.
 
     There are as many files as members, so a task moves its files in place itself (the committer's version 2); the
-    driver would do it one after another. Files that are written anew are still shown together, by the driver."""
+    driver would do it one after another. Files that are written anew are still shown together, by the driver.
+    Writing takes time by the files, not by their bytes, so documents are dealt to tasks by their number. By their
+    bytes they were in about as many tasks as cores, of which one more made a second wave."""
     lines = b.table(spark, sf, "lineitem").filter(where).withColumn("_line", F.monotonically_increasing_id())
     parts = F.ceil(F.col("_n") / DOCUMENT_LINES).cast("long")
-    large = lines.groupBy(F.col("l_suppkey").alias("_supplier")).agg(F.count(F.lit(1)).alias("_n")).filter(
-        F.col("_n") > DOCUMENT_LINES).select("_supplier", parts.alias("_parts"))
+    sizes = materialize(lines.groupBy(F.col("l_suppkey").alias("_supplier")).agg(F.count(F.lit(1)).alias("_n")))
+    large = sizes.filter(F.col("_n") > DOCUMENT_LINES).select("_supplier", parts.alias("_parts"))
+    tasks = max(-(-(sizes.agg(F.sum(parts)).first()[0] or 0) // TASK_DOCUMENTS), spark.sparkContext.defaultParallelism)
     entry = F.struct(F.col("l_orderkey").cast("int").alias("fixture"), F.col("l_linenumber").alias("total_points"),
                      F.col("l_quantity").cast("int").alias("minutes"), F.col("l_tax").cast("string").alias("influence"))
     dealt = lines.join(small_side(large), F.col("l_suppkey").eqNullSafe(F.col("_supplier")), "left").withColumn(
         "_part", F.pmod("_line", F.coalesce("_parts", F.lit(1))))
-    documents = dealt.groupBy("l_suppkey", "_part").agg(F.collect_list(entry).alias("history"))
+    documents = dealt.repartition(tasks, "l_suppkey", "_part").groupBy("l_suppkey", "_part").agg(F.collect_list(entry).alias("history"))
     name = F.concat(F.lit("player_"), F.col("l_suppkey"), F.lit(".json"))
     writer = (documents.select("history", name.alias("file")).write.option("maxRecordsPerFile", 1).partitionBy("file")
               .option("mapreduce.fileoutputcommitter.algorithm.version", "2"))

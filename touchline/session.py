@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -75,6 +77,22 @@ def child_folders(spark: SparkSession, folder: str, prefix: str) -> list[str]:
     return sorted(f.getPath().getName() for f in store.listStatus(path) if f.isDirectory() and f.getPath().getName().startswith(prefix))
 
 
+LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+LISTING_TASKS = 4  # per core
+
+
+@contextmanager
+def listing_in_few_tasks(spark: SparkSession) -> Iterator[None]:
+    """Readers made inside list many folders in a few tasks per core. Spark's own setting makes a task of every folder, up to
+    10,000 of them, and starting one takes longer than listing a folder of few files."""
+    before = spark.conf.get(LISTING)
+    spark.conf.set(LISTING, str(min(int(before), LISTING_TASKS * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(LISTING, before)
+
+
 _SIZES: WeakKeyDictionary[DataFrame, tuple[int, int | None]] = WeakKeyDictionary()
 FIXED_BYTES = 16  # of a column in a row, besides the text in it
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.operators.joins import small_side
+from touchline.session import listing_in_few_tasks
 
 TEAMS = "array<struct<id: int, name: string, short_name: string>>"
 ELEMENT_TYPES = ("array<struct<id: int, singular_name: string, singular_name_short: string, "
@@ -55,8 +56,10 @@ def fixtures(spark: SparkSession, folder: str) -> DataFrame:
 def member_files(spark: SparkSession, folder: str, prefix: str = "player_", paths: bool = False) -> DataFrame:
     """Ids for which a history file, or a folder of the parts of one, is stored; with ``paths``, where. The listing
     reads no content."""
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", file_glob(prefix)).option("recursiveFileLookup", "true")
-             .load(folder).select(file_id(F.col("path"), prefix).alias("id"), "path").filter("id IS NOT NULL"))
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", file_glob(prefix)).option("recursiveFileLookup", "true")
+    with listing_in_few_tasks(spark):
+        found = reader.load(folder)
+    files = found.select(file_id(F.col("path"), prefix).alias("id"), "path").filter("id IS NOT NULL")
     return files if paths else files.select("id").distinct()
 
 
@@ -75,8 +78,10 @@ def history_documents(spark: SparkSession, paths: str | list[str], prefix: str =
     """(id, _place, _e) for the entries of member files, a row with a NULL entry where a file has none."""
     if not paths:
         return spark.createDataFrame([], f"id bigint, _place int, _e {schema.removeprefix('array<').removesuffix('>')}")
-    document = (spark.read.schema(f"{entry} {schema}").option("multiLine", True).option("mode", "FAILFAST")
-                .option("pathGlobFilter", file_glob(prefix)).option("recursiveFileLookup", "true").json(paths))
+    reader = (spark.read.schema(f"{entry} {schema}").option("multiLine", True).option("mode", "FAILFAST")
+              .option("pathGlobFilter", file_glob(prefix)).option("recursiveFileLookup", "true"))
+    with listing_in_few_tasks(spark):
+        document = reader.json(paths)
     # The filter on the path alone is applied to the listing: other files are not opened.
     named = document.filter(F.col("_metadata.file_path").rlike(f"[/=]{prefix}[0-9]+[.]json(/|$)")).select(
         file_id(F.col("_metadata.file_path"), prefix).alias("id"), entry)
